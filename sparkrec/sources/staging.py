@@ -11,33 +11,25 @@ from sparkrec.operators.contracts import Contract, ContractError, conform, fill_
 def read_staging(spark: SparkSession, path: str, contract: Contract) -> DataFrame:
     """All files below `path` in contract form.
 
-    Columns are matched by name: absent optional ones read as NULL, an absent
-    required one is an error, other columns are dropped. Files that agree on
-    their columns are read together; nothing there gives an empty typed frame.
+    Spark merges the footers in parallel and matches columns by name: absent
+    optional ones read as NULL, other columns are dropped. A required column that
+    some file lacks is an error. Nothing there gives an empty typed frame.
     """
+    reader = spark.read.option("mergeSchema", "true").option("recursiveFileLookup", "true")
     try:
-        files = spark.read.option("recursiveFileLookup", "true").parquet(path).inputFiles()
+        staged = reader.parquet(path)
     except AnalysisException as error:
         if not any(c in str(error) for c in ("UNABLE_TO_INFER_SCHEMA", "PATH_NOT_FOUND")):
             raise
         return spark.createDataFrame([], contract.schema)
-    groups: dict[tuple, list[str]] = {}
-    for file in files:
-        schema = spark.read.parquet(file).schema
-        groups.setdefault(tuple((f.name, f.dataType.simpleString()) for f in schema), []).append(file)
     required = [f.name for f in contract.fields if not f.nullable]
-    problems = [
-        f"{name}: column missing in {len(paths)} file(s)"
-        for columns, paths in groups.items() for name in required if name not in dict(columns)
-    ]
+    problems = [f"{c}: column missing" for c in required if c not in staged.columns]
+    if not problems:
+        gaps = staged.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in required]).first()
+        problems = [f"{c}: missing in {gaps[c]} rows" for c in required if gaps[c]]
     if problems:
-        raise ContractError(contract.name, sorted(set(problems)))
-    parts = [conform(fill_missing_optional(spark.read.parquet(*paths), contract), contract)
-             for paths in groups.values()]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+        raise ContractError(contract.name, problems)
+    return conform(fill_missing_optional(staged, contract), contract)
 
 
 def read_batches(spark: SparkSession, *paths: str) -> DataFrame:
