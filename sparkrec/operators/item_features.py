@@ -12,6 +12,7 @@ from sparkrec.functions.text import (
 )
 from sparkrec.operators.contracts import ContractError, unknown_references
 from sparkrec.operators.ordering import dense_index, running_totals
+from sparkrec.session import durable
 
 # Fixed values of the attribute rules.
 MIN_ITEMS = 5
@@ -164,7 +165,7 @@ def assemble_catalog(meta: DataFrame, counts: DataFrame, interactions: DataFrame
     """Encoded attributes, train count and item index of the full catalog."""
     if interactions is not None and not unknown_references(interactions, "item_id", meta, "item_id").isEmpty():
         raise ContractError("catalog", ["item_id: interacted items missing from the catalog"])
-    features = build_features(meta)
+    features = durable(build_features(meta))
     encoded = encode_features(features, fit_vocab(features))
     indexed = dense_index(meta.select("item_id"), [F.asc("item_id")], "item_idx")
     return indexed.join(encoded, "item_id").join(counts, "item_id", "left").select(
