@@ -255,7 +255,7 @@ FAILURES = """failures AS (
 
 
 @query("b1_validate", with_(I.EVENTS, FAILURES) + """
-SELECT column_name, check_name, CAST(event_id AS VARCHAR) AS row_key, 1 AS n FROM failures""")
+SELECT column_name, check_name, CAST(event_id AS VARCHAR) AS row_key, CAST(1 AS BIGINT) AS n FROM failures""")
 def _(spark, sf):
     return contracts.failures(I.events(spark, sf).drop("ts"), RULED)
 
@@ -376,7 +376,7 @@ SQL_RAW = f"""CASE WHEN len({SQL_CLEAN_LIST}) > 0 THEN {SQL_CLEAN_LIST}
 
 
 @query("b14_raw_categories", with_(RAW) + f"""
-SELECT doc_id, len(c) AS levels, md5(array_to_string(c, '|')) AS categories FROM (SELECT doc_id, {SQL_RAW} AS c FROM raw)""")
+SELECT doc_id, CAST(len(c) AS INT) AS levels, md5(array_to_string(c, '|')) AS categories FROM (SELECT doc_id, {SQL_RAW} AS c FROM raw)""")
 def _(spark, sf):
     levels = text.raw_categories("categories", "main_category")
     return _raw(spark, sf).select("doc_id", levels.alias("c")).select(
@@ -539,7 +539,7 @@ def _(spark, sf):
 @query("c10_expired_files", """
 WITH snapshots AS (SELECT o_orderkey AS snapshot_id, o_orderdate AS committed_at,
     o_orderpriority = '1-URGENT' AS is_ref FROM orders),
-files AS (SELECT DISTINCT l_orderkey AS snapshot_id, 'f' || CAST(l_partkey AS VARCHAR) AS path FROM lineitem),
+files AS (SELECT DISTINCT l_orderkey AS snapshot_id, 'f' || CAST(l_partkey AS VARCHAR) || '-' || CAST(l_suppkey AS VARCHAR) AS path FROM lineitem),
 marked AS (SELECT f.path, s.committed_at < TIMESTAMP '2001-01-01' AND NOT s.is_ref AS expired FROM files f JOIN snapshots s USING (snapshot_id))
 SELECT path FROM marked GROUP BY path HAVING bool_and(expired)""")
 def _(spark, sf):
@@ -547,5 +547,5 @@ def _(spark, sf):
         F.col("o_orderkey").alias("snapshot_id"), F.col("o_orderdate").alias("committed_at"),
         (F.col("o_orderpriority") == "1-URGENT").alias("is_ref"))
     files = I.table(spark, sf, "lineitem").select(
-        F.col("l_orderkey").alias("snapshot_id"), F.concat(F.lit("f"), F.col("l_partkey").cast("string")).alias("path"))
+        F.col("l_orderkey").alias("snapshot_id"), F.concat(F.lit("f"), F.col("l_partkey").cast("string"), F.lit("-"), F.col("l_suppkey").cast("string")).alias("path"))
     return maintenance.expired_files(snapshots, files, I.ntz("2001-01-01 00:00:00"))

@@ -105,7 +105,7 @@ def best_items(spark, sf, n: int, states: DataFrame | None = None) -> DataFrame:
 
 
 @query("g4_top_n", with_(*SCORED, BEST) + """
-SELECT user_id, product_id, round(score, 6) AS score, rank FROM best WHERE rank <= 10""")
+SELECT user_id, product_id, round(score, 6) AS score, CAST(rank AS INT) AS rank FROM best WHERE rank <= 10""")
 def _(spark, sf):
     return best_items(spark, sf, 10).withColumn("score", F.round("score", 6))
 
@@ -114,10 +114,10 @@ POPULAR = "popular AS (SELECT product_id, row_number() OVER (ORDER BY num_purcha
 
 
 @query("g5_fallback", with_(I.PRODUCTS, *SCORED, I.ITEM_FEATURES, POPULAR, PAIR_SCORES) + """
-SELECT user_id, product_id, round(score, 6) AS score, position, 'model' AS source FROM
+SELECT user_id, product_id, round(score, 6) AS score, CAST(position AS INT) AS position, 'model' AS source FROM
   (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY round(score, 9) DESC, product_id) AS position FROM scores)
   WHERE position <= 10 AND user_id IN (SELECT user_id FROM scores WHERE score <> 0.0)
-UNION ALL SELECT user_id, product_id, 0.0, position, 'fallback' FROM
+UNION ALL SELECT user_id, product_id, 0.0, CAST(position AS INT), 'fallback' FROM
   (SELECT DISTINCT user_id FROM users WHERE user_id NOT IN (SELECT user_id FROM scores WHERE score <> 0.0)) CROSS JOIN popular WHERE position <= 10""")
 def _(spark, sf):
     scored = scoring.score_candidates(pairs(spark, sf), user_states(spark, sf), I.vectors(spark, sf), item="product_id")
@@ -290,7 +290,7 @@ def _per_sample(spark, sf) -> DataFrame:
 
 
 @query("h8_paired_margins", with_(ORDER_SCORES, MARGINS) + """
-SELECT candidate, n, 0 AS mismatched, round(diff, 6) AS diff, round(se, 6) AS se, round(diff / se, 4) AS z, diff > 0 AND diff > se AS eligible FROM margins""")
+SELECT candidate, n, CAST(0 AS BIGINT) AS mismatched, round(diff, 6) AS diff, round(se, 6) AS se, round(diff / se, 4) AS z, diff > 0 AND diff > se AS eligible FROM margins""")
 def _(spark, sf):
     out = selection.paired_margins(_per_sample(spark, sf)).withColumn("z", F.round("z", 4))
     return _rounded(out)
@@ -436,7 +436,7 @@ def _(spark, sf):
 
 
 @query("i2_top_k_similar", with_(I.VECTORS, SIMILAR) + """
-SELECT item_idx, similar_idx, round(score, 6) AS score, rank FROM top_similar""")
+SELECT item_idx, similar_idx, round(score, 6) AS score, CAST(rank AS INT) AS rank FROM top_similar""")
 def _(spark, sf):
     items = I.vectors(spark, sf).select("item_idx", "vec")
     return similar.top_k_similar(items, 10, DIMS).withColumn("score", F.round("score", 6))
@@ -487,7 +487,7 @@ boosts AS (SELECT user_id, s.product_id, MIN((n - pos + 1, place)) AS boost FROM
 
 
 @query("i5_recency_boost", with_(*SCORED, BEST, SIMILAR, I.EVENTS, RECENT, BOOSTS) + """
-SELECT b.user_id, b.product_id, b.rank, row_number() OVER (PARTITION BY b.user_id ORDER BY boost IS NULL, boost, rank) AS position
+SELECT b.user_id, b.product_id, CAST(b.rank AS INT) AS rank, CAST(row_number() OVER (PARTITION BY b.user_id ORDER BY boost IS NULL, boost, rank) AS INT) AS position
 FROM best b LEFT JOIN boosts x ON x.user_id = b.user_id AND x.product_id = b.product_id WHERE b.rank <= 50""")
 def _(spark, sf):
     ranked = best_items(spark, sf, 50).select("user_id", "product_id", "rank")
@@ -499,7 +499,7 @@ DESCRIBED = """described AS (SELECT product_id, title, image_url,
 
 
 @query("i6_build_history", with_(I.PRODUCTS, DESCRIBED, I.BRONZE, I.SILVER, I.USERS, I.EVENTS, RECENT) + """
-SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY part, pos DESC) AS position, product_id, event_time, source, title, description FROM (
+SELECT user_id, CAST(row_number() OVER (PARTITION BY user_id ORDER BY part, pos DESC) AS INT) AS position, product_id, event_time, source, title, description FROM (
   SELECT user_id, 0 AS part, unnest(recent_items) AS product_id, generate_subscripts(recent_items, 1) AS pos, CAST(NULL AS TIMESTAMP) AS event_time, 'session' AS source FROM recents
   UNION ALL SELECT user_id, 1, unnest(item_sequence), generate_subscripts(item_sequence, 1), unnest(event_time_sequence), 'history' FROM users)
 LEFT JOIN described USING (product_id)""")
@@ -537,7 +537,7 @@ page AS (SELECT user_id, position, product_id, score, 'model' AS source FROM pla
   UNION ALL SELECT user_id, position, product_id, 0.0, 'fallback' FROM
   (SELECT 'u' || CAST(c_custkey AS VARCHAR) AS user_id FROM customer WHERE 'u' || CAST(c_custkey AS VARCHAR) NOT IN (SELECT user_id FROM placed))
   CROSS JOIN popular WHERE position <= 10)""") + """
-SELECT user_id, position, product_id, round(score, 6) AS score, source, title, description, image_url FROM page LEFT JOIN described USING (product_id)""")
+SELECT user_id, CAST(position AS INT) AS position, product_id, round(score, 6) AS score, source, title, description, image_url FROM page LEFT JOIN described USING (product_id)""")
 def _(spark, sf):
     return homepage(spark, sf)
 

@@ -39,7 +39,7 @@ def _(spark, sf):
 
 
 EXPLODED = """exploded AS (SELECT user_id, unnest(item_sequence) AS item_id, unnest(event_time_sequence) AS ts,
-  generate_subscripts(item_sequence, 1) - 1 AS pos FROM users)"""
+  CAST(generate_subscripts(item_sequence, 1) - 1 AS INT) AS pos FROM users)"""
 
 
 @query("f3_explode_sequences", with_(I.BRONZE, I.SILVER, I.USERS, EXPLODED) + "SELECT * FROM exploded")
@@ -48,7 +48,7 @@ def _(spark, sf):
 
 
 @query("f4_two_way_split", with_(*BASE) + """
-SELECT user_id, CASE WHEN t = len(items) - 1 THEN 'valid' ELSE 'train' END AS split, t,
+SELECT user_id, CASE WHEN t = len(items) - 1 THEN 'valid' ELSE 'train' END AS split, CAST(t AS INT) AS t,
   array_to_string(items[1:t], ',') AS seq, items[t + 1] AS target
 FROM (SELECT user_id, items, unnest(range(1, len(items))) AS t FROM indexed WHERE len(items) >= 2)""")
 def _(spark, sf):
@@ -65,7 +65,7 @@ def padded(prefix: str, width: int) -> str:
 
 
 @query("f5_leave_one_out", with_(*BASE, LOO) + f"""
-SELECT user_id, {SPLIT} AS split, t, {padded('prefix', MAX_LEN)} AS seq, len(prefix) AS seq_len, target FROM loo""")
+SELECT user_id, {SPLIT} AS split, CAST(t AS INT) AS t, {padded('prefix', MAX_LEN)} AS seq, CAST(len(prefix) AS INT) AS seq_len, target FROM loo""")
 def _(spark, sf):
     return samples.leave_one_out(indexed(spark, sf), MAX_LEN).withColumn("seq", F.array_join("seq", ","))
 
@@ -75,7 +75,7 @@ placed AS (SELECT user_id, CAST(substr(product_id, 2) AS INT) + 1 AS item, row_n
     COUNT(*) OVER (PARTITION BY user_id) AS n,
     list(CAST(substr(product_id, 2) AS INT) + 1) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING) AS prefix
   FROM stream WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))""") + f"""
-SELECT user_id, {SPLIT} AS split, t, {padded('prefix', 20)} AS seq, len(prefix) AS seq_len, item AS target
+SELECT user_id, {SPLIT} AS split, CAST(t AS INT) AS t, {padded('prefix', 20)} AS seq, CAST(len(prefix) AS INT) AS seq_len, item AS target
 FROM placed WHERE n >= 3 AND t >= 1""")
 def _(spark, sf):
     history = I.events(spark, sf).select(
@@ -123,7 +123,7 @@ BUCKET = """CASE WHEN price > 0 THEN 'p' || CAST(len(list_filter((SELECT edges F
 
 
 @query("f9_price_edges", with_(I.PRODUCTS, PRICES) + """
-SELECT i AS edge_no, round(edges[i], 6) AS edge FROM (SELECT edges, unnest(range(1, 10)) AS i FROM edges)""")
+SELECT CAST(i AS INT) AS edge_no, round(edges[i], 6) AS edge FROM (SELECT edges, unnest(range(1, 10)) AS i FROM edges)""")
 def _(spark, sf):
     edges = item_features.price_edges(I.products(spark, sf), "price")
     return edges.select(F.posexplode("edges").alias("pos", "edge")).select(
@@ -187,7 +187,7 @@ KNOWN_FIT = FIT.replace("FROM longtok GROUP BY", "FROM longtok WHERE item_id IN
 
 
 @query("f14_encode_features", with_(I.PRODUCTS, I.VECTORS, *FEATURES, KNOWN_FIT, ENCODED) + """
-SELECT item_id, array_to_string(list_resize(categories, 3, 0), ',') AS categories, store, price FROM enc""")
+SELECT item_id, array_to_string(list_resize(categories, 3, 0), ',') AS categories, CAST(store AS INT) AS store, CAST(price AS INT) AS price FROM enc""")
 def _(spark, sf):
     # fitted on the items a model knows, so the others bring unknown tokens
     features = item_features.build_features(meta(spark, sf))
@@ -205,7 +205,7 @@ def _(spark, sf):
 
 @query("f16_catalog_assembly", with_(*COUNTED, *FEATURES, FIT, ENCODED) + """
 SELECT row_number() OVER (ORDER BY item_id) AS item_idx, item_id, array_to_string(list_resize(categories, 3, 0), ',') AS categories,
-  store, price, train_count FROM enc JOIN counts USING (item_id)""")
+  CAST(store AS INT) AS store, CAST(price AS INT) AS price, train_count FROM enc JOIN counts USING (item_id)""")
 def _(spark, sf):
     inter = samples.explode_sequences(I.user_sequences(spark, sf))
     out = item_features.assemble_catalog(meta(spark, sf), train_counts(spark, sf), inter)
