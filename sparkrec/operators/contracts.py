@@ -180,10 +180,10 @@ def unknown_references(df: DataFrame, column: str, known: DataFrame, known_colum
 
 
 def require_references(df: DataFrame, column: str, known: DataFrame, known_column: str) -> DataFrame:
-    """`df` itself; raises if a reference is unknown."""
-    if not unknown_references(df, column, known, known_column).isEmpty():
-        raise ContractError("references", [f"{column}: value missing from {known_column}"])
-    return df
+    """`df` itself; the job fails at the first row whose reference is unknown."""
+    flags = known.select(F.col(known_column).alias(column), F.lit(True).alias("__known")).distinct()
+    found = F.coalesce("__known", F.raise_error(f"{column}: value missing from {known_column}").cast("boolean"))
+    return df.join(flags, column, "left").filter(found).drop("__known")
 
 
 _MONEY, _STARS, _TS = T.DecimalType(12, 2), T.DecimalType(2, 1), T.TimestampType()

@@ -6,10 +6,16 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from sparkrec.session import bounded_broadcast
+
 
 def skip_committed(df: DataFrame, committed: DataFrame, run_id: str = "_extraction_run_id") -> DataFrame:
-    """Rows of loads that the target does not hold yet."""
-    done = committed.select(run_id).distinct()
+    """Rows of loads that the target does not hold yet.
+
+    Load ids are few and every row carries one, so they are counted and then sent to
+    the rows rather than the rows to them.
+    """
+    done = bounded_broadcast(committed.select(run_id).distinct())
     return df.join(done, run_id, "left_anti")
 
 

@@ -147,42 +147,67 @@ def trailing_values(
     )
 
 
-def carry_forward(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[Column],
-    payload: str,
-    name: str,
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
-    """Latest non-NULL `payload` at or before each row of its key.
+def _latest(payload: str, window) -> Column:
+    return F.last(payload, ignorenulls=True).over(window)
 
-    Ordinary keys take one window. Hot keys are cut into ranges: a window inside
-    each range, plus the last value of the ranges before it (one row per range).
-    """
+
+def _running(df, keys, order, payload, name, hot_rows, over, piece, join) -> DataFrame:
+    """Cumulative value per key. Ordinary keys take one window; hot keys are cut into
+    ranges: a window inside each range, joined with the value of the ranges before it
+    (one row per range)."""
     cold, hot = split_hot(df, keys, hot_rows)
     upto = W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
-    out = cold.withColumn(name, F.last(payload, ignorenulls=True).over(upto))
+    out = cold.withColumn(name, over(payload, upto))
     if hot is None:
         return out
     ranged = _ranged(hot, [F.col(k) for k in keys] + list(order))
     inside = W.partitionBy(*keys, _PART).orderBy(_AT).rowsBetween(W.unboundedPreceding, 0)
-    pieces = ranged.groupBy(*keys, _PART).agg(
-        F.max_by(payload, F.when(F.col(payload).isNotNull(), F.col(_AT))).alias("__last")
-    )
-    carried = pieces.select(
-        *keys, _PART, F.last("__last", ignorenulls=True).over(_before(_PART, *keys)).alias("__carried")
-    )
+    pieces = ranged.groupBy(*keys, _PART).agg(piece(payload).alias("__piece"))
+    carried = pieces.select(*keys, _PART, over("__piece", _before(_PART, *keys)).alias("__carried"))
     filled = (
         ranged.join(carried, [*keys, _PART])
-        .withColumn(
-            name, F.coalesce(F.last(payload, ignorenulls=True).over(inside), F.col("__carried"))
-        )
+        .withColumn(name, join(over(payload, inside), F.col("__carried")))
         .select(*df.columns, name)
     )
     return out.unionByName(filled)
 
 
+def carry_forward(
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], payload: str, name: str,
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """Latest non-NULL `payload` at or before each row of its key."""
+    def piece(c: str) -> Column:
+        return F.max_by(c, F.when(F.col(c).isNotNull(), F.col(_AT)))
+
+    return _running(df, keys, order, payload, name, hot_rows, _latest, piece, F.coalesce)
+
+
+def running_max(
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], value: str, name: str,
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """Largest `value` at or before each row of its key."""
+    def over(c: str, window) -> Column:
+        return F.max(c).over(window)
+
+    return _running(df, keys, order, value, name, hot_rows, over, F.max, F.greatest)
+
+
+def previous_value(
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], value: str, name: str,
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """`value` of the row before, NULL for the first of a key."""
+    cold, hot = split_hot(df, keys, hot_rows)
+    out = cold.withColumn(name, F.lag(value).over(W.partitionBy(*keys).orderBy(*order)))
+    if hot is None:
+        return out
+    placed = positions(hot, keys, order, "__pos", hot_rows)
+    before = placed.select(*keys, (F.col("__pos") + 1).alias("__pos"), F.col(value).alias(name))
+    return out.unionByName(placed.join(before, [*keys, "__pos"], "left").select(*df.columns, name))
+
+
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int = 1,
                   rank: str = "__rank") -> DataFrame:
     """The first `n` rows per key. Spark trims every map task to `n` rows per key

@@ -54,9 +54,9 @@ def index_sequences(users: DataFrame, vocab: DataFrame, sequence: str = "item_se
     """
     flat = users.select("user_id", F.posexplode(sequence).alias("pos", "item"))
     known = flat.join(vocab.select(F.col(vocab.columns[0]).alias("item"), "item_idx"), "item", "left")
-    if strict and not known.filter(F.col("item_idx").isNull()).isEmpty():
-        raise ContractError("sequences", ["item missing from the catalog"])
     entry = F.when(F.col("item_idx").isNotNull(), F.struct("pos", "item_idx"))
+    if strict:
+        entry = entry.otherwise(F.raise_error("item missing from the catalog"))
     return known.groupBy("user_id").agg(ordered_values(F.collect_list(entry), "item_idx").alias("items"))
 
 

@@ -10,7 +10,6 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sparkrec.functions.arrays import dot, l2_normalize, ordered_values
-from sparkrec.operators.contracts import ContractError
 from sparkrec.operators.ordering import first_per_key
 
 # A catalog matrix up to this size travels to every executor; a larger one is cut into blocks.
@@ -178,9 +177,8 @@ def max_abs_difference(a: DataFrame, b: DataFrame, keys: list[str], tolerance: f
 def text_vectors(catalog: DataFrame, embeddings: DataFrame, item: str = "item_id") -> DataFrame:
     """Catalog rows with their text vector, unit length; every row must have one."""
     joined = catalog.join(embeddings, item, "left")
-    if not joined.filter(F.col("embedding").isNull()).isEmpty():
-        raise ContractError("text", ["text rows must match catalog items"])
-    return joined.withColumn("text_vec", l2_normalize("embedding")).drop("embedding")
+    present = F.coalesce("embedding", F.raise_error("text rows must match catalog items"))
+    return joined.withColumn("text_vec", l2_normalize(present)).drop("embedding")
 
 
 # ------------------------------------------------------------------ blocked products
@@ -222,6 +220,7 @@ def _tile_top(queries: pd.DataFrame, ids: np.ndarray, matrix: np.ndarray, k: int
         out = pd.DataFrame({
             "query": np.repeat(tile["query"].to_numpy(), width),
             "item_idx": found.ravel(), "score": values.ravel(),
+            "rank": np.tile(np.arange(1, width + 1), len(tile)),
         })
         yield out[np.isfinite(out["score"])]
 
@@ -299,10 +298,12 @@ def top_k(queries: DataFrame, catalog: DataFrame, k: int, dims: int,
     if "skip_idx" not in queries.columns:
         queries = queries.withColumn("skip_idx", F.lit(-1).cast("long"))
     kind = queries.schema["query"].dataType.simpleString()
-    schema = f"query {kind}, item_idx long, score double"
-    parts, _ = _blocks(queries.select("query", "vec", "skip_idx"), catalog, _tile_top, k, schema, dims,
-                       broadcast_bytes, block_rows)
-    return first_per_key(parts, ["query"], [F.desc("score"), F.asc("item_idx")], k, "rank")
+    schema = f"query {kind}, item_idx long, score double, rank int"
+    parts, whole = _blocks(queries.select("query", "vec", "skip_idx"), catalog, _tile_top, k, schema, dims,
+                           broadcast_bytes, block_rows)
+    if whole:
+        return parts
+    return first_per_key(parts.drop("rank"), ["query"], [F.desc("score"), F.asc("item_idx")], k, "rank")
 
 
 def rank_targets(queries: DataFrame, catalog: DataFrame, dims: int,

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+
+from sparkrec.operators.ordering import HOT_ROWS, positions, previous_value, running_max
 
 DEFAULT_CANDIDATE = "gru4rec"  # fixed value
 
@@ -80,29 +82,28 @@ def latest_version(versions: DataFrame, version: str = "version") -> DataFrame:
     return versions.agg(F.max_by(version, F.col(version).cast("int")).alias("version"))
 
 
-def metric_trend(versions: DataFrame, metric: str, model: str = "model") -> DataFrame:
-    """The metric per version in numeric order, with its change; a model has few versions."""
-    order = W.partitionBy(model).orderBy(F.col("version").cast("int"))
-    return versions.withColumn("change", F.col(metric) - F.lag(metric).over(order))
+def metric_trend(versions: DataFrame, metric: str, model: str = "model", hot_rows: int = HOT_ROWS) -> DataFrame:
+    """The metric per version in numeric order, with its change."""
+    number = F.col("version").cast("int")
+    before = previous_value(versions, [model], [number.asc()], metric, "__before", hot_rows)
+    return before.withColumn("change", F.col(metric) - F.col("__before")).drop("__before")
 
 
-def early_stopping(epochs: DataFrame, patience: int, run: str = "run", metric: str = "metric") -> DataFrame:
+def early_stopping(epochs: DataFrame, patience: int, run: str = "run", metric: str = "metric",
+                   hot_rows: int = HOT_ROWS) -> DataFrame:
     """(run, best_epoch, epochs_run) by replaying the per-epoch metric of each run.
 
     An epoch that reaches the best so far (ties count) becomes the best; training
-    stops after more than `patience` epochs in a row below it. A run has as many
-    rows as it had epochs.
+    stops after more than `patience` epochs in a row below it.
     """
-    order = W.partitionBy(run).orderBy("epoch")
-    so_far = order.rowsBetween(W.unboundedPreceding, 0)
-    place, good = F.col("__place"), F.col("__good")
-    marked = (
-        epochs.withColumn("__place", F.row_number().over(order))
-        .withColumn("__good", F.col(metric) >= F.max(metric).over(so_far))
-        .withColumn("__last_good", F.max(F.when(good, place)).over(so_far))
-    )
-    stop = F.min(F.when(place - F.col("__last_good") > patience, place)).over(W.partitionBy(run))
-    ran = marked.withColumn("__stop", stop).filter(F.col("__stop").isNull() | (place <= F.col("__stop")))
+    order, place, good = [F.asc("__place")], F.col("__place"), F.col("__good")
+    placed = positions(epochs, [run], [F.asc("epoch")], "__place", hot_rows)
+    best = running_max(placed, [run], order, metric, "__best", hot_rows).withColumn(
+        "__good", F.when(F.col(metric) >= F.col("__best"), place))
+    marked = running_max(best, [run], order, "__good", "__last_good", hot_rows)
+    stops = marked.groupBy(run).agg(
+        F.min(F.when(place - F.col("__last_good") > patience, place)).alias("__stop"))
+    ran = marked.join(stops, run).filter(F.col("__stop").isNull() | (place <= F.col("__stop")))
     return ran.groupBy(run).agg(
-        F.max(F.when(good, F.col("epoch"))).alias("best_epoch"), F.count("*").alias("epochs_run")
+        F.max(F.when(good.isNotNull(), F.col("epoch"))).alias("best_epoch"), F.count("*").alias("epochs_run")
     )

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sparkrec.operators import gold, silver
 from sparkrec.operators.contracts import SILVER_INTERACTIONS
+from sparkrec.session import durable
 
 SILVER_COLUMNS = SILVER_INTERACTIONS.names
 TIES = ("product_id", "event_type", "rating")
@@ -103,6 +104,16 @@ def silver_interactions(spark: SparkSession, sf: str, bronze: DataFrame | None =
     return silver.latest_by_key(source, ["interaction_id"], SILVER_COLUMNS, TIES)
 
 
+def silver_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Silver as a stored table, for queries that read it more than once."""
+    return durable(silver_interactions(spark, sf))
+
+
+def user_table(spark: SparkSession, sf: str) -> DataFrame:
+    """User sequences as a stored table."""
+    return durable(user_sequences(spark, sf))
+
+
 SILVER = f"silver AS ({latest_sql('bronze')})"
 
 
@@ -127,9 +138,9 @@ BRONZE_PRODUCTS = """bronze_products AS (
   FROM lineitem JOIN part ON l_partkey = p_partkey)"""
 
 
-def item_features(spark: SparkSession, sf: str) -> DataFrame:
-    return gold.item_features(
-        products(spark, sf), silver_interactions(spark, sf), F.lit(COMPUTED_AT).cast("timestamp_ntz"))
+def item_features(spark: SparkSession, sf: str, interactions: DataFrame | None = None) -> DataFrame:
+    source = silver_interactions(spark, sf) if interactions is None else interactions
+    return gold.item_features(products(spark, sf), source, F.lit(COMPUTED_AT).cast("timestamp_ntz"))
 
 
 ITEM_FEATURES = """items AS (

@@ -22,7 +22,7 @@ flagged AS (SELECT product_id, rating, product_id NOT IN (SELECT product_id FROM
 
 
 def sides(spark, sf) -> tuple[DataFrame, DataFrame]:
-    silver = I.silver_interactions(spark, sf)
+    silver = I.silver_table(spark, sf)
     baseline = silver.filter(F.col("event_time") < I.ntz(CUT))
     current = drift.flag_cold_items(silver, baseline, "product_id")
     return baseline.withColumn("is_cold_start_item", F.lit(False)), current
@@ -87,7 +87,7 @@ SELECT 'silver_snapshot' AS moved, COUNT(*) AS rows, round(AVG(CAST(rating AS DO
 WHERE event_time < TIMESTAMP '{CUT}'""")
 def _(spark, sf):
     root, at = scratch_dir(spark), datetime(2026, 1, 2)
-    silver, history = I.silver_interactions(spark, sf), Table(spark, f"{root}/silver")
+    silver, history = I.silver_table(spark, sf), Table(spark, f"{root}/silver")
     history.overwrite(silver.filter(F.col("event_time") < I.ntz(CUT)), at)
     history.overwrite(silver, at)
     result = decisions.refresh_baseline(f"{root}/baseline", history, "7", 1, at)

@@ -5,10 +5,10 @@ from __future__ import annotations
 from datetime import datetime
 
 import numpy as np
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from sparkrec.functions import arrays
-from sparkrec.operators import gold, metrics, rerank, samples, scoring, selection, similar
+from sparkrec.operators import gold, metrics, ordering, rerank, samples, scoring, selection, similar
 from sparkrec.plans import inputs as I, training_queries as T
 from sparkrec.plans.inputs import DIMS, with_
 from sparkrec.plans.registry import query
@@ -20,14 +20,17 @@ SCORED = (I.BRONZE, I.SILVER, I.USERS, I.VECTORS, I.STATES)
 MAX_LEN = 10
 
 
-def user_states(spark, sf) -> DataFrame:
-    histories = scoring.history_vectors(
-        I.user_sequences(spark, sf), I.vectors(spark, sf), "item_sequence", MAX_LEN, item="product_id")
-    return scoring.last_item_states(histories)
+def user_histories(spark, sf, silver: DataFrame | None = None) -> DataFrame:
+    return scoring.history_vectors(
+        I.user_sequences(spark, sf, silver), I.vectors(spark, sf), "item_sequence", MAX_LEN, item="product_id")
 
 
-def pairs(spark, sf) -> DataFrame:
-    return I.silver_interactions(spark, sf).select("user_id", "product_id").distinct()
+def user_states(spark, sf, silver: DataFrame | None = None) -> DataFrame:
+    return scoring.last_item_states(user_histories(spark, sf, silver))
+
+
+def pairs(silver: DataFrame) -> DataFrame:
+    return silver.select("user_id", "product_id").distinct()
 
 
 PAIR_SCORES = """pairs AS (SELECT DISTINCT user_id, product_id FROM silver),
@@ -69,25 +72,22 @@ def _(spark, sf):
     backbone = scoring.GRUBackbone(
         rng.normal(size=(3 * DIMS, DIMS)) / 8, rng.normal(size=(3 * DIMS, DIMS)) / 8,
         rng.normal(size=(DIMS, DIMS)) / 8, np.zeros(DIMS))
-    histories = scoring.history_vectors(
-        I.user_sequences(spark, sf), I.vectors(spark, sf), "item_sequence", MAX_LEN, item="product_id")
-    states = scoring.user_states(histories, backbone)
+    states = scoring.user_states(user_histories(spark, sf), backbone)
     return states.select("user_id", F.transform("state", lambda x: F.round(x, 5)).alias("state"))
 
 
 @query("g2_last_item_states", with_(*SCORED) + """
 SELECT user_id, round(state[1], 6) AS first, round(list_sum(state), 6) AS total FROM states""")
 def _(spark, sf):
-    histories = scoring.history_vectors(
-        I.user_sequences(spark, sf), I.vectors(spark, sf), "item_sequence", MAX_LEN, item="product_id")
-    states = scoring.user_states(histories, scoring.last_vector)
+    states = scoring.user_states(user_histories(spark, sf), scoring.last_vector)
     total = F.aggregate("state", F.lit(0.0), lambda a, x: a + x)
     return states.select("user_id", F.round(F.get("state", F.lit(0)), 6).alias("first"), F.round(total, 6).alias("total"))
 
 
 @query("g3_scores", with_(*SCORED, PAIR_SCORES) + "SELECT user_id, product_id, round(score, 6) AS score FROM scores")
 def _(spark, sf):
-    out = scoring.score_candidates(pairs(spark, sf), user_states(spark, sf), I.vectors(spark, sf), item="product_id")
+    silver = I.silver_table(spark, sf)
+    out = scoring.score_candidates(pairs(silver), user_states(spark, sf, silver), I.vectors(spark, sf), item="product_id")
     return out.withColumn("score", F.round("score", 6))
 
 
@@ -120,13 +120,15 @@ SELECT user_id, product_id, round(score, 6) AS score, CAST(position AS INT) AS p
 UNION ALL SELECT user_id, product_id, 0.0, CAST(position AS INT), 'fallback' FROM
   (SELECT DISTINCT user_id FROM users WHERE user_id NOT IN (SELECT user_id FROM scores WHERE score <> 0.0)) CROSS JOIN popular WHERE position <= 10""")
 def _(spark, sf):
-    scored = scoring.score_candidates(pairs(spark, sf), user_states(spark, sf), I.vectors(spark, sf), item="product_id")
+    silver = I.silver_table(spark, sf)
+    scored = durable(scoring.score_candidates(
+        pairs(silver), user_states(spark, sf, silver), I.vectors(spark, sf), item="product_id"))
     top = scoring.top_n(scored, "user_id", "product_id", 10).withColumnRenamed("rank", "position")
     useful = scored.filter("score <> 0.0").select("user_id").distinct()
     model = top.join(useful, "user_id", "left_semi").select(
         "user_id", "product_id", "score", "position", F.lit(rerank.MODEL).alias("source"))
-    rest = I.user_sequences(spark, sf).select("user_id").join(useful, "user_id", "left_anti")
-    out = model.unionByName(rerank.fallback_rows(rest, I.item_features(spark, sf), 10))
+    rest = silver.select("user_id").distinct().join(useful, "user_id", "left_anti")
+    out = model.unionByName(rerank.fallback_rows(rest, I.item_features(spark, sf, silver), 10))
     return out.withColumn("score", F.round("score", 6))
 
 
@@ -146,11 +148,11 @@ def _(spark, sf):
 @query("g7_score_consistency", with_(*SCORED, PAIR_SCORES) + """
 SELECT COUNT(*) AS pairs, TRUE AS consistent FROM scores""")
 def _(spark, sf):
-    direct = scoring.score_candidates(pairs(spark, sf), user_states(spark, sf), I.vectors(spark, sf), item="product_id")
-    histories = scoring.history_vectors(
-        I.user_sequences(spark, sf), I.vectors(spark, sf), "item_sequence", MAX_LEN, item="product_id")
+    silver, items = I.silver_table(spark, sf), I.vectors(spark, sf)
+    asked, histories = pairs(silver), durable(user_histories(spark, sf, silver))
+    direct = scoring.score_candidates(asked, scoring.last_item_states(histories), items, item="product_id")
     served = scoring.score_candidates(
-        pairs(spark, sf), scoring.user_states(histories, scoring.last_vector), I.vectors(spark, sf), item="product_id")
+        asked, scoring.user_states(histories, scoring.last_vector), items, item="product_id")
     return scoring.max_abs_difference(direct, served, ["user_id", "product_id"]).select("pairs", "consistent")
 
 
@@ -169,7 +171,7 @@ SAMPLED = (I.BRONZE, I.SILVER, I.USERS, I.VECTORS, SAMPLES)
 
 def catalog_ranks(spark, sf) -> DataFrame:
     """(query, strict_rank, rank) of each user's last item given the ones before."""
-    items, users = I.vectors(spark, sf), I.user_sequences(spark, sf).filter("sequence_length >= 2")
+    items, users = I.vectors(spark, sf), I.user_table(spark, sf).filter("sequence_length >= 2")
     before = users.select("user_id", F.expr("slice(item_sequence, 1, sequence_length - 1)").alias("seq"))
     states = scoring.last_item_states(scoring.history_vectors(before, items, "seq", MAX_LEN, item="product_id"))
     last = users.select("user_id", F.element_at("item_sequence", -1).alias("product_id"))
@@ -247,9 +249,9 @@ POP_RANKS = """pop AS (SELECT item_idx, item_id, train_count, row_number() OVER
   FROM (SELECT item_id, train_count, row_number() OVER (ORDER BY item_id) AS item_idx FROM counts))"""
 
 
-def indexed_counts(spark, sf) -> DataFrame:
+def indexed_counts(spark, sf, users: DataFrame | None = None) -> DataFrame:
     vocab = T.vocab(spark, sf).withColumnRenamed("product_id", "item_id")
-    return vocab.join(T.train_counts(spark, sf), "item_id")
+    return vocab.join(T.train_counts(spark, sf, users), "item_id")
 
 
 @query("h5_popularity_ranks", with_(*T.COUNTED, POP_RANKS) + "SELECT * FROM pop")
@@ -261,8 +263,9 @@ def _(spark, sf):
 SELECT {T.SPLIT} AS split, COUNT(*) AS samples, {_metric_sql('rank', names=('ndcg', 'recall'))}
 FROM loo JOIN pop ON pop.item_idx = loo.target GROUP BY 1""")
 def _(spark, sf):
-    targets = samples.leave_one_out(T.indexed(spark, sf), T.MAX_LEN)
-    return _rounded(metrics.popularity_baseline(targets, indexed_counts(spark, sf), ["split"]))
+    users = I.user_table(spark, sf)
+    targets = samples.leave_one_out(T.indexed(spark, sf, users), T.MAX_LEN)
+    return _rounded(metrics.popularity_baseline(targets, indexed_counts(spark, sf, users), ["split"]))
 
 
 @query("h7_per_sample_ndcg", with_(ORDER_SCORES) + f"""
@@ -322,7 +325,7 @@ def _translated(spark, sf) -> tuple[DataFrame, DataFrame, DataFrame]:
     vocab, champion = T.vocab(spark, sf), I.vectors(spark, sf)
     valid = samples.two_way_split(T.indexed(spark, sf)).filter(F.col("split") == samples.VALID).select(
         F.col("user_id").alias("sample"), "seq", "target")
-    moved = metrics.translate_history(valid, vocab, champion.select("product_id", "item_idx"), MAX_LEN)
+    moved = metrics.translate_history(durable(valid), vocab, champion.select("product_id", "item_idx"), MAX_LEN)
     return moved, vocab, champion
 
 
@@ -340,6 +343,7 @@ beaten AS (SELECT sample, COUNT(*) FILTER (WHERE old <> source_target AND (s > b
 SELECT sample, CASE WHEN n < 20 THEN n + 1 ELSE 21 END AS rank FROM valid LEFT JOIN beaten USING (sample)""")
 def _(spark, sf):
     moved, vocab, champion = _translated(spark, sf)
+    moved = durable(moved)
     steps = moved.select("sample", F.col("history").alias("seq")).withColumnRenamed("sample", "user_id")
     histories = scoring.history_vectors(steps, champion.select("item_idx", "vec"), "seq", MAX_LEN, item="item_idx")
     states = scoring.last_item_states(histories).withColumnRenamed("user_id", "sample")
@@ -357,9 +361,10 @@ RUNS_SQL = """runs AS (SELECT o_orderkey AS run, o_totalprice AS candidate_metri
 
 
 def runs(spark, sf) -> DataFrame:
-    before = W.partitionBy("o_custkey").orderBy("o_orderkey")
-    prior, total = F.lag("o_orderkey").over(before).cast("string"), F.lag("o_totalprice").over(before)
-    return I.table(spark, sf, "orders").select(
+    orders = I.table(spark, sf, "orders").withColumn("own", F.struct("o_orderkey", "o_totalprice"))
+    chained = ordering.previous_value(orders, ["o_custkey"], [F.asc("o_orderkey")], "own", "before")
+    prior, total = F.col("before.o_orderkey").cast("string"), F.col("before.o_totalprice")
+    return chained.select(
         F.col("o_orderkey").alias("run"), F.col("o_totalprice").alias("candidate_metric"),
         prior.alias("production_version"), total.alias("production_metric"),
         F.when(F.col("o_orderpriority") < "3", prior).otherwise("-1").alias("champion_version"),
@@ -509,9 +514,9 @@ def _(spark, sf):
 
 
 def homepage(spark, sf) -> DataFrame:
-    items, vectors = durable(I.item_features(spark, sf)), I.vectors(spark, sf)
-    fresh = recents(spark, sf)
-    merged = rerank.merged_sequences(I.user_sequences(spark, sf), fresh)
+    silver, vectors, fresh = I.silver_table(spark, sf), I.vectors(spark, sf), durable(recents(spark, sf))
+    items = durable(I.item_features(spark, sf, silver))
+    merged = rerank.merged_sequences(I.user_sequences(spark, sf, silver), fresh)
     histories = scoring.history_vectors(merged, vectors, "items", MAX_LEN, item="product_id")
     states = durable(scoring.last_item_states(histories))
     users = I.table(spark, sf, "customer").select(

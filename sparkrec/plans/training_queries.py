@@ -9,6 +9,7 @@ from sparkrec.operators import item_features, samples
 from sparkrec.plans import inputs as I
 from sparkrec.plans.inputs import with_
 from sparkrec.plans.registry import query
+from sparkrec.session import durable
 
 MAX_LEN = 6
 VOCAB = "vocab AS (SELECT product_id, row_number() OVER (ORDER BY product_id) AS item_idx FROM (SELECT DISTINCT product_id FROM products))"
@@ -23,8 +24,9 @@ def vocab(spark, sf):
     return samples.item_vocab(I.products(spark, sf))
 
 
-def indexed(spark, sf):
-    return samples.index_sequences(I.user_sequences(spark, sf), vocab(spark, sf))
+def indexed(spark, sf, users=None):
+    users = I.user_sequences(spark, sf) if users is None else users
+    return samples.index_sequences(users, vocab(spark, sf))
 
 
 @query("f1_item_vocab", with_(I.PRODUCTS, VOCAB) + "SELECT * FROM vocab")
@@ -95,8 +97,8 @@ COUNTS = """counts AS (SELECT p.product_id AS item_id, COUNT(e.item_id) AS train
   WHERE back > 2) e ON e.item_id = p.product_id GROUP BY p.product_id)"""
 
 
-def train_counts(spark, sf):
-    inter = samples.explode_sequences(I.user_sequences(spark, sf))
+def train_counts(spark, sf, users=None):
+    inter = samples.explode_sequences(I.user_table(spark, sf) if users is None else users)
     catalog = samples.catalog_meta(I.products(spark, sf))
     return samples.train_counts(inter, catalog, [F.desc("ts"), F.desc("pos")])
 
@@ -113,7 +115,7 @@ def _(spark, sf):
 SELECT item_id, train_count, round(CASE WHEN (SELECT MAX(train_count) FROM counts) > 0
   THEN ln(1 + train_count) / ln(1 + (SELECT MAX(train_count) FROM counts)) ELSE 0 END, 6) AS popularity FROM counts""")
 def _(spark, sf):
-    return samples.popularity_signal(train_counts(spark, sf)).withColumn("popularity", F.round("popularity", 6))
+    return samples.popularity_signal(durable(train_counts(spark, sf))).withColumn("popularity", F.round("popularity", 6))
 
 
 PRICES = """edges AS (SELECT quantile_cont(CAST(price AS DOUBLE), [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]) AS edges
@@ -190,7 +192,7 @@ KNOWN_FIT = FIT.replace("FROM longtok GROUP BY", "FROM longtok WHERE item_id IN
 SELECT item_id, array_to_string(list_resize(categories, 3, 0), ',') AS categories, CAST(store AS INT) AS store, CAST(price AS INT) AS price FROM enc""")
 def _(spark, sf):
     # fitted on the items a model knows, so the others bring unknown tokens
-    features = item_features.build_features(meta(spark, sf))
+    features = durable(item_features.build_features(meta(spark, sf)))
     known = I.vectors(spark, sf).select(F.col("product_id").alias("item_id"))
     fitted = item_features.fit_vocab(features.join(known, "item_id", "left_semi"))
     out = item_features.encode_features(features, fitted)
@@ -207,8 +209,9 @@ def _(spark, sf):
 SELECT row_number() OVER (ORDER BY item_id) AS item_idx, item_id, array_to_string(list_resize(categories, 3, 0), ',') AS categories,
   CAST(store AS INT) AS store, CAST(price AS INT) AS price, train_count FROM enc JOIN counts USING (item_id)""")
 def _(spark, sf):
-    inter = samples.explode_sequences(I.user_sequences(spark, sf))
-    out = item_features.assemble_catalog(meta(spark, sf), train_counts(spark, sf), inter)
+    users = I.user_table(spark, sf)
+    inter = samples.explode_sequences(users)
+    out = item_features.assemble_catalog(meta(spark, sf), train_counts(spark, sf, users), inter)
     return out.withColumn("categories", F.array_join("categories", ","))
 
 
@@ -221,5 +224,6 @@ SELECT (SELECT COUNT(*) FROM counts) AS items, (SELECT COUNT(*) FROM counts WHER
   COUNT(*) FILTER (WHERE {SPLIT} = 'test') AS test_samples FROM loo""")
 def _(spark, sf):
     fitted = item_features.fit_vocab(item_features.build_features(meta(spark, sf)))
+    users = I.user_table(spark, sf)
     return item_features.dataset_facts(
-        train_counts(spark, sf), fitted, samples.leave_one_out(indexed(spark, sf), MAX_LEN))
+        train_counts(spark, sf, users), fitted, samples.leave_one_out(indexed(spark, sf, users), MAX_LEN))

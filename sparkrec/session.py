@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -17,6 +17,7 @@ def build_session(name: str = "sparkrec", **conf: str) -> SparkSession:
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         **conf,
     }
@@ -40,6 +41,10 @@ def scratch_dir(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/sparkrec-{uuid.uuid4().hex}"
 
 
+# A side of at most this many narrow rows may be sent to every executor.
+BROADCAST_ROWS = 1_000_000
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Write `df` to a table in the shared folder and read it back.
 
@@ -50,3 +55,9 @@ def durable(df: DataFrame) -> DataFrame:
     path = scratch_dir(spark)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """`df`, marked for broadcast if it is counted to be small; otherwise left to shuffle."""
+    stored = durable(df)
+    return F.broadcast(stored) if stored.count() <= max_rows else stored

@@ -62,8 +62,9 @@ def upsert_batch(batch: DataFrame, batch_id: int, table: Table, key: str, column
     """One micro-batch into Silver. A repeated batch changes no row: nothing in it is newer."""
     newest = silver.latest_by_key(batch, [key], columns, order_ties)
     if table.state() is None:
-        table.overwrite(newest.limit(0), committed_at)
-    merged = silver.merge(table.read().select(*columns), newest, key)
+        merged = newest.withColumn("change", F.lit("inserted"))
+    else:
+        merged = silver.merge(table.read().select(*columns), newest, key)
     seen = Observation()
     labels = [F.count_if(F.col("change") == c).alias(c) for c in ("inserted", "updated", "unchanged", "stale")]
     table.overwrite(merged.observe(seen, *labels).drop("change"), committed_at)
