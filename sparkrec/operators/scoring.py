@@ -275,14 +275,15 @@ def _blocks(queries: DataFrame, catalog: DataFrame, tile_fn, k: int, schema: str
         return F.explode(F.transform(each, make))
 
     left = queries.withColumn("cell", cell_of(F.col("query"), down, across, True))
-    right = catalog.select("item_idx", "vec").withColumn(
-        "cell", cell_of(F.col("item_idx"), across, down, False))
+    # own column names: both sides may come from the same frame
+    right = catalog.select(F.col("item_idx").alias("c_idx"), F.col("vec").alias("c_vec")).withColumn(
+        "cell", cell_of(F.col("c_idx"), across, down, False))
 
     def one_cell(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
         if not len(q) or not len(c):
             return pd.DataFrame({n.split()[0]: [] for n in schema.split(", ")})
-        c = c.sort_values("item_idx")
-        tiles = tile_fn(q, c["item_idx"].to_numpy(dtype=np.int64), _matrix(c["vec"]), k)
+        c = c.sort_values("c_idx")
+        tiles = tile_fn(q, c["c_idx"].to_numpy(dtype=np.int64), _matrix(c["c_vec"]), k)
         return pd.concat(list(tiles), ignore_index=True)
 
     return left.groupBy("cell").cogroup(right.groupBy("cell")).applyInPandas(one_cell, schema), False

@@ -96,7 +96,7 @@ def _(spark, sf):
 
 @query("k3_sessions_stream", SESSIONS + """
 SELECT user_id, session_start, last_ts, events FROM closed
-WHERE last_ts + INTERVAL 30 MINUTE <= date_trunc('millisecond', (SELECT MAX(ts) FROM stream)) - INTERVAL 10 MINUTE""")
+WHERE last_ts + INTERVAL 1799999999 MICROSECOND <= date_trunc('millisecond', (SELECT MAX(ts) FROM stream)) - INTERVAL 10 MINUTE""")
 def _(spark, sf):
     out = drain(sessions.inactivity_sessions_stream(I.events(spark, sf, raw_stream(spark, sf))), "append")
     return out.select("user_id", F.col("session_start").cast("timestamp_ntz").alias("session_start"),

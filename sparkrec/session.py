@@ -27,17 +27,20 @@ def build_session(name: str = "sparkrec", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+_fallback: list[str] = []
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """A fresh path below the shared folder the cluster names for checkpoints.
 
-    Only where the session names none (tests, local runs) a temporary folder is
-    chosen once and kept in the session settings.
+    Only where the session names none (tests, local runs) one temporary folder is
+    chosen per process.
     """
     root = spark.conf.get(CHECKPOINT_DIR, None)
     if not root:
-        configured = spark.sparkContext.getConf().get(CHECKPOINT_DIR, None)
-        root = configured or tempfile.mkdtemp(prefix="run-", dir="/tmp")
-        spark.conf.set(CHECKPOINT_DIR, root)
+        if not _fallback:
+            _fallback.append(tempfile.mkdtemp(prefix="run-", dir="/tmp"))
+        root = _fallback[0]
     return f"{root.rstrip('/')}/sparkrec-{uuid.uuid4().hex}"
 
 
