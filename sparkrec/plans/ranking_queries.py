@@ -522,12 +522,8 @@ def homepage(spark, sf) -> DataFrame:
     users = I.table(spark, sf, "customer").select(
         F.concat(F.lit("u"), F.col("c_custkey").cast("string")).alias("user_id"))
 
-    def scored(pairs):
-        return scoring.score_candidates(pairs, states, vectors, item="product_id")
-
-    best = durable(best_items(spark, sf, 10, states))
     page = rerank.homepage(
-        users, best, scored, fresh, neighbours(spark, sf), items, gold.item_metadata(items), 10)
+        users, states, vectors, fresh, neighbours(spark, sf), items, gold.item_metadata(items), DIMS, 10)
     return page.select("user_id", "position", "product_id", F.round("score", 6).alias("score"), "source", "title", "description", "image_url")
 
 
@@ -535,9 +531,13 @@ def homepage(spark, sf) -> DataFrame:
                             I.VECTORS, """
 known AS (SELECT s.user_id, s.pos, h.vec FROM
   (SELECT user_id, unnest(items) AS product_id, generate_subscripts(items, 1) AS pos FROM seqs) s JOIN h ON h.product_id = s.product_id),
-states AS (SELECT user_id, arg_max(vec, pos) AS state FROM known GROUP BY user_id)""", BEST, SIMILAR, BOOSTS, """
-placed AS (SELECT b.user_id, b.product_id, b.score, row_number() OVER (PARTITION BY b.user_id ORDER BY boost IS NULL, boost, rank) AS position
-  FROM best b LEFT JOIN boosts x ON x.user_id = b.user_id AND x.product_id = b.product_id),
+states AS (SELECT user_id, arg_max(vec, pos) AS state FROM known GROUP BY user_id),
+all_scores AS (SELECT user_id, p.product_id, p.position AS popularity, COALESCE(round(list_dot_product(state, vec), 9), 0.0) AS score
+  FROM states CROSS JOIN popular p LEFT JOIN h ON h.product_id = p.product_id)""", SIMILAR, BOOSTS, """
+placed AS (SELECT b.user_id, b.product_id, b.score,
+    row_number() OVER (PARTITION BY b.user_id ORDER BY boost IS NULL, boost, score DESC, popularity) AS position
+  FROM all_scores b LEFT JOIN boosts x ON x.user_id = b.user_id AND x.product_id = b.product_id
+  WHERE b.user_id IN (SELECT user_id FROM all_scores WHERE score <> 0.0)),
 page AS (SELECT user_id, position, product_id, score, 'model' AS source FROM placed WHERE position <= 10
   UNION ALL SELECT user_id, position, product_id, 0.0, 'fallback' FROM
   (SELECT 'u' || CAST(c_custkey AS VARCHAR) AS user_id FROM customer WHERE 'u' || CAST(c_custkey AS VARCHAR) NOT IN (SELECT user_id FROM placed))

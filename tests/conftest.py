@@ -15,7 +15,9 @@ def spark():
     from sparkrec.session import build_session
 
     session = build_session("tests", **{
-        "spark.master": "local[8]", "spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false"})
+        "spark.master": "local[8]", "spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false",
+        # tiny inputs: compiling plans would cost more than running them
+        "spark.sql.codegen.wholeStage": "false"})
     session.sparkContext.setLogLevel("OFF")
     yield session
     session.stop()

@@ -272,7 +272,7 @@ def test_popular_and_fallback(spark, rows):
     assert [r.product_id for r in gold.popular_items(catalog, 9).collect()] == ["high", "mid", "low", "none"]
     users = spark.createDataFrame([("a",), ("b",), ("c",)], "user_id string")
     scores = spark.createDataFrame([("a", "mid", 0.0, 1), ("b", "low", 0.5, 1)], "user_id string, product_id string, score double, position int")
-    out = rerank.with_fallback(users, scores, catalog, 2)
+    out = rerank.with_fallback(users, scores, scores.filter("score <> 0.0").select("user_id"), catalog, 2)
     assert rows(out, "user_id", "position", "product_id", "source") == [
         ("a", 1.0, "high", "fallback"), ("a", 2.0, "mid", "fallback"), ("b", 1.0, "low", "model"),
         ("c", 1.0, "high", "fallback"), ("c", 2.0, "mid", "fallback")]
@@ -281,24 +281,38 @@ def test_popular_and_fallback(spark, rows):
     assert rows(shown) == [("low", ("mid",), "similar_items"), ("mid", ("high", "mid"), "fallback")]
 
 
-def test_homepage_boost_equals_reordering_the_full_ranking(spark):
+@pytest.mark.parametrize("limits", [{}, {"broadcast_bytes": 0, "block_rows": 8}])
+def test_homepage_equals_reordering_the_full_ranking(spark, limits):
     rng = np.random.default_rng(9)
     matrix = rng.normal(size=(30, 4))
+    matrix[:, 0] = np.abs(matrix[:, 0])
     vec = vectors(spark, matrix)
-    states = spark.createDataFrame([("u", [float(x) for x in rng.normal(size=4)])], "user_id string, state array<double>")
-    queries = states.select(F.col("user_id").alias("query"), F.col("state").alias("vec"))
-
-    def ranked(n):
-        found = scoring.top_k(queries, vec, n, 4).join(vec.select("item_idx", "product_id"), "item_idx")
-        return found.select(F.col("query").alias("user_id"), "product_id", "score", "rank")
-
-    recents = spark.createDataFrame([("u", ["i3", "i7"])], "user_id string, recent_items array<string>")
-    lists = similar.neighbour_lists(similar.top_k_similar(vec.select("item_idx", "vec"), 4, 4), vec.select("product_id", "item_idx"))
-    catalog = vec.select("product_id", F.lit(1).alias("num_purchases"), F.lit(1).alias("num_views"))
-    page = rerank.homepage(
-        spark.createDataFrame([("u",)], "user_id string"), ranked(10),
-        lambda pairs: scoring.score_candidates(pairs, states, vec, item="product_id"),
-        recents, lists, catalog, catalog.select("product_id", F.lit("t").alias("title")), 10)
-    full = rerank.recency_boost(ranked(30), rerank.boost_keys(recents, lists)).filter("position <= 10")
-    assert [(r.position, r.product_id) for r in page.orderBy("position").collect()] == [
-        (r.position, r.product_id) for r in full.orderBy("position").collect()]
+    # "low" scores every known item below 0, "none" scores all of them 0
+    state = {"u": rng.normal(size=4), "low": np.array([-1.0, 0, 0, 0]), "none": np.zeros(4)}
+    states = spark.createDataFrame([(u, [float(x) for x in v]) for u, v in state.items()], "user_id string, state array<double>")
+    # the catalog lacks i1..i5 and has 14 items the model does not know
+    names = [f"i{i}" for i in range(6, 31)] + [f"new{i:02}" for i in range(14)]
+    sold = {n: int(x) for n, x in zip(names, rng.integers(0, 9, len(names)))}
+    catalog = items(spark, *[(n, s, 0) for n, s in sold.items()])
+    near = similar.neighbour_lists(similar.top_k_similar(vec.select("item_idx", "vec"), 4, 4), vec.select("product_id", "item_idx"))
+    session = {"u": ["i3", "i7"], "low": ["i9"], "cold": ["i9"]}
+    recents = spark.createDataFrame(list(session.items()), "user_id string, recent_items array<string>")
+    users = spark.createDataFrame([(u,) for u in ("u", "low", "none", "cold")], "user_id string")
+    page = rerank.homepage(users, states, vec, recents, near, catalog,
+                           catalog.select("product_id", F.lit("t").alias("title")), 4, 10, **limits)
+    got = {}
+    for r in page.orderBy("user_id", "position").collect():
+        got.setdefault(r.user_id, []).append((r.product_id, r.source))
+
+    popular = sorted(names, key=lambda n: (-sold[n], n))
+    lists = {r.product_id: r.similar for r in near.collect()}
+    for user in ("u", "low"):
+        score = {n: round(float(matrix[int(n[1:]) - 1] @ state[user]), 9) if n[0] == "i" else 0.0 for n in names}
+        order = sorted(popular, key=lambda n: -score[n])
+        front = []
+        for recent in reversed(session[user]):
+            front += [s for s in lists[recent] if s in score and s not in front]
+        order = front + [n for n in order if n not in front]
+        assert got[user] == [(n, "model") for n in order[:10]]
+    for user in ("none", "cold"):
+        assert got[user] == [(n, "fallback") for n in popular[:10]]
