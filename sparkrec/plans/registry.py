@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sparkrec.session import ship_package
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -16,7 +18,12 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def register(fn: Query) -> Query:
         if name in QUERIES:
             raise ValueError(f"query {name} registered twice")
-        QUERIES[name] = fn
+
+        def run(spark: SparkSession, sf: str) -> DataFrame:
+            ship_package(spark)
+            return fn(spark, sf)
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = sql
         return fn

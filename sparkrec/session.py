@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -28,6 +30,7 @@ def build_session(name: str = "sparkrec", **conf: str) -> SparkSession:
 
 
 _fallback: list[str] = []
+_shipped: set[str] = set()
 
 
 def scratch_dir(spark: SparkSession) -> str:
@@ -64,3 +67,21 @@ def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFram
     """`df`, marked for broadcast if it is counted to be small; otherwise left to shuffle."""
     stored = durable(df)
     return F.broadcast(stored) if stored.count() <= max_rows else stored
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in Python workers, once per application.
+
+    Clusters usually get it through `--py-files`; this covers sessions started
+    without it.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).parent
+    archive = Path(tempfile.mkdtemp(prefix="run-", dir="/tmp")) / "sparkrec.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
