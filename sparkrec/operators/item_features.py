@@ -185,6 +185,5 @@ def dataset_facts(catalog: DataFrame, vocab: DataFrame, samples: DataFrame) -> D
     parts = samples.agg(*[
         F.count_if(F.col("split") == s).alias(f"{s}_samples") for s in ("train", "valid", "test")
     ])
-    one = F.lit(1).alias("__one")
-    joined = items.select("*", one).join(sizes.select("*", one), "__one").join(parts.select("*", one), "__one")
-    return joined.drop("__one")
+    rows = items.unionByName(sizes, True).unionByName(parts, True)
+    return rows.agg(*[F.max(c).alias(c) for c in rows.columns])

@@ -43,8 +43,12 @@ def item_vectors(items: DataFrame, weights: dict[str, np.ndarray], fusion: str =
     `items` carries the per-row tables already joined: id_vec, store_vec (arrays),
     categories (indices), price (index), train_count, and text_vec if text is used.
     `weights` holds only the small shared matrices: category, price, text_w, text_b,
-    feat_w, feat_b, norm_w, norm_b, gate_w, gate_b.
+    feat_w, feat_b, norm_w, norm_b, gate_w, gate_b. A category table too large for
+    that is joined as well, as `category_vec` (mean of an item's categories).
     """
+    size = sum(w.nbytes for w in weights.values())
+    if size > BROADCAST_BYTES:
+        raise ValueError(f"weights of {size} bytes are too large to share: join the large table to the items")
     shared = items.sparkSession.sparkContext.broadcast(weights)
     top = items.agg(F.max("train_count")).first()[0] or 0
     scale = float(np.log1p(top)) if top > 0 else 1.0
@@ -60,8 +64,12 @@ def item_vectors(items: DataFrame, weights: dict[str, np.ndarray], fusion: str =
             if fusion == "id_only":
                 h = e
             else:
+                if "category_vec" in batch:
+                    categories = np.stack(batch["category_vec"]).astype(float)
+                else:
+                    categories = mean_categories(list(batch["categories"]), w["category"])
                 parts = [
-                    mean_categories(list(batch["categories"]), w["category"]),
+                    categories,
                     np.stack(batch["store_vec"]).astype(float),
                     w["price"][batch["price"].to_numpy(dtype=int)],
                 ]

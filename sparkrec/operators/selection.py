@@ -49,8 +49,8 @@ def select_winner(candidates: DataFrame, margins: DataFrame, default: str = DEFA
         (-F.col("n_params")).alias("p"), (-F.col("list_order")).alias("o"),
     )
     best = ranked.agg(F.max_by("candidate", order).alias("winner"))
-    sound = best.withColumn("bad", F.lit(0)).join(checked, "bad")
-    return sound.select("winner", F.lit(default).alias("default"))
+    both = best.unionByName(checked, True).agg(F.max("winner").alias("winner"), F.max("bad").alias("bad"))
+    return both.filter("bad = 0").select("winner", F.lit(default).alias("default"))
 
 
 def decide_promotion(runs: DataFrame, min_delta: float = 0.0) -> DataFrame:

@@ -160,6 +160,11 @@ def test_item_vectors_of_cold_items(spark):
     assert np.allclose(run("sum")["warm"], 1 + f, atol=1e-5) and np.allclose(run("sum")["cold"], f, atol=1e-5)
     assert np.allclose(run("gate")["warm"], 0.5 + 0.5 * f, atol=1e-5) and np.allclose(run("gate")["cold"], 0.5 * f, atol=1e-5)
     assert np.allclose(run("id_only")["cold"], 0)
+    joined = items.withColumn("category_vec", F.expr("IF(item_idx = 1, array(2.0D, 4.0D), array(0.0D, 0.0D))"))
+    again = {r.item_id: np.array(r.vec) for r in scoring.item_vectors(joined, {k: v for k, v in weights.items() if k != "category"}).collect()}
+    assert all(np.allclose(again[i], v) for i, v in run("gate").items())
+    with pytest.raises(ValueError, match="too large"):
+        scoring.item_vectors(items, {"category": np.zeros((scoring.BROADCAST_BYTES // 8 + 1, 1))})
 
 
 def test_text_rows_must_match(spark):
