@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparkrec.llm import exact
+from sparkrec.llm import exact, simhash
 from sparkrec.llm.common import table
 from sparkrec.session import ship_package
 
@@ -40,3 +40,8 @@ SELECT doc_id, first_value(doc_id) OVER w AS keep_id,
 FROM d WINDOW w AS (PARTITION BY text_sha256 ORDER BY n_cp DESC, doc_id)""")
 def op9_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact.label(table(spark, sf, "documents"))
+
+
+@query("op8_simhash")
+def op8_simhash(spark: SparkSession, sf: str) -> DataFrame:
+    return simhash.label(table(spark, sf, "documents"), words=3, bits=3)
