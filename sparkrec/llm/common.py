@@ -32,3 +32,12 @@ def word_count(text: Column) -> Column:
     """
     spaced = F.translate(F.coalesce(text, F.lit("")), SPACES, " " * len(SPACES))
     return F.size(F.filter(F.split(spaced, " "), lambda w: w != "")).cast("long")
+
+
+def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Equi-join in which NULL keys meet; the keys of `left` are kept."""
+    other = right.withColumnsRenamed({k: f"__{k}" for k in keys})
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"__{k}"))
+    return left.join(other, same, how).drop(*[f"__{k}" for k in keys])

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparkrec.llm import exact, simhash
+from sparkrec.llm import exact, mixing, simhash
 from sparkrec.llm.common import table
 from sparkrec.session import ship_package
 
@@ -45,3 +45,8 @@ def op9_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
 @query("op8_simhash")
 def op8_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.label(table(spark, sf, "documents"), words=3, bits=3)
+
+
+@query("op2_entropy_mixing")
+def op2_entropy_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    return mixing.label(table(spark, sf, "documents"))
