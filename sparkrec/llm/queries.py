@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparkrec.llm import exact, mixing, simhash
+from sparkrec.llm import exact, mixing, simhash, tokens
 from sparkrec.llm.common import table
 from sparkrec.session import ship_package
 
@@ -50,3 +50,8 @@ def op8_simhash(spark: SparkSession, sf: str) -> DataFrame:
 @query("op2_entropy_mixing")
 def op2_entropy_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.label(table(spark, sf, "documents"))
+
+
+@query("op10_token_counts")
+def op10_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return tokens.count_tokens(table(spark, sf, "documents"))
