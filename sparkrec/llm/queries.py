@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparkrec.llm import exact, mixing, simhash, tokens
+from sparkrec.llm import exact, mixing, packing, simhash, tokens
 from sparkrec.llm.common import table
 from sparkrec.session import ship_package
 
@@ -55,3 +55,8 @@ def op2_entropy_mixing(spark: SparkSession, sf: str) -> DataFrame:
 @query("op10_token_counts")
 def op10_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf, "documents"))
+
+
+@query("op4_genetic_packing")
+def op4_genetic_packing(spark: SparkSession, sf: str) -> DataFrame:
+    return packing.pack(table(spark, sf, "documents"))
