@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sparkrec.llm import exact, mixing, packing, simhash, tokens
+from sparkrec.llm import exact, mixing, packing, simhash, tokens, topk
 from sparkrec.llm.common import table
 from sparkrec.session import ship_package
 
@@ -60,3 +60,17 @@ def op10_token_counts(spark: SparkSession, sf: str) -> DataFrame:
 @query("op4_genetic_packing")
 def op4_genetic_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(table(spark, sf, "documents"))
+
+
+@query("op6_bit_sliced_top_k", """
+WITH v AS (
+  SELECT vec_id, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""")
+def op6_bit_sliced_top_k(spark: SparkSession, sf: str) -> DataFrame:
+    return topk.top_k(table(spark, sf, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
