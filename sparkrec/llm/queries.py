@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sparkrec.llm import exact, mixing, packing, simhash, tokens, topk
+from sparkrec.llm import exact, html_text, mixing, packing, simhash, tokens, topk
 from sparkrec.llm.common import table
 from sparkrec.session import ship_package
 
@@ -74,3 +74,8 @@ r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DES
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""")
 def op6_bit_sliced_top_k(spark: SparkSession, sf: str) -> DataFrame:
     return topk.top_k(table(spark, sf, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+@query("op7_tag_path_text")
+def op7_tag_path_text(spark: SparkSession, sf: str) -> DataFrame:
+    return html_text.extract(table(spark, sf, "pages"))
