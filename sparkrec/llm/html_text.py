@@ -41,8 +41,7 @@ NO_ARTICLE = frozenset("nav aside footer form button select label legend dialog
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 ARTICLE_TAGS = frozenset(("article", "main"))
 # Parts of class, id and role names of what is no article, and of what is.
-NO_HEADER_NAMES = re.compile(r"(?:^|[\s_-])headers?(?:$|[\s_-])", re.I)
-ARTICLE_NAMES = re.compile(
+NO_ARTICLE_NAMES = re.compile(
     r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|advertising|sponsor(?:ed)?|promos?|promotions?|banners?|sidebars?|side|aside|"
     r"widgets?|nav|navbar|navigation|menus?|breadcrumbs?|footers?|masthead|topbar|toolbar|cookies?|consent|gdpr|"
     r"notices?|alerts?|disclaimers?|newsletters?|subscribe|subscription|signup|login|register|popups?|modals?|overlays?|comments?|commentlist|"
