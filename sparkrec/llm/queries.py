@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sparkrec.llm import exact, html_text, mixing, packing, simhash, tokens, topk
+from sparkrec.llm import exact, html_text, language, mixing, packing, simhash, tokens, topk
 from sparkrec.llm.common import table
 from sparkrec.session import ship_package
 
@@ -79,3 +79,8 @@ def op6_bit_sliced_top_k(spark: SparkSession, sf: str) -> DataFrame:
 @query("op7_tag_path_text")
 def op7_tag_path_text(spark: SparkSession, sf: str) -> DataFrame:
     return html_text.extract(table(spark, sf, "pages"))
+
+
+@query("op3_byte_convnet_language")
+def op3_byte_convnet_language(spark: SparkSession, sf: str) -> DataFrame:
+    return language.label(table(spark, sf, "documents"))
