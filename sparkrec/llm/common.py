@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+import numpy as np
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 # The white space of the contracts, [\x20\x09-\x0D], as a character class and as single characters.
 SPACE_CLASS = r"[\x20\x09-\x0D]"
@@ -41,3 +42,46 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str
     for k in keys:
         same = same & F.col(k).eqNullSafe(F.col(f"__{k}"))
     return left.join(other, same, how).drop(*[f"__{k}" for k in keys])
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learned: Column, per_class: int) -> DataFrame:
+    """(doc_id, text, y, draw): at most `per_class` documents of each class, drawn by hash of the id.
+
+    The ids are drawn from the labels first, so what is sent to every executor has at most
+    2 * per_class rows, and only drawn documents leave their partition. The documents
+    are limited once more, for ids that occur often.
+    """
+    rank = F.row_number().over(W.partitionBy("y").orderBy("draw", "doc_id"))
+    drawn = (
+        labels.filter(learned & F.col("doc_id").isNotNull() & F.col(label).isin(0, 1))
+        .groupBy("doc_id").agg(F.max(label).cast("int").alias("y"))
+        .withColumn("draw", F.xxhash64("doc_id")).withColumn("rank", rank)
+        .filter(F.col("rank") <= per_class).drop("rank")
+    )
+    found = docs.select("doc_id", text_of().alias("text")).join(F.broadcast(drawn), "doc_id")
+    again = F.row_number().over(W.partitionBy("y").orderBy("draw", "doc_id", F.xxhash64("text")))
+    return found.withColumn("rank", again).filter(F.col("rank") <= per_class).drop("rank")
+
+
+def class_counts(labels: DataFrame, label: str, learned: Column) -> tuple[int, int]:
+    """Learned rows of class 0 and of class 1."""
+    zero, one = labels.filter(learned).agg(
+        F.count(F.when(F.col(label) == 0, 1)), F.count(F.when(F.col(label) == 1, 1))).first()
+    return zero, one
+
+
+def logistic_fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-3, steps: int = 50) -> np.ndarray:
+    """Coefficients and intercept of a weighted logistic regression, by damped Newton steps."""
+    x = np.column_stack([x, np.ones(len(x))])
+    beta = np.zeros(x.shape[1])
+    penalty = np.full(x.shape[1], ridge * weight.sum())
+    penalty[-1] = 1e-9
+    for _ in range(steps):
+        p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
+        slope = x.T @ (weight * (p - y)) + penalty * beta
+        curve = (x * (weight * p * (1 - p) + 1e-9)[:, None]).T @ x + np.diag(penalty)
+        move = np.linalg.solve(curve, slope)
+        beta -= move * min(1.0, 5.0 / max(np.abs(move).max(), 1e-12))
+        if np.abs(move).max() < 1e-8:
+            break
+    return beta

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sparkrec.llm import exact, html_text, language, mixing, packing, simhash, tokens, topk
+from sparkrec.llm import exact, html_text, language, mixing, packing, quality, simhash, tokens, topk
 from sparkrec.llm.common import table
 from sparkrec.session import ship_package
 
@@ -84,3 +84,8 @@ def op7_tag_path_text(spark: SparkSession, sf: str) -> DataFrame:
 @query("op3_byte_convnet_language")
 def op3_byte_convnet_language(spark: SparkSession, sf: str) -> DataFrame:
     return language.label(table(spark, sf, "documents"))
+
+
+@query("op5_compression_quality")
+def op5_compression_quality(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.label(table(spark, sf, "documents"), table(spark, sf, "labels"))
