@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sparkrec.llm import exact, html_text, language, mixing, packing, quality, simhash, tokens, topk
+from sparkrec.llm import exact, html_text, language, mixing, packing, quality, simhash, tokens, topk, toxicity
 from sparkrec.llm.common import table
 from sparkrec.session import ship_package
 
@@ -89,3 +89,8 @@ def op3_byte_convnet_language(spark: SparkSession, sf: str) -> DataFrame:
 @query("op5_compression_quality")
 def op5_compression_quality(spark: SparkSession, sf: str) -> DataFrame:
     return quality.label(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@query("op1_noisy_channel_toxicity")
+def op1_noisy_channel_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    return toxicity.label(table(spark, sf, "documents"), table(spark, sf, "labels"))
