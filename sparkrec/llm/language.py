@@ -198,6 +198,12 @@ def predicted(net: ByteNet | None, text: str = "text") -> Column:
     return F.when(letters, run(F.col(text))).otherwise(unknown)
 
 
+def accepted(net: ByteNet | None, least: float, text: str = "text") -> Column:
+    """Does a text have a letter, and a language with at least this probability?"""
+    found = predicted(net, text)
+    return (found["lang_pred"] != UNKNOWN) & (found["score"] >= (0.0 if net is None else least))
+
+
 def label(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, held_out, lang_pred, score; a quarter of the ids is never learned from."""
     held_out = id_remainder(4) == 2

@@ -178,3 +178,16 @@ def label(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = C
     """One row per document: doc_id, size, source_size, target, taken, copies."""
     return copies(slim(docs), cap, weights, share).select(
         "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
+
+
+def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CAP) -> DataFrame:
+    """The mixed corpus: every document as often as it has copies, with all its columns.
+
+    Whole rows are stored once with a row number, which stays the same for every later reader.
+    """
+    numbered = durable(docs.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("rid")))
+    rows = durable(numbered.select(
+        F.col("doc.doc_id").alias("doc_id"), F.col("doc.source").cast("string").alias("source"),
+        word_count(F.col("doc.text")).alias("size"), "rid"))
+    times = copies(rows, cap, weights, share).filter("copies > 0").select("rid", "copies").hint("shuffle_hash")
+    return numbered.join(times, "rid").select("doc", F.explode(F.sequence(F.lit(1), "copies"))).select("doc.*")

@@ -37,6 +37,7 @@ from sparkrec.llm.components import connected
 from sparkrec.session import durable
 
 WORDS, BITS, SEED = 5, 3, 42
+SIMILAR, WIDE_BITS, TABLES = 0.8, 12, 40  # for near copies: least similarity, differing bits, sampled masks
 CHUNK = 20_000  # codes of a bucket in one chunk
 LEAF, FAN = 32, 8
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -76,15 +77,20 @@ def _bit_counts(h: np.ndarray) -> np.ndarray:
     return total
 
 
-def with_fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """(doc_id, fp) of every row."""
+def fingerprint_of(text: str = "text", words: int = WORDS) -> Column:
+    """Fingerprint of a text column, as a signed 64-bit number."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            fp = np.array([fingerprint(t, words) for t in b["text"]], np.uint64)
-            yield pd.DataFrame({"doc_id": b["doc_id"], "fp": fp.view(np.int64)})
+    @F.pandas_udf("long")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield pd.Series(np.array([fingerprint(t, words) for t in texts], np.uint64).view(np.int64))
 
-    return docs.select(F.col("doc_id").cast("long"), text_of().alias("text")).mapInPandas(run, "doc_id long, fp long")
+    return run(text_of(text))
+
+
+def with_fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:
+    """(doc_id, fp) of every row."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), fingerprint_of("text", words).alias("fp"))
 
 
 def gray_rank(code: Column) -> Column:
@@ -100,6 +106,12 @@ def band_masks(bits: int) -> list[int]:
     return [((1 << width) - 1) << (b * width) for b in range(bits + 1)]
 
 
+def sampled_masks(tables: int = TABLES, width: int = 16) -> list[int]:
+    """`tables` masks of `width` places drawn at random, always the same ones."""
+    rng = np.random.default_rng(SEED)
+    return [sum(1 << int(b) for b in rng.choice(64, width, replace=False)) for _ in range(tables)]
+
+
 def _signed(mask: int) -> int:
     return mask - (1 << 64) if mask >> 63 else mask
 
@@ -124,9 +136,15 @@ def bucketed(fps: DataFrame, masks: list[int], chunk: int) -> DataFrame:
     )
 
 
-def links(fps: DataFrame, bits: int = BITS, chunk: int = CHUNK) -> DataFrame:
-    """(u, v): for each bucket, the linked codes and the least code they reach inside it."""
-    placed = bucketed(fps, band_masks(bits), chunk).repartition("band", "bucket", "pair").sortWithinPartitions(
+def links(fps: DataFrame, bits: int = BITS, chunk: int = CHUNK, masks: list[int] | None = None) -> DataFrame:
+    """(u, v): pairs of codes at most `bits` apart that connect all that is linked.
+
+    Small buckets return all their pairs. For larger ones, exact bands return each linked code with the
+    least code it reaches; sampled `masks`, whose pairs are verified one by one, return
+    a spanning forest with the closest pairs first.
+    """
+    forest = masks is not None
+    placed = bucketed(fps, masks or band_masks(bits), chunk).repartition("band", "bucket", "pair").sortWithinPartitions(
         "band", "bucket", "pair", "gray")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -137,21 +155,21 @@ def links(fps: DataFrame, bits: int = BITS, chunk: int = CHUNK) -> DataFrame:
             key = b[["band", "bucket", "pair"]].to_numpy(np.int64)
             new = np.flatnonzero((key[1:] != key[:-1]).any(1))
             if held and (held[-1][["band", "bucket", "pair"]].to_numpy(np.int64)[-1] != key[0]).any():
-                yield _bucket_links(pd.concat(held), bits)
+                yield _bucket_links(pd.concat(held), bits, forest)
                 held = []
             if len(new):  # all but the last bucket are complete
                 held.append(b.iloc[:new[-1] + 1])
-                yield _bucket_links(pd.concat(held), bits)
+                yield _bucket_links(pd.concat(held), bits, forest)
                 held = [b.iloc[new[-1] + 1:]]
             else:
                 held.append(b)
         if held:
-            yield _bucket_links(pd.concat(held), bits)
+            yield _bucket_links(pd.concat(held), bits, forest)
 
     return placed.mapInPandas(run, "u long, v long")
 
 
-def _bucket_links(rows: pd.DataFrame, bits: int) -> pd.DataFrame:
+def _bucket_links(rows: pd.DataFrame, bits: int, forest: bool) -> pd.DataFrame:
     """Links inside complete buckets."""
     codes = rows["fp"].to_numpy().view(np.uint64)
     key = rows[["band", "bucket", "pair"]].to_numpy(np.int64)
@@ -160,7 +178,8 @@ def _bucket_links(rows: pd.DataFrame, bits: int) -> pd.DataFrame:
     out = [_short_runs(codes, group, size, bits)]
     first = np.concatenate([[0], np.cumsum(size)])
     for g in np.flatnonzero(size > LEAF):
-        out.append(GrayIndex(codes[first[g]:first[g + 1]]).stars(bits))
+        index = GrayIndex(codes[first[g]:first[g + 1]])
+        out.append(index.forest(bits) if forest else index.stars(bits))
     u, v = (np.concatenate([o[i] for o in out]).view(np.int64) for i in (0, 1))
     return pd.DataFrame({"u": u, "v": v})
 
@@ -249,11 +268,31 @@ class GrayIndex:
         moved = np.flatnonzero(label != np.arange(len(label)))
         return self.codes[moved], self.codes[label[moved]]
 
-
-def components(rows: DataFrame, bits: int = BITS, chunk: int = CHUNK) -> DataFrame:
-    """(fp, component_id) of every distinct fingerprint in rows (doc_id, fp)."""
+    def forest(self, bits: int):
+        """Pairs that connect what is linked, closest pairs first, no more than there are codes."""
+        parent = list(range(len(self.codes)))
+
+        def root(x: int) -> int:
+            while parent[x] != x:
+                parent[x] = x = parent[parent[x]]
+            return x
+
+        us, vs = [], []
+        for least in range(bits + 1):
+            for x, y in self.pairs(least):
+                for a, b in zip(x.tolist(), y.tolist()):
+                    p, q = root(a), root(b)
+                    if p != q:
+                        parent[max(p, q)] = min(p, q)
+                        us.append(a)
+                        vs.append(b)
+        return self.codes[np.array(us, np.int64)], self.codes[np.array(vs, np.int64)]
+
+
+def components(rows: DataFrame, bits: int = BITS, chunk: int = CHUNK, edges: DataFrame | None = None) -> DataFrame:
+    """(fp, component_id) of every distinct fingerprint in rows (doc_id, fp), over `edges` or the codes' own links."""
     fps = durable(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    star = durable(connected(links(fps.select("fp"), bits, chunk)))
+    star = durable(connected(links(fps.select("fp"), bits, chunk) if edges is None else edges))
     linked = star.unionByName(star.select(F.col("root").alias("node"), "root").distinct())
     named = linked.join(fps, linked["node"] == fps["fp"]).select("fp", "root", "least")
     ids = named.groupBy("root").agg(F.min("least").alias("of_root"))
@@ -267,3 +306,60 @@ def label(docs: DataFrame, words: int = WORDS, bits: int = BITS) -> DataFrame:
     rows = durable(with_fingerprints(docs, words))
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
     return rows.join(components(rows, bits), "fp").select("doc_id", hexed, "component_id")
+
+
+def shingles(text: str, words: int) -> set[int]:
+    """Hashes of a text's distinct word shingles, as the fingerprint cuts them."""
+    found = text.encode("utf-8", "surrogatepass").translate(_LOWER).split()
+    n = max(1, len(found) - words + 1)
+    return {xxhash.xxh64_intdigest(b" ".join(found[i:i + words]), SEED) for i in range(n)}
+
+
+def similarity(left: str = "a", right: str = "b", words: int = WORDS) -> Column:
+    """Jaccard similarity of the word shingles of two text columns."""
+
+    @F.pandas_udf("double")
+    def run(a: pd.Series, b: pd.Series) -> pd.Series:
+        out = []
+        for x, y in zip(a, b):
+            s, t = shingles(x, words), shingles(y, words)
+            both = len(s & t)
+            out.append(both / (len(s) + len(t) - both))
+        return pd.Series(out, dtype="float64")
+
+    return run(F.col(left), F.col(right))
+
+
+def verified(candidates: DataFrame, texts: DataFrame, words: int, least: float) -> DataFrame:
+    """The candidate pairs (u, v) whose texts (fp, text) share enough shingles."""
+    pairs = durable(candidates.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
+    ends = pairs.select(F.col("u").alias("fp")).union(pairs.select("v")).distinct()
+    some = durable(texts.join(ends.hint("shuffle_hash"), "fp", "left_semi"))
+    met = pairs.join(some.select(F.col("fp").alias("u"), F.col("text").alias("a")), "u").join(
+        some.select(F.col("fp").alias("v"), F.col("text").alias("b")), "v")
+    return met.filter(similarity("a", "b", words) >= least).select("u", "v")
+
+
+def keep_one(docs: DataFrame, words: int = WORDS, least: float = SIMILAR, bits: int = WIDE_BITS, tables: int = TABLES,
+             chunk: int = CHUNK) -> DataFrame:
+    """The documents that stay: of each group of near copies the one with the smallest id, with all its columns.
+
+    Texts with a similarity of `least` differ in about ten of 64 bits, too many for exact bands. So candidates
+    up to `bits` apart are searched under `tables` sampled masks, and each is verified on the whole texts: its
+    word shingles must reach the similarity. Equal fingerprints count as copies. Rows
+    without an id, and rows that repeat the smallest id, are told apart by a row number,
+    stored with the whole rows so that it stays the same for every later reader.
+    """
+    numbered = durable(docs.select(
+        F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("rid"), fingerprint_of("text", words).alias("fp")))
+    order = F.struct(F.col("doc.doc_id").isNull().alias("unnamed"), F.col("doc.doc_id").cast("long").alias("id"), "rid")
+    heads = durable(numbered.select("fp", order.alias("first")).groupBy("fp").agg(F.min("first").alias("first")))
+    candidates = links(heads.select("fp"), bits, chunk, sampled_masks(tables))
+    # one text stands for each fingerprint
+    texts = numbered.select("rid", text_of("doc.text").alias("text")).join(
+        heads.select("fp", F.col("first.rid").alias("rid")).hint("shuffle_hash"), "rid").select("fp", "text")
+    star = durable(connected(durable(verified(candidates, texts, words, least))))
+    # fingerprints that are no root of a group go with their root; the group's first row stays
+    named = heads.join(star, heads["fp"] == star["node"], "left").select("first", F.coalesce("root", "fp").alias("root"))
+    kept = named.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.rid").alias("rid"))
+    return numbered.join(kept.hint("shuffle_hash"), "rid", "left_semi").select("doc.*")
