@@ -79,7 +79,7 @@ def solve_tilts(sizes: DataFrame, targets: DataFrame, cap: float = CAP, rounds:
     state = durable(
         join_null_safe(means, targets, ["source"])
         .withColumn("edge", F.when(F.col("target") >= full, 1).when(F.col("target") <= 0, -1).otherwise(0))
-        .withColumn("tilt", F.log(F.col("target") / (full - F.col("target"))))
+        .withColumn("tilt", F.log(F.try_divide(F.col("target"), full - F.col("target"))))
         .withColumn("tilt", F.when(F.col("edge") == 0, F.coalesce("tilt", F.lit(0.0))).otherwise(F.lit(0.0)))
         .withColumn("low", F.lit(-60.0)).withColumn("high", F.lit(60.0)).withColumn("off", F.lit(1.0))
     )
@@ -88,14 +88,14 @@ def solve_tilts(sizes: DataFrame, targets: DataFrame, cap: float = CAP, rounds:
             break
         state = durable(_newton_step(sizes, state, cap))
     offset = F.when(F.col("edge") == 0, 0.0).otherwise(F.col("edge") * 1e9)
-    tilt = F.when((F.col("edge") == 0) & (F.col("mean") > 0), F.col("tilt") / F.col("mean")).otherwise(0.0)
+    tilt = F.when(F.col("edge") == 0, F.coalesce(F.try_divide("tilt", "mean"), F.lit(0.0))).otherwise(0.0)
     return state.select("source", offset.alias("offset"), tilt.alias("tilt"), "source_size", "target")
 
 
 def _newton_step(sizes: DataFrame, state: DataFrame, cap: float) -> DataFrame:
     """One step for every source: value and slope of the dual's gradient, summed over all documents."""
     at = join_null_safe(sizes, state, ["source"])
-    x = F.col("size") / F.col("mean")
+    x = F.try_divide(F.col("size"), F.col("mean"))
     p = 1 / (1 + F.exp(-F.col("tilt") * x))
     sums = at.filter("edge = 0 AND mean > 0").select(
         "source", (cap * p * F.col("size") * F.col("docs")).alias("value"),
@@ -107,7 +107,7 @@ def _newton_step(sizes: DataFrame, state: DataFrame, cap: float) -> DataFrame:
     high = F.when(miss < 0, F.col("tilt")).otherwise(F.col("high"))
     return (
         moved.withColumn("low", low).withColumn("high", high)
-        .withColumn("next", F.col("tilt") + miss / F.col("slope"))
+        .withColumn("next", F.col("tilt") + F.try_divide(miss, F.col("slope")))
         .withColumn("next", F.when((F.col("next") > F.col("low")) & (F.col("next") < F.col("high")), F.col("next"))
                     .otherwise((F.col("low") + F.col("high")) / 2))
         .withColumn("off", F.coalesce(F.abs(miss) / F.greatest(F.col("target"), F.lit(1.0)), F.lit(0.0)))
