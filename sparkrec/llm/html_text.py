@@ -209,6 +209,21 @@ def content_node(page: Page, live: list[Block]) -> int:
         if page.elements[up].tag in ARTICLE_TAGS:
             break
         up = page.elements[up].parent
+    return _with_headings(page, live, node)
+
+
+def _with_headings(page: Page, live: list[Block], node: int) -> int:
+    """The node, or an element around it to which only headings are added."""
+    whole, heads = np.zeros(len(page.elements)), np.zeros(len(page.elements))
+    for b in live:
+        whole[b.element] += 1
+        heads[b.element] += page.elements[b.element].tag in HEADINGS
+    for e in range(len(page.elements) - 1, 0, -1):
+        whole[page.elements[e].parent] += whole[e]
+        heads[page.elements[e].parent] += heads[e]
+    up = page.elements[node].parent
+    while up > 0 and page.elements[up].tag not in ("body", "html") and whole[up] - whole[node] == heads[up] - heads[node]:
+        node, up = up, page.elements[up].parent
     return node
 
 
