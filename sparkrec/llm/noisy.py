@@ -33,7 +33,7 @@ CLASS[0xF7] = 0
 LETTER = "a-zß-öø-ÿ"
 SIGN = r"0-9@$!|+(€£¡*#"
 #: A token is read as a lattice if a letter and a sign touch, a separator stands between single letters, or characters repeat.
-SUSPECT = re.compile(rf"[{LETTER}][{SIGN}]|[{SIGN}][{LETTER}]|(.)\1\1|(?:^|[^{LETTER}])[{LETTER}](?:[.\-_~'`/​­]+[{LETTER}])+(?:[^{LETTER}]|$)|(?:([{LETTER}])\2.*?){{3}}|[​­]")
+SUSPECT = re.compile(rf"[{LETTER}][{SIGN}]|[{SIGN}][{LETTER}]|(.)\1\1|(?:^|[^{LETTER}])[{LETTER}](?:[ .\-_*~'`/​­]+[{LETTER}])+(?:[^{LETTER}]|$)|(?:([{LETTER}])\2.*?){{3}}|[​­]")
 #: Single characters with spaces between them.
 SPACED = re.compile(rf"(?<!\S)[{LETTER}{SIGN}](?:[ .\-_*~]{{1,3}}[{LETTER}{SIGN}]{{1,2}}){{2,}}(?!\S)")
 

@@ -78,7 +78,7 @@ class Restorer(dict):
     def _read(self, token: str) -> list[str]:
         plain = WORDS.findall(token)
         core = EDGE.sub("", token)
-        if not SUSPECT.search(core):
+        if " " not in core and not SUSPECT.search(core):
             return plain
         for k in range(0, len(core), LONG // 2):  # parts overlap by half, so no disguised word is cut
             for reading in decode(core[k:k + LONG], self.model):
@@ -151,9 +151,11 @@ def count_features(sample: DataFrame, trigrams: np.ndarray) -> pd.DataFrame:
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         restorer = Restorer(CharModel(trigrams))
         for b in batches:
-            rows = [(f, int(y), int(k)) for y, k, text in zip(b["y"], b["fold"], b["text"])
-                    for f in {f for w in restorer.words(text) for f in features(w)}]
-            yield pd.DataFrame(rows, columns=["feature", "y", "fold"])
+            for at in range(0, len(b), 64):  # a few documents at a time: each has many features
+                part = b.iloc[at:at + 64]
+                rows = [(f, int(y), int(k)) for y, k, text in zip(part["y"], part["fold"], part["text"])
+                        for f in {f for w in restorer.words(text) for f in features(w)}]
+                yield pd.DataFrame(rows, columns=["feature", "y", "fold"])
 
     sums = [F.sum(((F.col("y") == y) & (F.col("fold") == k)).cast("int")).alias(f"{name}{k}")
             for y, name in ((1, "bad"), (0, "fine")) for k in range(FOLDS)]
