@@ -7,7 +7,7 @@ from datetime import timedelta
 
 from pyspark.sql import DataFrame, functions as F
 
-from sparkrec.operators.ordering import HOT_ROWS, carry_forward, first_per_key
+from sparkrec.operators.ordering import carry_forward, first_per_key
 
 TTL = timedelta(days=3650)
 
@@ -32,7 +32,7 @@ def point_in_time(
     feature_ts: str,
     ttl: timedelta = TTL,
     ties: Sequence[str] = (),
-    hot_rows: int = HOT_ROWS,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Each event with the newest feature row not after it and not older than `ttl`.
 
@@ -54,7 +54,7 @@ def point_in_time(
         F.struct(*(ties or [feature_ts])).alias("__tie"),
     )
     order = [F.asc("__ts"), F.asc("__side"), F.asc("__tie")]
-    carried = carry_forward(left.unionByName(right), ["__entity"], order, "__feature", "__found", hot_rows)
+    carried = carry_forward(left.unionByName(right), ["__entity"], order, "__feature", "__found", ranges)
     age_ok = F.col("__found")[feature_ts] >= F.col("__ts") - F.lit(ttl)
     found = F.when(age_ok, F.col("__found"))
     return carried.filter("__side = 1").select(

@@ -14,15 +14,13 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from sparkrec.session import durable
 
-# A key with more rows than this is spread over several tasks.
-HOT_ROWS = 2_000_000
 _AT, _PART, _BASE = "__at", "__part", "__base"
 
 
-def _ranged(df: DataFrame, order: Sequence[Column]) -> DataFrame:
-    """`df` in range partitions; `__part` is the range, `__at` the place inside all."""
+def _ranged(df: DataFrame, order: Sequence[Column], ranges: int | None = None) -> DataFrame:
+    """`df` in range partitions (`ranges` of them, or as Spark finds fit); `__part` is the range, `__at` the place inside all."""
     placed = (
-        df.repartitionByRange(*order)
+        (df.repartitionByRange(ranges, *order) if ranges else df.repartitionByRange(*order))
         .sortWithinPartitions(*order)
         .withColumn(_AT, F.monotonically_increasing_id())
     )
@@ -84,46 +82,41 @@ def running_totals(
     return out.drop(*spare)
 
 
-def split_hot(
-    df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS
-) -> tuple[DataFrame, DataFrame | None]:
-    """(rows of ordinary keys, rows of hot keys or None).
+def _by_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], ranges: int | None) -> DataFrame:
+    """Ranges over keys, then order: a range holds whole keys, but for its first and its last one."""
+    return _ranged(df, [*[F.col(k).asc_nulls_first() for k in keys], *order], ranges)
 
-    Hot keys are found exactly by a partial count. There are at most
-    rows / hot_rows of them, and usually none: then `df` comes back untouched.
+
+def _inside(keys: Sequence[str]):
+    """The rows of a key inside a range; no larger than a range, however hot the key."""
+    return W.partitionBy(_PART, *keys).orderBy(_AT)
+
+
+def _continued(ranged: DataFrame, keys: Sequence[str], piece: Column, over) -> DataFrame:
+    """`ranged` with `__carried`: for keys that began in an earlier range, `over` of their earlier pieces.
+
+    At most the first key of a range goes on from the one before, so what is sent to
+    every task has one row per range. Keys are compared NULL-safe.
     """
-    counted = df.groupBy(*keys).agg(F.count("*").alias("__n"))
-    hot = counted.filter(F.col("__n") > hot_rows).select(*keys)
-    if hot.isEmpty():
-        return df, None
-    hot = durable(hot)
-    same = [df[k].eqNullSafe(hot[k]) for k in keys]
-    condition = same[0]
-    for c in same[1:]:
-        condition = condition & c
-    return df.join(hot, condition, "left_anti"), df.join(hot, condition, "left_semi")
+    pieces = ranged.groupBy(_PART, *keys).agg(piece.alias("__piece"))
+    carried = pieces.withColumn("__carried", over("__piece", _before(_PART, *keys))).withColumn(
+        "__earlier", F.count("*").over(_before(_PART, *keys))).filter("__earlier > 0")
+    names = {k: f"__key{i}" for i, k in enumerate(keys)}
+    few = F.broadcast(carried.select(F.col(_PART).alias("__in"), *[F.col(k).alias(n) for k, n in names.items()], "__carried"))
+    same = F.col(_PART) == F.col("__in")
+    for k, n in names.items():
+        same = same & F.col(k).eqNullSafe(F.col(n))
+    return ranged.join(few, same, "left").drop("__in", *names.values())
 
 
 def positions(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str, hot_rows: int = HOT_ROWS
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str, ranges: int | None = None
 ) -> DataFrame:
-    """1-based place of each row inside its key; hot keys are numbered by ranges."""
-    cold, hot = split_hot(df, keys, hot_rows)
-    out = cold.withColumn(name, F.row_number().over(W.partitionBy(*keys).orderBy(*order)).cast("long"))
-    if hot is None:
-        return out
-    ranged = _ranged(hot, [F.col(k) for k in keys] + list(order))
-    pieces = ranged.groupBy(*keys, _PART).agg(F.count("*").alias("__n"), F.min(_AT).alias("__first"))
-    bases = pieces.select(
-        *keys, _PART, "__first",
-        F.coalesce(F.sum("__n").over(_before(_PART, *keys)), F.lit(0)).alias(_BASE),
-    )
-    numbered = (
-        ranged.join(bases, [*keys, _PART])
-        .withColumn(name, F.col(_BASE) + F.col(_AT) - F.col("__first") + 1)
-        .select(*df.columns, name)
-    )
-    return out.unionByName(numbered)
+    """1-based place of each row inside its key; NULL is a key like any other."""
+    ranged = _by_key(df, keys, order, ranges)
+    met = _continued(ranged, keys, F.count("*"), lambda c, window: F.sum(c).over(window))
+    place = F.row_number().over(_inside(keys)) + F.coalesce("__carried", F.lit(0))
+    return met.withColumn(name, place.cast("long")).select(*df.columns, name)
 
 
 def trailing_values(
@@ -151,61 +144,43 @@ def _latest(payload: str, window) -> Column:
     return F.last(payload, ignorenulls=True).over(window)
 
 
-def _running(df, keys, order, payload, name, hot_rows, over, piece, join) -> DataFrame:
-    """Cumulative value per key. Ordinary keys take one window; hot keys are cut into
-    ranges: a window inside each range, joined with the value of the ranges before it
-    (one row per range)."""
-    cold, hot = split_hot(df, keys, hot_rows)
-    upto = W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
-    out = cold.withColumn(name, over(payload, upto))
-    if hot is None:
-        return out
-    ranged = _ranged(hot, [F.col(k) for k in keys] + list(order))
-    inside = W.partitionBy(*keys, _PART).orderBy(_AT).rowsBetween(W.unboundedPreceding, 0)
-    pieces = ranged.groupBy(*keys, _PART).agg(piece(payload).alias("__piece"))
-    carried = pieces.select(*keys, _PART, over("__piece", _before(_PART, *keys)).alias("__carried"))
-    filled = (
-        ranged.join(carried, [*keys, _PART])
-        .withColumn(name, join(over(payload, inside), F.col("__carried")))
-        .select(*df.columns, name)
-    )
-    return out.unionByName(filled)
+def _running(df, keys, order, payload, name, ranges, over, piece, join) -> DataFrame:
+    """Cumulative value per key: a window inside each range, joined with the value of the ranges before it."""
+    ranged = _by_key(df, keys, order, ranges)
+    met = _continued(ranged, keys, piece(payload), over)
+    upto = _inside(keys).rowsBetween(W.unboundedPreceding, 0)
+    return met.withColumn(name, join(over(payload, upto), F.col("__carried"))).select(*df.columns, name)
 
 
 def carry_forward(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], payload: str, name: str,
-    hot_rows: int = HOT_ROWS,
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], payload: str, name: str, ranges: int | None = None,
 ) -> DataFrame:
     """Latest non-NULL `payload` at or before each row of its key."""
     def piece(c: str) -> Column:
         return F.max_by(c, F.when(F.col(c).isNotNull(), F.col(_AT)))
 
-    return _running(df, keys, order, payload, name, hot_rows, _latest, piece, F.coalesce)
+    return _running(df, keys, order, payload, name, ranges, _latest, piece, F.coalesce)
 
 
 def running_max(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], value: str, name: str,
-    hot_rows: int = HOT_ROWS,
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], value: str, name: str, ranges: int | None = None,
 ) -> DataFrame:
     """Largest `value` at or before each row of its key."""
     def over(c: str, window) -> Column:
         return F.max(c).over(window)
 
-    return _running(df, keys, order, value, name, hot_rows, over, F.max, F.greatest)
+    return _running(df, keys, order, value, name, ranges, over, F.max, F.greatest)
 
 
 def previous_value(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], value: str, name: str,
-    hot_rows: int = HOT_ROWS,
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], value: str, name: str, ranges: int | None = None,
 ) -> DataFrame:
     """`value` of the row before, NULL for the first of a key."""
-    cold, hot = split_hot(df, keys, hot_rows)
-    out = cold.withColumn(name, F.lag(value).over(W.partitionBy(*keys).orderBy(*order)))
-    if hot is None:
-        return out
-    placed = positions(hot, keys, order, "__pos", hot_rows)
-    before = placed.select(*keys, (F.col("__pos") + 1).alias("__pos"), F.col(value).alias(name))
-    return out.unionByName(placed.join(before, [*keys, "__pos"], "left").select(*df.columns, name))
+    ranged = _by_key(df, keys, order, ranges)
+    met = _continued(ranged, keys, F.max_by(value, _AT), lambda c, window: F.last(c).over(window))
+    first = F.row_number().over(_inside(keys)) == 1
+    before = F.when(first, F.col("__carried")).otherwise(F.lag(value).over(_inside(keys)))
+    return met.withColumn(name, before).select(*df.columns, name)
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int = 1,

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from sparkrec.functions.arrays import last_n, ordered_values, pad_right
 from sparkrec.operators.contracts import ContractError, duplicate_keys
 from sparkrec.operators.ordering import (
-    HOT_ROWS, dense_index, first_per_key, positions, trailing_values,
+    dense_index, first_per_key, positions, trailing_values,
 )
 
 MAX_LEN = 50
@@ -120,19 +120,19 @@ def leave_one_out(indexed: DataFrame, max_len: int = MAX_LEN) -> DataFrame:
 
 
 def leave_one_out_history(
-    interactions: DataFrame, order: Sequence[Column], max_len: int = MAX_LEN, hot_rows: int = HOT_ROWS,
+    interactions: DataFrame, order: Sequence[Column], max_len: int = MAX_LEN, ranges: int | None = None,
     block: int = 100_000,
 ) -> DataFrame:
     """The same split over full histories (user_id, item_idx, …) of any length.
 
     No history is ever collected: each row looks back `max_len` places, in blocks.
     """
-    placed = positions(interactions, ["user_id"], order, "pos", hot_rows)
-    lengths = interactions.groupBy("user_id").agg(F.count("*").alias("n")).filter("n >= 3")
+    placed = positions(interactions, ["user_id"], order, "pos", ranges)
+    lengths = interactions.groupBy(F.col("user_id").alias("__user")).agg(F.count("*").alias("n")).filter("n >= 3")
     with_prefix = trailing_values(placed, ["user_id"], "pos", "item_idx", max_len, "prefix", block)
     t = (F.col("pos") - 1).cast("int")
     return (
-        with_prefix.join(lengths, "user_id")
+        with_prefix.join(lengths, F.col("user_id").eqNullSafe(F.col("__user")))
         .filter("pos > 1")
         .select(
             "user_id", _split_name(t, F.col("n")).alias("split"), t.alias("t"),
@@ -166,9 +166,13 @@ def popularity_signal(counts: DataFrame, count: str = "train_count", name: str =
     return counts.withColumn(name, F.coalesce(F.try_divide(value, top), F.lit(0.0)))
 
 
-def shared_negatives(batches: DataFrame, batch: str, vocab_size: int, k: int, seed: int) -> DataFrame:
-    """`k` uniform item indices per batch from 1..vocab_size-1; the same for any partitioning."""
-    draw = F.pmod(F.xxhash64(F.col(batch), F.col("k"), F.lit(seed)), F.lit(vocab_size - 1)) + 1
-    return batches.select(batch, F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("k")).withColumn(
-        "item_idx", draw
-    )
+def shared_negatives(batches: DataFrame, batch: str, vocab: DataFrame, k: int, seed: int) -> DataFrame:
+    """`k` uniform item indices per batch out of 1..(rows of `vocab`); the same for any partitioning.
+
+    A draw is the first 32 bits of the MD5 of batch, number and seed, modulo the size of the vocabulary.
+    """
+    key = F.concat_ws("/", F.col(batch).cast("string"), F.col("k").cast("string"), F.lit(str(seed)))
+    bits = F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("long")
+    drawn = batches.select(batch, F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("k"))
+    return drawn.withColumn("item_idx", bits % vocab.agg(F.count("*")).scalar() + 1)
+

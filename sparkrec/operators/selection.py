@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from sparkrec.operators.ordering import HOT_ROWS, positions, previous_value, running_max
+from sparkrec.operators.ordering import positions, previous_value, running_max
 
 DEFAULT_CANDIDATE = "gru4rec"  # fixed value
 
@@ -82,25 +82,25 @@ def latest_version(versions: DataFrame, version: str = "version") -> DataFrame:
     return versions.agg(F.max_by(version, F.col(version).cast("int")).alias("version"))
 
 
-def metric_trend(versions: DataFrame, metric: str, model: str = "model", hot_rows: int = HOT_ROWS) -> DataFrame:
+def metric_trend(versions: DataFrame, metric: str, model: str = "model", ranges: int | None = None) -> DataFrame:
     """The metric per version in numeric order, with its change."""
     number = F.col("version").cast("int")
-    before = previous_value(versions, [model], [number.asc()], metric, "__before", hot_rows)
+    before = previous_value(versions, [model], [number.asc()], metric, "__before", ranges)
     return before.withColumn("change", F.col(metric) - F.col("__before")).drop("__before")
 
 
 def early_stopping(epochs: DataFrame, patience: int, run: str = "run", metric: str = "metric",
-                   hot_rows: int = HOT_ROWS) -> DataFrame:
+                   ranges: int | None = None) -> DataFrame:
     """(run, best_epoch, epochs_run) by replaying the per-epoch metric of each run.
 
     An epoch that reaches the best so far (ties count) becomes the best; training
     stops after more than `patience` epochs in a row below it.
     """
     order, place, good = [F.asc("__place")], F.col("__place"), F.col("__good")
-    placed = positions(epochs, [run], [F.asc("epoch")], "__place", hot_rows)
-    best = running_max(placed, [run], order, metric, "__best", hot_rows).withColumn(
+    placed = positions(epochs, [run], [F.asc("epoch")], "__place", ranges)
+    best = running_max(placed, [run], order, metric, "__best", ranges).withColumn(
         "__good", F.when(F.col(metric) >= F.col("__best"), place))
-    marked = running_max(best, [run], order, "__good", "__last_good", hot_rows)
+    marked = running_max(best, [run], order, "__good", "__last_good", ranges)
     stops = marked.groupBy(run).agg(
         F.min(F.when(place - F.col("__last_good") > patience, place)).alias("__stop"))
     ran = marked.join(stops, run).filter(F.col("__stop").isNull() | (place <= F.col("__stop")))

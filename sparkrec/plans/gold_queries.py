@@ -110,6 +110,29 @@ def _(spark, sf):
     return joined.select("l_orderkey", "l_linenumber", "l_suppkey", "l_partkey", "l_shipdate", "order_id", "amount")
 
 
+def _some_null(user: str = "user_id"):
+    """Every tenth user is unknown: one NULL entity with a tenth of all rows."""
+    return F.when(~F.col(user).endswith("0"), F.col(user)).alias(user)
+
+
+@query("e2_point_in_time_null_entities", with_(SPEND, """
+known AS (SELECT CASE WHEN user_id NOT LIKE '%0' THEN user_id END AS user_id, computed_at, order_id, amount FROM spend),
+asked AS (SELECT CASE WHEN o_custkey % 10 <> 0 THEN 'u' || CAST(o_custkey AS VARCHAR) END AS user_id, o_orderkey, o_orderdate FROM orders),
+found AS (SELECT a.o_orderkey, arg_max(k, (k.computed_at, k.order_id)) AS s FROM asked a JOIN known k
+  ON k.user_id IS NOT DISTINCT FROM a.user_id AND k.computed_at <= a.o_orderdate GROUP BY a.o_orderkey)""") + """
+SELECT user_id, o_orderkey, o_orderdate, CASE WHEN s.computed_at >= o_orderdate - INTERVAL 30 DAY THEN s.order_id END AS order_id,
+  CASE WHEN s.computed_at >= o_orderdate - INTERVAL 30 DAY THEN s.amount END AS amount
+FROM asked LEFT JOIN found USING (o_orderkey)""")
+def _(spark, sf):
+    asked = I.table(spark, sf, "orders").select(
+        F.concat(F.lit("u"), F.col("o_custkey").cast("string")).alias("user_id"), "o_orderkey", "o_orderdate")
+    spend = _spend(spark, sf)
+    spend = spend.select(_some_null(), *[c for c in spend.columns if c != "user_id"])
+    return feature_store.point_in_time(
+        asked.select(_some_null(), "o_orderkey", "o_orderdate"), spend, "user_id", "o_orderdate", "computed_at", timedelta(days=30),
+        ["computed_at", "order_id"]).select("user_id", "o_orderkey", "o_orderdate", "order_id", "amount")
+
+
 @query("e3_materialize", with_(SPEND, """
 old AS (SELECT user_id, max((computed_at, order_id, amount)) AS r FROM spend WHERE computed_at <= TIMESTAMP '1998-01-01' GROUP BY user_id),
 new AS (SELECT user_id, max((computed_at, order_id, amount)) AS r FROM spend

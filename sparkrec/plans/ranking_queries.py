@@ -493,9 +493,10 @@ boosts AS (SELECT user_id, s.product_id, MIN((n - pos + 1, place)) AS boost FROM
 
 @query("i5_recency_boost", with_(*SCORED, BEST, SIMILAR, I.EVENTS, RECENT, BOOSTS) + """
 SELECT b.user_id, b.product_id, CAST(b.rank AS INT) AS rank, CAST(row_number() OVER (PARTITION BY b.user_id ORDER BY boost IS NULL, boost, rank) AS INT) AS position
-FROM best b LEFT JOIN boosts x ON x.user_id = b.user_id AND x.product_id = b.product_id WHERE b.rank <= 50""")
+FROM best b LEFT JOIN boosts x ON x.user_id = b.user_id AND x.product_id = b.product_id""")
 def _(spark, sf):
-    ranked = best_items(spark, sf, 50).select("user_id", "product_id", "rank")
+    # the boost moves items of any rank, so the whole catalog is ranked before any cut
+    ranked = best_items(spark, sf, I.vectors(spark, sf).count()).select("user_id", "product_id", "rank")
     return rerank.recency_boost(ranked, rerank.boost_keys(recents(spark, sf), neighbours(spark, sf)))
 
 

@@ -199,10 +199,13 @@ def _(spark, sf):
     return out.withColumn("categories", F.array_join("categories", ","))
 
 
-@query("f15_shared_negatives")
+@query("f15_shared_negatives", with_(I.PRODUCTS, VOCAB) + """
+SELECT o_orderkey AS batch, CAST(k AS INT) AS k,
+  CAST('0x' || substr(md5(o_orderkey || '/' || k || '/42'), 1, 8) AS BIGINT) % (SELECT COUNT(*) FROM vocab) + 1 AS item_idx
+FROM orders, range(4) r(k)""")
 def _(spark, sf):
     batches = I.table(spark, sf, "orders").select(F.col("o_orderkey").alias("batch"))
-    return samples.shared_negatives(batches, "batch", 2001, 4, 42)
+    return samples.shared_negatives(batches, "batch", vocab(spark, sf), 4, 42)
 
 
 @query("f16_catalog_assembly", with_(*COUNTED, *FEATURES, FIT, ENCODED) + """

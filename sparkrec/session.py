@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 import zipfile
@@ -36,11 +37,13 @@ _shipped: set[str] = set()
 def scratch_dir(spark: SparkSession) -> str:
     """A fresh path below the shared folder the cluster names for checkpoints.
 
-    Only where the session names none (tests, local runs) one temporary folder is
-    chosen per process.
+    Only a local session (one machine) that names none gets a temporary folder, one per
+    process; on a cluster a folder of one machine would lose rows, so that is an error.
     """
     root = spark.conf.get(CHECKPOINT_DIR, None)
     if not root:
+        if not re.match(r"local(\[|$)", spark.conf.get("spark.master", "")):
+            raise RuntimeError(f"{CHECKPOINT_DIR} must name a folder that driver and executors share")
         if not _fallback:
             _fallback.append(tempfile.mkdtemp(prefix="run-", dir="/tmp"))
         root = _fallback[0]

@@ -221,13 +221,13 @@ def test_promotion(spark, row, delta, expected):
 def test_versions_and_stopping(spark, rows):
     versions = spark.createDataFrame([("m", "9", 1.0), ("m", "10", 3.0), ("m", "2", 2.0)], "model string, version string, metric double")
     assert selection.latest_version(versions).first().version == "10"
-    for hot in (10**6, 1):
-        assert rows(selection.metric_trend(versions, "metric", hot_rows=hot), "version", "change") == [
+    for hot in (None, 5):
+        assert rows(selection.metric_trend(versions, "metric", ranges=hot), "version", "change") == [
             ("10", 2.0), ("2", None), ("9", -1.0)]
     curve = [0.1, 0.3, 0.3, 0.2, 0.25, 0.1, 0.9]
     epochs = spark.createDataFrame([("r", i, v) for i, v in enumerate(curve)] + [("s", i, float(i)) for i in range(5)], "run string, epoch int, metric double")
-    for hot in (10**6, 3):
-        assert rows(selection.early_stopping(epochs, 2, hot_rows=hot)) == [("r", 2.0, 6.0), ("s", 4.0, 5.0)]
+    for hot in (None, 5):
+        assert rows(selection.early_stopping(epochs, 2, ranges=hot)) == [("r", 2.0, 6.0), ("s", 4.0, 5.0)]
     lift = spark.createDataFrame([(0.08, 0.04), (0.08, 0.0), (None, 0.04)], "m double, p double")
     assert [r.x for r in lift.select(selection.lift_over_popularity(F.col("m"), F.col("p")).alias("x")).collect()] == [2.0, None, None]
 
