@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from sparkrec.operators.ordering import positions
 from sparkrec.session import bounded_broadcast
 
 
@@ -19,14 +20,12 @@ def skip_committed(df: DataFrame, committed: DataFrame, run_id: str = "_extracti
     return df.join(done, run_id, "left_anti")
 
 
-def insert_if_absent(existing: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """`new` with `inserted`: false where the key is already present."""
+def insert_if_absent(existing: DataFrame, new: DataFrame, keys: Sequence[str], order: Sequence[Column] = ()) -> DataFrame:
+    """`new` with `inserted`: true for the first row (by `order`) of a key that is not yet present."""
     present = existing.select(*keys).distinct().withColumn("__present", F.lit(True))
-    return (
-        new.join(present, list(keys), "left")
-        .withColumn("inserted", F.col("__present").isNull())
-        .drop("__present")
-    )
+    placed = positions(new, keys, list(order), "__place")
+    absent = F.col("__present").isNull() & (F.col("__place") == 1)
+    return placed.join(present, list(keys), "left").withColumn("inserted", absent).drop("__present", "__place")
 
 
 def insert_counts(labelled: DataFrame) -> DataFrame:

@@ -185,7 +185,7 @@ def max_abs_difference(a: DataFrame, b: DataFrame, keys: list[str], tolerance: f
 def text_vectors(catalog: DataFrame, embeddings: DataFrame, item: str = "item_id") -> DataFrame:
     """Catalog rows with their text vector, unit length; every row must have one."""
     joined = catalog.join(embeddings, item, "left")
-    present = F.coalesce("embedding", F.raise_error("text rows must match catalog items"))
+    present = F.coalesce("embedding", F.raise_error("a catalog item has no text vector"))
     return joined.withColumn("text_vec", l2_normalize(present)).drop("embedding")
 
 

@@ -6,10 +6,16 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from sparkrec.operators.ordering import positions, previous_value, running_max
 
-DEFAULT_CANDIDATE = "gru4rec"  # fixed value
 
+def default_candidate(candidates: DataFrame) -> str:
+    """The first listed candidate; an empty list is an error."""
+    first = candidates.agg(F.min_by("candidate", "list_order")).first()[0]
+    if first is None:
+        raise ValueError("there are no candidates to choose from")
+    return first
 
-def paired_margins(per_sample: DataFrame, default: str = DEFAULT_CANDIDATE, z: float = 1.0) -> DataFrame:
+
+def paired_margins(per_sample: DataFrame, default: str, z: float = 1.0) -> DataFrame:
     """Per non-default candidate: mean paired difference, its standard error, z, eligibility.
 
     `per_sample` is (candidate, sample, ndcg); candidates scored on other samples than
@@ -32,14 +38,16 @@ def paired_margins(per_sample: DataFrame, default: str = DEFAULT_CANDIDATE, z: f
     )
 
 
-def select_winner(candidates: DataFrame, margins: DataFrame, default: str = DEFAULT_CANDIDATE) -> DataFrame:
+def select_winner(candidates: DataFrame, margins: DataFrame, default: str | None = None) -> DataFrame:
     """One row: the best eligible candidate, else the default.
 
     `candidates` is (candidate, val_ndcg, n_params, list_order). Highest score wins,
-    then fewer parameters, then list order. Unequal sample sets are an error.
+    then fewer parameters, then list order. Without `default` the first listed candidate
+    is it. Sample sets that differ are an error.
     """
+    default = default or default_candidate(candidates)
     # one row per candidate of the training run
-    problem = F.when(F.max("mismatched") > 0, F.raise_error("candidates were not scored on the same samples"))
+    problem = F.when(F.max("mismatched") > 0, F.raise_error("a candidate lacks samples of the default, or has others"))
     checked = margins.agg(F.coalesce(problem.cast("int"), F.lit(0)).alias("bad"))
     ranked = candidates.join(margins.select("candidate", "eligible"), "candidate", "left").filter(
         F.coalesce("eligible", F.lit(False)) | (F.col("candidate") == default)

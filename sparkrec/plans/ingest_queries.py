@@ -164,14 +164,15 @@ PAIRS = """pairs AS (SELECT o_custkey, l_partkey, COUNT(*) AS n, MIN(o_orderdate
 
 
 @query("a15_insert_if_absent", with_(I.BRONZE) + """
-SELECT COUNT(*) FILTER (WHERE NOT present) AS rows_inserted, COUNT(*) FILTER (WHERE present) AS rows_skipped FROM (
-  SELECT (user_id, product_id) IN (SELECT (user_id, product_id) FROM bronze WHERE updated_at <= TIMESTAMP '1999-01-01') AS present
+SELECT COUNT(*) FILTER (WHERE NOT present AND place = 1) AS rows_inserted, COUNT(*) FILTER (WHERE present OR place > 1) AS rows_skipped FROM (
+  SELECT row_number() OVER (PARTITION BY user_id, product_id ORDER BY updated_at, interaction_id) AS place, (user_id, product_id) IN (SELECT (user_id, product_id) FROM bronze WHERE updated_at <= TIMESTAMP '1999-01-01') AS present
   FROM bronze WHERE updated_at > TIMESTAMP '1999-01-01')""")
 def _(spark, sf):
     bronze = I.bronze_interactions(spark, sf)
     cut = I.ntz("1999-01-01 00:00:00")
     return ingest.insert_counts(ingest.insert_if_absent(
-        bronze.filter(F.col("updated_at") <= cut), bronze.filter(F.col("updated_at") > cut), ["user_id", "product_id"]))
+        bronze.filter(F.col("updated_at") <= cut), bronze.filter(F.col("updated_at") > cut), ["user_id", "product_id"],
+        [F.asc("updated_at"), F.asc("interaction_id")]))
 
 
 @query("a16_batch_stats", with_(I.BRONZE) + """
@@ -201,7 +202,7 @@ SELECT l_returnflag, COUNT(*) AS n, round(SUM(l_quantity), 2) AS quantity FROM l
 def _(spark, sf):
     return staging.query_view(
         I.table(spark, sf, "lineitem"),
-        "SELECT l_returnflag, COUNT(*) AS n, round(SUM(l_quantity), 2) AS quantity FROM t GROUP BY l_returnflag")
+        "SELECT l_returnflag, COUNT(*) AS n, round(SUM(l_quantity), 2) AS quantity FROM {t} GROUP BY l_returnflag")
 
 
 @query("a19_baseline", with_(I.BRONZE) + """
@@ -530,7 +531,7 @@ SELECT 1 AS files, TRUE AS compacted, COUNT(*) AS rows, CAST(SUM(interaction_id)
 def _(spark, sf):
     target = Table(spark, scratch_dir(spark))
     target.overwrite(I.silver_interactions(spark, sf).repartition(8), AT)
-    compacted = target.compact(1, AT)
+    compacted = target.compact(AT)
     rows = target.read().agg(F.count("*").alias("rows"), F.sum("interaction_id").alias("key_sum"))
     return rows.select(F.lit(target.file_count()).alias("files"), F.lit(compacted).alias("compacted"), "rows", "key_sum")
 

@@ -295,7 +295,7 @@ def _per_sample(spark, sf) -> DataFrame:
 @query("h8_paired_margins", with_(ORDER_SCORES, MARGINS) + """
 SELECT candidate, n, CAST(0 AS BIGINT) AS mismatched, round(diff, 6) AS diff, round(se, 6) AS se, round(diff / se, 4) AS z, diff > 0 AND diff > se AS eligible FROM margins""")
 def _(spark, sf):
-    out = selection.paired_margins(_per_sample(spark, sf)).withColumn("z", F.round("z", 4))
+    out = selection.paired_margins(_per_sample(spark, sf), "gru4rec").withColumn("z", F.round("z", 4))
     return _rounded(out)
 
 
@@ -308,7 +308,8 @@ def _(spark, sf):
     order = F.when(F.col("candidate") == "gru4rec", 0).when(F.col("candidate") == "sasrec", 1).otherwise(2)
     candidates = per_sample.groupBy("candidate").agg(F.avg("ndcg").alias("val_ndcg")).select(
         "*", params.alias("n_params"), order.alias("list_order"))
-    return selection.select_winner(candidates, selection.paired_margins(per_sample))
+    default = selection.default_candidate(candidates)
+    return selection.select_winner(candidates, selection.paired_margins(per_sample, default), default)
 
 
 # the older model's vocabulary is its item table, the newer one's is the whole catalog

@@ -45,14 +45,16 @@ def save_report(df: DataFrame, root: str, job: str, at: datetime) -> str:
 
 
 def latest_report(spark: SparkSession, root: str, job: str, schema: T.StructType | str) -> DataFrame:
-    """Rows of the newest report; only that folder is read."""
+    """Rows of the newest report, found in a listing of the folders; only that report is read."""
     try:
-        stamps = spark.read.schema("ts string").json(f"{root}/{job}")
+        files = spark.read.format("binaryFile").load(f"{root}/{job}/ts=*/*.json")
     except AnalysisException as error:
         if "PATH_NOT_FOUND" not in str(error):
             raise
         return spark.createDataFrame([], schema)
-    newest = stamps.agg(F.max("ts").alias("ts")).first().ts
+    newest = files.agg(F.max(F.regexp_extract("path", r"/ts=([^/]+)/[^/]*$", 1)).alias("ts")).first().ts
+    if newest is None:
+        return spark.createDataFrame([], schema)
     return spark.read.schema(schema).json(f"{root}/{job}/ts={newest}")
 
 

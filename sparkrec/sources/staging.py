@@ -40,10 +40,9 @@ def read_batches(spark: SparkSession, *paths: str) -> DataFrame:
     return first
 
 
-def query_view(df: DataFrame, sql: str = "SELECT * FROM t") -> DataFrame:
-    """Ad-hoc SQL over `df`, visible as view `t`."""
-    df.createOrReplaceTempView("t")
-    return df.sparkSession.sql(sql)
+def query_view(df: DataFrame, sql: str = "SELECT * FROM {t}") -> DataFrame:
+    """Ad-hoc SQL over `df`, written `{t}`; no view of the session is touched."""
+    return df.sparkSession.sql(sql, t=df)
 
 
 def read_inter(spark: SparkSession, path: str) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, ty
 
 from sparkrec.operators import silver
 
+FILE_BYTES = 512 << 20  # of a compacted file
 STATE = "commit int, version int, watermark timestamp, rows long, committed_at timestamp"
 
 
@@ -92,14 +93,23 @@ class Table:
         row = self.spark.createDataFrame([(commit, version, watermark, rows, committed_at)], STATE)
         row.coalesce(1).write.mode("append").parquet(f"{self.root}/state")
 
+    def files(self) -> tuple[int, int]:
+        """(files, bytes) of the current version, from a listing; contents are not read."""
+        listed = self.spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(
+            self._version_path(self.state().version))
+        n, size = listed.select("path", "length").agg(F.count("*"), F.coalesce(F.sum("length"), F.lit(0))).first()
+        return n, size
+
     def file_count(self) -> int:
-        return len(self.read().inputFiles())
+        return self.files()[0]
 
-    def compact(self, target_files: int, committed_at: datetime) -> bool:
-        """Rewrite into `target_files` files; a table of one file is left alone."""
-        if self.file_count() <= 1:
+    def compact(self, committed_at: datetime, file_bytes: int = FILE_BYTES) -> bool:
+        """Rewrite into files of about `file_bytes`; a table that has no more of them is left alone."""
+        n, size = self.files()
+        wanted = max(1, -(-size // file_bytes))
+        if n <= wanted:
             return False
-        self.overwrite(self.read().repartition(target_files), committed_at)
+        self.overwrite(self.read().repartition(wanted), committed_at)
         return True
 
 

@@ -170,7 +170,7 @@ def test_item_vectors_of_cold_items(spark):
 def test_text_rows_must_match(spark):
     catalog = spark.createDataFrame([("a",), ("b",)], "item_id string")
     texts = spark.createDataFrame([("a", [3.0, 4.0])], "item_id string, embedding array<double>")
-    with pytest.raises(Exception, match="must match"):
+    with pytest.raises(Exception, match="no text vector"):
         scoring.text_vectors(catalog, texts).collect()
     assert scoring.text_vectors(catalog.filter("item_id = 'a'"), texts).first().text_vec == pytest.approx([0.6, 0.8])
 
@@ -193,14 +193,25 @@ def test_select_winner(spark, other, params, winner):
     candidates = spark.createDataFrame(
         [(c, float(np.mean(v)), params.get(c, 7), i) for i, (c, v) in enumerate({"gru4rec": [0.5] * 4, **other}.items())],
         "candidate string, val_ndcg double, n_params int, list_order int")
-    assert selection.select_winner(candidates, selection.paired_margins(table)).first().winner == winner
+    assert selection.select_winner(candidates, selection.paired_margins(table, "gru4rec")).first().winner == winner
 
 
 def test_unequal_samples_are_an_error(spark):
     table = scored(spark, gru4rec=[0.5] * 4, b=[0.7] * 3)
     candidates = spark.createDataFrame([("gru4rec", 0.5, 1, 0), ("b", 0.7, 1, 1)], "candidate string, val_ndcg double, n_params int, list_order int")
-    with pytest.raises(Exception, match="same samples"):
-        selection.select_winner(candidates, selection.paired_margins(table)).collect()
+    with pytest.raises(Exception, match="lacks samples"):
+        selection.select_winner(candidates, selection.paired_margins(table, "gru4rec")).collect()
+
+
+def test_the_first_listed_candidate_is_the_default(spark):
+    table = scored(spark, sasrec=[0.5] * 4, b=[0.5] * 4)
+    schema = "candidate string, val_ndcg double, n_params int, list_order int"
+    candidates = spark.createDataFrame([("b", 0.5, 1, 1), ("sasrec", 0.5, 1, 0)], schema)
+    default = selection.default_candidate(candidates)
+    won = selection.select_winner(candidates, selection.paired_margins(table, default)).first()
+    assert (won.winner, won["default"]) == ("sasrec", "sasrec")
+    with pytest.raises(ValueError, match="no candidates"):
+        selection.default_candidate(spark.createDataFrame([], schema))
 
 
 @pytest.mark.parametrize("row,delta,expected", [

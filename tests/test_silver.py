@@ -158,10 +158,12 @@ def test_compaction_keeps_rows_and_watermark(spark, pipe):
     table = pipe.table
     table.overwrite(table.read().repartition(6), BASE)
     mark, before = table.state().watermark, silver.digest(table.read()).first()
-    assert table.file_count() > 1 and table.compact(1, BASE)
+    assert table.file_count() > 1 and table.compact(BASE)
     assert table.file_count() == 1 and table.state().watermark == mark
     assert silver.digest(table.read()).first() == before
-    assert not table.compact(1, BASE)
+    assert not table.compact(BASE)
+    table.overwrite(table.read().repartition(6), BASE)
+    assert table.compact(BASE, file_bytes=table.files()[1] // 3) and 1 < table.file_count() < 6
 
 
 def test_expired_files_are_those_of_expired_snapshots_only(spark, rows):
