@@ -44,6 +44,22 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str
     return left.join(other, same, how).drop(*[f"__{k}" for k in keys])
 
 
+def drawn(df: DataFrame, key: str, limit: int, *order: Column | str) -> DataFrame:
+    """About `limit` rows per key (never more), the first by `draw` and `order`.
+
+    A key is split into parts by `draw`, each limited on its own: Spark then trims every
+    map task to a part's limit before the shuffle, which it only does for small limits, and a hot key meets in
+    several tasks of that size.
+    """
+    parts = -(-limit // 500)
+    part = F.pmod(F.shiftright("draw", 7), F.lit(parts))
+    rank = F.row_number().over(W.partitionBy(key, "__part").orderBy("draw", *order))
+    return (
+        df.withColumn("__part", part).withColumn("__rank", rank)
+        .filter(F.col("__rank") <= limit // parts).drop("__part", "__rank")
+    )
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learned: Column, per_class: int) -> DataFrame:
     """(doc_id, text, y, draw): at most `per_class` documents of each class, drawn by hash of the id.
 
@@ -51,16 +67,11 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learned: Col
     2 * per_class rows, and only drawn documents leave their partition. The documents
     are limited once more, for ids that occur often.
     """
-    rank = F.row_number().over(W.partitionBy("y").orderBy("draw", "doc_id"))
-    drawn = (
-        labels.filter(learned & F.col("doc_id").isNotNull() & F.col(label).isin(0, 1))
-        .groupBy("doc_id").agg(F.max(label).cast("int").alias("y"))
-        .withColumn("draw", F.xxhash64("doc_id")).withColumn("rank", rank)
-        .filter(F.col("rank") <= per_class).drop("rank")
-    )
-    found = docs.select("doc_id", text_of().alias("text")).join(F.broadcast(drawn), "doc_id")
-    again = F.row_number().over(W.partitionBy("y").orderBy("draw", "doc_id", F.xxhash64("text")))
-    return found.withColumn("rank", again).filter(F.col("rank") <= per_class).drop("rank")
+    known = labels.filter(learned & F.col("doc_id").isNotNull() & F.col(label).isin(0, 1)).groupBy("doc_id").agg(
+        F.max(label).cast("int").alias("y")).withColumn("draw", F.xxhash64("doc_id"))
+    ids = drawn(known, "y", per_class, "doc_id")
+    found = docs.select("doc_id", text_of().alias("text")).join(F.broadcast(ids), "doc_id")
+    return drawn(found, "y", per_class, "doc_id", F.xxhash64("text"))
 
 
 def class_counts(labels: DataFrame, label: str, learned: Column) -> tuple[int, int]:

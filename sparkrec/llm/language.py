@@ -24,9 +24,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from sparkrec.llm.common import id_remainder, text_of
+from sparkrec.llm.common import drawn, id_remainder, text_of
 
 WINDOW, WIDTHS, FILTERS, EMBED = 128, (2, 3, 4), 16, 8
 PER_LANGUAGE, WINDOWS, EPOCHS, BATCH, RATE = 1500, 4, 6, 128, 0.01
@@ -125,12 +125,9 @@ def _softmax(z: np.ndarray) -> np.ndarray:
 def training_windows(docs: DataFrame, learned: Column, per_language: int, windows: int) -> pd.DataFrame:
     """(lang, bytes): windows of a bounded sample of labelled documents, in a fixed order."""
     draw = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), text_of())
-    rank = F.row_number().over(W.partitionBy("lang").orderBy("draw", "text"))
-    drawn = (
-        docs.filter(learned & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-        .select(F.col("lang").cast("string").alias("lang"), "text", draw.alias("draw"))
-        .withColumn("rank", rank).filter(F.col("rank") <= per_language)
-    )
+    known = docs.filter(learned & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select(
+        F.col("lang").cast("string").alias("lang"), "text", draw.alias("draw"))
+    some = drawn(known, "lang", per_language, "text")
 
     def pick(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -141,18 +138,18 @@ def training_windows(docs: DataFrame, learned: Column, per_language: int, window
                 out += [(lang, int(draw), k, rows[i].tobytes()) for k, i in enumerate(some)]
             yield pd.DataFrame(out, columns=["lang", "draw", "k", "bytes"])
 
-    picked = drawn.select("lang", "text", "draw").mapInPandas(pick, "lang string, draw long, k int, bytes binary").toPandas()
+    picked = some.select("lang", "text", "draw").mapInPandas(pick, "lang string, draw long, k int, bytes binary").toPandas()
     return picked.sort_values(["lang", "draw", "k", "bytes"], ignore_index=True)
 
 
 def train(docs: DataFrame, learned: Column, per_language: int = PER_LANGUAGE, windows: int = WINDOWS) -> ByteNet | None:
     """A network for the languages of the learned rows, or None if there are none."""
-    drawn = training_windows(docs, learned, per_language, windows)
-    if not len(drawn):
+    seen = training_windows(docs, learned, per_language, windows)
+    if not len(seen):
         return None
-    languages = sorted(drawn["lang"].unique())
-    x = np.stack([np.frombuffer(b, np.uint8) for b in drawn["bytes"]])
-    return ByteNet.fresh(languages).fit(x, np.searchsorted(languages, drawn["lang"]))
+    languages = sorted(seen["lang"].unique())
+    x = np.stack([np.frombuffer(b, np.uint8) for b in seen["bytes"]])
+    return ByteNet.fresh(languages).fit(x, np.searchsorted(languages, seen["lang"]))
 
 
 def classify(net: ByteNet, texts: list[str], block: int = 2048) -> tuple[np.ndarray, np.ndarray]:
