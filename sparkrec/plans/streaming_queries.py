@@ -138,12 +138,24 @@ def _(spark, sf):
 BOUNDS = ", ".join(str(b) for b in rm.LATENCY_BOUNDS)
 
 
-@query("k5_latency_p95", with_(I.REQUESTS, windows_sql(300, "path"), f"""
+P95 = f"""
 cum AS (SELECT window_start, path, requests, b, i, len(list_filter(latencies, lambda x: x <= b)) AS upto
   FROM (SELECT *, unnest([{BOUNDS}]) AS b, unnest(range(1, {len(rm.LATENCY_BOUNDS) + 1})) AS i FROM win)),
-steps AS (SELECT *, lag(upto, 1, 0) OVER w AS before, lag(b, 1, 0.0) OVER w AS low FROM cum WINDOW w AS (PARTITION BY window_start, path ORDER BY i))""") + f"""
-SELECT window_start, path, round(COALESCE(arg_min(low + (b - low) * (requests * 0.95 - before) / (upto - before), i)
-  FILTER (WHERE upto >= requests * 0.95), {rm.LATENCY_BOUNDS[-1]}), 6) AS p95 FROM steps GROUP BY window_start, path""")
+steps AS (SELECT *, lag(upto, 1, 0) OVER w AS before, lag(b, 1, 0.0) OVER w AS low FROM cum WINDOW w AS (PARTITION BY window_start, path ORDER BY i)),
+quantiles AS (SELECT window_start, path, round(COALESCE(arg_min(low + (b - low) * (requests * 0.95 - before) / (upto - before), i)
+  FILTER (WHERE upto >= requests * 0.95), {rm.LATENCY_BOUNDS[-1]}), 6) AS p95 FROM steps GROUP BY window_start, path)"""
+# windows that the watermark has passed when the stream has read everything
+CLOSED = """
+WHERE window_start + INTERVAL 300 SECOND <= date_trunc('millisecond', (SELECT MAX(ts) FROM requests)) - INTERVAL 1 MINUTE"""
+
+
+def closed_windows(spark, sf, by: list[str], measure) -> DataFrame:
+    """A measure of five-minute windows, computed on the stream; closed windows only."""
+    stream = rm.sliding_stream(I.request_log(spark, sf, raw_stream(spark, sf)), 300, by)
+    return drain(measure(stream), "append")
+
+
+@query("k5_latency_p95", with_(I.REQUESTS, windows_sql(300, "path"), P95) + "SELECT * FROM quantiles")
 def _(spark, sf):
     out = rm.latency_quantile(rm.sliding(_log(spark, sf), 300, ["path"]), 0.95, "p95")
     return _start(out.select("window_start", "path", F.round("p95", 6).alias("p95")))
@@ -163,6 +175,26 @@ def _(spark, sf):
     return _start(out.select("window_start", F.round("hit_ratio", 6).alias("hit_ratio")))
 
 
+@query("k5_latency_p95_stream", with_(I.REQUESTS, windows_sql(300, "path"), P95) + "SELECT * FROM quantiles" + CLOSED)
+def _(spark, sf):
+    out = closed_windows(spark, sf, ["path"], lambda w: rm.latency_quantile(w, 0.95, "p95"))
+    return _start(out.select("window_start", "path", F.round("p95", 6).alias("p95")))
+
+
+@query("k6_error_ratio_stream", with_(I.REQUESTS, windows_sql(300)) + """
+SELECT window_start, round(errors / requests, 6) AS error_ratio FROM win""" + CLOSED)
+def _(spark, sf):
+    out = closed_windows(spark, sf, [], rm.error_ratio)
+    return _start(out.select("window_start", F.round("error_ratio", 6).alias("error_ratio")))
+
+
+@query("k7_cache_hit_ratio_stream", with_(I.REQUESTS, windows_sql(300)) + """
+SELECT window_start, round(hits / nullif(lookups, 0), 6) AS hit_ratio FROM win""" + CLOSED)
+def _(spark, sf):
+    out = closed_windows(spark, sf, [], rm.cache_hit_ratio)
+    return _start(out.select("window_start", F.round("hit_ratio", 6).alias("hit_ratio")))
+
+
 # versions of equal update time are decided by arrival, so only the settled columns are compared
 @query("k8_stream_upsert", with_(I.BRONZE, I.SILVER) + "SELECT interaction_id, user_id, event_time, updated_at FROM silver")
 def _(spark, sf):
