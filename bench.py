@@ -14,10 +14,10 @@ from sparkrec.plans.catalog import QUERIES  # noqa: E402
 from sparkrec.session import build_session  # noqa: E402
 
 HEADLINE = (
-    "c1_latest_products", "c2_latest_interactions", "c5_upsert", "d1_item_features", "d2_user_sequences",
-    "e2_point_in_time", "f5_leave_one_out", "f5_leave_one_out_history", "f11_category_tokens", "g3_scores",
-    "g4_top_n", "h1_catalog_ranks", "h2_ranks_in_scores", "i2_top_k_similar", "i7_homepage",
-    "j2_categorical_drift", "k3_sessions", "k4_request_rate", "k8_stream_upsert",
+    "a4_read_staging", "c1_latest_products", "c2_latest_interactions", "c5_upsert", "c7_sync_counters", "d1_item_features", "d2_user_sequences",
+    "e2_point_in_time", "f5_leave_one_out", "f5_leave_one_out_history", "f11_category_tokens", "f16_catalog_assembly", "g3_scores",
+    "g4_top_n", "h1_catalog_ranks", "h2_ranks_in_scores", "h10_champion_ranks", "h14_early_stopping", "i2_top_k_similar", "i7_homepage",
+    "j2_categorical_drift", "k2_recent_items_stream", "k3_sessions", "k4_request_rate", "k8_stream_upsert",
 )
 
 
