@@ -77,7 +77,8 @@ def _(spark, sf):
 SELECT user_id, array_to_string(recent_items, ',') AS recent_items, last_ts FROM recents""")
 def _(spark, sf):
     live = drain(sessions.recent_items_stream(I.events(spark, sf, raw_stream(spark, sf))), "update")
-    newest = live.groupBy("user_id").agg(F.max_by("recent_items", "last_ts").alias("recent_items"), F.max("last_ts").alias("last_ts"))
+    lists = live.filter(F.size("recent_items") > 0)  # expired lists come back empty
+    newest = lists.groupBy("user_id").agg(F.max_by("recent_items", "last_ts").alias("recent_items"), F.max("last_ts").alias("last_ts"))
     return newest.select("user_id", F.array_join("recent_items", ",").alias("recent_items"),
                          F.col("last_ts").cast("timestamp_ntz").alias("last_ts"))
 
@@ -223,6 +224,7 @@ SELECT user_id, array_to_string(j[greatest(1, len(j) - 9):], ',') AS items
 FROM (SELECT user_id, list_concat(COALESCE(item_sequence, []), recent_items) AS j FROM recents LEFT JOIN users USING (user_id))""")
 def _(spark, sf):
     live = sessions.recent_items_stream(I.events(spark, sf, raw_stream(spark, sf)))
-    merged = drain(intake.enrich_recent(live, I.user_sequences(spark, sf)), "update")
+    lists = live.filter(F.size("recent_items") > 0)  # the SQL knows no expiry
+    merged = drain(intake.enrich_recent(lists, I.user_sequences(spark, sf)), "update")
     newest = merged.groupBy("user_id").agg(F.max_by("items", "last_ts").alias("items"))
     return newest.select("user_id", F.array_join("items", ",").alias("items"))

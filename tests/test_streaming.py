@@ -60,6 +60,16 @@ def test_streamed_lists_equal_the_batch_whatever_the_arrival(spark, tmp_path):
     assert {r.user_id: r.r for r in out.collect()} == want
 
 
+def test_expired_lists_come_back_empty(spark, tmp_path):
+    write_batches(str(tmp_path / "in"), events(spark, ("a", "x", 0), ("a", "y", 5)),
+                  spark.createDataFrame([(99, "zz", "x", T0 + timedelta(days=2))], EVENT),
+                  spark.createDataFrame([(100, "zz", "x", T0 + timedelta(days=3))], EVENT))
+    out = drain(sessions.recent_items_stream(stream(spark, str(tmp_path / "in"), EVENT)), "update", str(tmp_path))
+    mine = out.filter("user_id = 'a'").orderBy("b").collect()
+    assert [list(r.recent_items) for r in mine] == [["x", "y"], []]
+    assert all((r.expires_at - r.last_ts).total_seconds() == 1800 for r in mine)
+
+
 def test_sessions_batch_and_stream(spark, tmp_path, rows):
     data = [("a", "x", 0), ("a", "x", 1799), ("a", "x", 1799 + 1800), ("b", "x", 5), ("b", "x", 1790), ("b", "x", 3400)]
     df = events(spark, *data)
