@@ -5,6 +5,8 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
+from sparkrec.session import durable
+
 # The white space of the contracts, [\x20\x09-\x0D], as a character class and as single characters.
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -20,6 +22,17 @@ def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def identified(docs: DataFrame, stored: bool) -> DataFrame:
+    """(doc, rid): whole rows, and a row's file and place in it, the same for every reader.
+
+    `stored` says that `docs` are files just as they were read; other rows are stored first.
+    """
+    source = docs if stored else durable(docs)
+    where = source.metadataColumn("_metadata")
+    rid = F.struct(where["file_path"].alias("file"), where["row_index"].alias("row"))
+    return source.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), rid.alias("rid"))
+
+
 def id_remainder(divisor: int, column: str = "doc_id") -> Column:
     """crc32 of the id as text, modulo `divisor`; a NULL id counts as empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % divisor

@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sparkrec.llm import fuse
-from sparkrec.llm.common import SPACES, id_remainder, text_of
+from sparkrec.llm.common import SPACES, id_remainder, identified, text_of
 from sparkrec.session import durable
 
 BUCKET_KEYS = 100_000  # digests per filter
@@ -40,18 +40,14 @@ def digest_of(text: str = "text", bits: int = 256) -> Column:
     return full if bits == 256 else F.substring(full, 1, bits // 8)
 
 
-def _columns(snapshot: Column, bits: int) -> list[Column]:
-    return [
+def _rows(docs: DataFrame, snapshot: Column, bits: int, rid: Column, *more: Column) -> DataFrame:
+    return docs.select(
         F.col("doc_id").cast("long").alias("id"),
         F.length(text_of()).cast("long").alias("n_cp"),
         digest_of(bits=bits).alias("digest"),
         F.coalesce(snapshot, F.lit(False)).alias("old"),
-        F.monotonically_increasing_id().alias("rid"),
-    ]
-
-
-def _rows(docs: DataFrame, snapshot: Column, bits: int, *more: Column) -> DataFrame:
-    return docs.select(*_columns(snapshot, bits), *more)
+        rid.alias("rid"), *more,
+    )
 
 
 def _best() -> Column:
@@ -144,9 +140,10 @@ def label(docs: DataFrame, snapshot: Column | None = None, bits: int = 256) -> D
     `snapshot` tells the rows of the immutable snapshot; by default half of the ids.
     """
     old = id_remainder(2) == 0 if snapshot is None else snapshot
-    rows = durable(_rows(docs, old, bits))
+    rid = F.monotonically_increasing_id()
+    rows = durable(_rows(docs, old, bits, rid))
     groups = durable(group_digests(rows))
-    texts = _rows(docs, old, bits, normal_form().cast("binary").alias("bytes")).drop("old")
+    texts = _rows(docs, old, bits, rid, normal_form().cast("binary").alias("bytes")).drop("old")
     rows, groups = resolve(texts, rows, groups)
     best = groups.select("digest", "variant", "n", F.col("best.id").alias("keep_id"), F.col("best.rid").alias("keep"))
     out = rows.join(best, ["digest", "variant"])
@@ -156,19 +153,21 @@ def label(docs: DataFrame, snapshot: Column | None = None, bits: int = 256) -> D
     )
 
 
-def keep_one(docs: DataFrame, snapshot: Column | None = None, bits: int = 256) -> DataFrame:
-    """The documents that stay, with all their columns.
+def keep_one(docs: DataFrame, snapshot: Column | None = None, bits: int = 256, stored: bool = False) -> DataFrame:
+    """The documents that stay, with all their columns. `stored`: `docs` are files as they were read.
 
-    Whole rows are stored once with a row number, so every later step, and every task
-    run again after a lost executor, sees the same numbers.
+    Rows are known by their file and place, so every later step, and every task run
+    again after a lost executor, means the same rows.
     """
     old = id_remainder(2) == 0 if snapshot is None else snapshot
-    numbered = durable(docs.select(F.struct("*").alias("doc"), *_columns(old, bits)))
-    groups = durable(group_digests(numbered.drop("doc")))
-    texts = numbered.select("digest", "id", "n_cp", "rid", normal_form("doc.text").cast("binary").alias("bytes"))
-    rows, groups = resolve(texts, numbered.drop("doc"), groups)
+    known = identified(docs, stored)
+    flat = known.select("doc.doc_id", "doc.text", "rid")
+    rows = durable(_rows(flat, old, bits, F.col("rid")))
+    groups = durable(group_digests(rows))
+    texts = _rows(flat, old, bits, F.col("rid"), normal_form().cast("binary").alias("bytes")).drop("old")
+    rows, groups = resolve(texts, rows, groups)
     gone = (
         rows.join(groups.filter("n > 1").select("digest", "variant", F.col("best.rid").alias("keep")), ["digest", "variant"])
         .filter("rid <> keep").select("rid").hint("shuffle_hash")
     )
-    return numbered.join(gone, "rid", "left_anti").select("doc.*")
+    return known.join(gone, "rid", "left_anti").select("doc.*")

@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from sparkrec.llm.common import join_null_safe, word_count
+from sparkrec.llm.common import identified, join_null_safe, word_count
 from sparkrec.operators.ordering import dense_index, running_totals
 from sparkrec.session import durable
 
@@ -180,14 +180,14 @@ def label(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = C
         "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
 
 
-def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CAP) -> DataFrame:
+def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CAP, stored: bool = False) -> DataFrame:
     """The mixed corpus: every document as often as it has copies, with all its columns.
 
-    Whole rows are stored once with a row number, which stays the same for every later reader.
+    `stored`: `docs` are files as they were read. Rows are known by their file and place.
     """
-    numbered = durable(docs.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("rid")))
-    rows = durable(numbered.select(
+    known = identified(docs, stored)
+    rows = durable(known.select(
         F.col("doc.doc_id").alias("doc_id"), F.col("doc.source").cast("string").alias("source"),
         word_count(F.col("doc.text")).alias("size"), "rid"))
     times = copies(rows, cap, weights, share).filter("copies > 0").select("rid", "copies").hint("shuffle_hash")
-    return numbered.join(times, "rid").select("doc", F.explode(F.sequence(F.lit(1), "copies"))).select("doc.*")
+    return known.join(times, "rid").select("doc", F.explode(F.sequence(F.lit(1), "copies"))).select("doc.*")

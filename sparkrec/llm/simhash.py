@@ -32,7 +32,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from sparkrec.llm.common import text_of
+from sparkrec.llm.common import identified, text_of
 from sparkrec.llm.components import connected
 from sparkrec.session import durable
 
@@ -330,36 +330,38 @@ def similarity(left: str = "a", right: str = "b", words: int = WORDS) -> Column:
     return run(F.col(left), F.col(right))
 
 
-def verified(candidates: DataFrame, texts: DataFrame, words: int, least: float) -> DataFrame:
-    """The candidate pairs (u, v) whose texts (fp, text) share enough shingles."""
+def verified(candidates: DataFrame, heads: DataFrame, texts: DataFrame, words: int, least: float) -> DataFrame:
+    """The candidate pairs (u, v) whose texts share enough shingles.
+
+    heads: (fp, rid), the row that stands for a fingerprint; texts: (rid, text). Only texts that occur in a pair are kept.
+    """
     pairs = durable(candidates.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
     ends = pairs.select(F.col("u").alias("fp")).union(pairs.select("v")).distinct()
-    some = durable(texts.join(ends.hint("shuffle_hash"), "fp", "left_semi"))
+    some = durable(texts.join(heads.join(ends, "fp").hint("shuffle_hash"), "rid").select("fp", "text"))
     met = pairs.join(some.select(F.col("fp").alias("u"), F.col("text").alias("a")), "u").join(
         some.select(F.col("fp").alias("v"), F.col("text").alias("b")), "v")
     return met.filter(similarity("a", "b", words) >= least).select("u", "v")
 
 
 def keep_one(docs: DataFrame, words: int = WORDS, least: float = SIMILAR, bits: int = WIDE_BITS, tables: int = TABLES,
-             chunk: int = CHUNK) -> DataFrame:
+             chunk: int = CHUNK, stored: bool = False) -> DataFrame:
     """The documents that stay: of each group of near copies the one with the smallest id, with all its columns.
 
     Texts with a similarity of `least` differ in about ten of 64 bits, too many for exact bands. So candidates
     up to `bits` apart are searched under `tables` sampled masks, and each is verified on the whole texts: its
     word shingles must reach the similarity. Equal fingerprints count as copies. Rows
-    without an id, and rows that repeat the smallest id, are told apart by a row number,
-    stored with the whole rows so that it stays the same for every later reader.
+    are known by their file and place (`stored`: `docs` are files as they were read), which also tells apart
+    rows without an id and rows that repeat the smallest id.
     """
-    numbered = durable(docs.select(
-        F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("rid"), fingerprint_of("text", words).alias("fp")))
-    order = F.struct(F.col("doc.doc_id").isNull().alias("unnamed"), F.col("doc.doc_id").cast("long").alias("id"), "rid")
-    heads = durable(numbered.select("fp", order.alias("first")).groupBy("fp").agg(F.min("first").alias("first")))
+    known = identified(docs, stored)
+    rows = durable(known.select(
+        fingerprint_of("doc.text", words).alias("fp"),
+        F.struct(F.col("doc.doc_id").isNull().alias("unnamed"), F.col("doc.doc_id").cast("long").alias("id"), "rid").alias("first")))
+    heads = durable(rows.groupBy("fp").agg(F.min("first").alias("first")))
     candidates = links(heads.select("fp"), bits, chunk, sampled_masks(tables))
-    # one text stands for each fingerprint
-    texts = numbered.select("rid", text_of("doc.text").alias("text")).join(
-        heads.select("fp", F.col("first.rid").alias("rid")).hint("shuffle_hash"), "rid").select("fp", "text")
-    star = durable(connected(durable(verified(candidates, texts, words, least))))
+    star = durable(connected(durable(verified(
+        candidates, heads.select("fp", F.col("first.rid").alias("rid")), known.select("rid", text_of("doc.text").alias("text")), words, least))))
     # fingerprints that are no root of a group go with their root; the group's first row stays
     named = heads.join(star, heads["fp"] == star["node"], "left").select("first", F.coalesce("root", "fp").alias("root"))
     kept = named.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.rid").alias("rid"))
-    return numbered.join(kept.hint("shuffle_hash"), "rid", "left_semi").select("doc.*")
+    return known.join(kept.hint("shuffle_hash"), "rid", "left_semi").select("doc.*")
