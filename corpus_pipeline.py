@@ -28,17 +28,17 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the longest original stays, then the smallest id."""
-    return exact.keep_one(docs)
+    return exact.keep_one(docs, stored=True)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of texts with a similarity of 0.8 or more in word shingles of five, the smallest id stays."""
-    return simhash.keep_one(docs, words=5, least=0.8)
+    return simhash.keep_one(docs, words=5, least=0.8, stored=True)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents are repeated or left out, so that sources meet their shares."""
-    return mixing.mix(docs)
+    return mixing.mix(docs, stored=True)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
