@@ -30,7 +30,7 @@ from sparkrec.llm.common import drawn, id_remainder, text_of
 
 WINDOW, WIDTHS, FILTERS, EMBED = 128, (2, 3, 4), 16, 8
 PER_LANGUAGE, WINDOWS, EPOCHS, BATCH, RATE = 1500, 4, 6, 128, 0.01
-UNKNOWN = "und"
+UNKNOWN, MOST_LANGUAGES = "und", 200
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 BLOCK = 64  # windows whose responses are computed at once: they stay in the cache
 
@@ -125,8 +125,17 @@ def _softmax(z: np.ndarray) -> np.ndarray:
 def training_windows(docs: DataFrame, learned: Column, per_language: int, windows: int) -> pd.DataFrame:
     """(lang, bytes): windows of a bounded sample of labelled documents, in a fixed order."""
     draw = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), text_of())
-    known = docs.filter(learned & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select(
-        F.col("lang").cast("string").alias("lang"), "text", draw.alias("draw"))
+    lang = F.col("lang").cast("string")
+    labelled = docs.filter(learned & lang.isNotNull())
+    # texts leave their partition only with about three times the chance that the sample needs
+    counts = labelled.groupBy(lang.alias("lang")).count().limit(MOST_LANGUAGES + 1).collect()
+    if len(counts) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages")
+    chance = F.lit(0.0)
+    for r in counts:
+        chance = F.when(lang == r["lang"], min(1.0, 3 * per_language / r["count"])).otherwise(chance)
+    known = labelled.filter(F.pmod(draw, F.lit(1_000_003)) < chance * 1_000_003).filter(F.col("text").rlike(r"\p{L}")).select(
+        lang.alias("lang"), "text", draw.alias("draw"))
     some = drawn(known, "lang", per_language, "text")
 
     def pick(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
