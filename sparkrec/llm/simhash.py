@@ -39,6 +39,8 @@ from sparkrec.session import durable
 WORDS, BITS, SEED = 5, 3, 42
 SIMILAR, WIDE_BITS, TABLES = 0.8, 12, 40  # for near copies: least similarity, differing bits, sampled masks
 CHUNK = 20_000  # codes of a bucket in one chunk
+SET_CHUNK = 4_000  # sets with a shingle in one chunk
+SAMPLE, MOST_COMMON = 5_000, 200_000  # texts sampled to order shingles by frequency, shingles kept of them
 LEAF, FAN = 32, 8
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 #: byte -> its eight bits in the eight bytes of a word, so that sums of up to 255 stay apart
@@ -47,20 +49,30 @@ _LANES = np.array([sum(((v >> j) & 1) << (8 * j) for j in range(8)) for v in ran
 
 def fingerprint(text: str | None, words: int = WORDS, block: int = 65_280) -> int:
     """Unsigned 64-bit fingerprint of a text; shingles are hashed in blocks."""
+    return _fingerprint(_hashes(text, words, block))
+
+
+def _hashes(text: str | None, words: int, block: int = 65_280) -> Iterator[np.ndarray]:
+    """Hashes of a text's word shingles in blocks, repeats included; none for a text without words."""
     found = (text or "").encode("utf-8", "surrogatepass").translate(_LOWER).split()  # splits at ASCII white space only
     if not found:
-        return 0
+        return
     joined = b" ".join(found)
     ends = list(accumulate(len(w) + 1 for w in found))
     starts = [0, *ends[:-1]]
     n = max(1, len(found) - words + 1)
     stops = ends[min(words, len(found)) - 1:]
     digest = xxhash.xxh64_intdigest
-    counts = np.zeros(64, np.int64)
     for at in range(0, n, block):
         span = zip(starts[at:min(at + block, n)], stops[at:at + block])
-        h = np.fromiter((digest(joined[s:e - 1], SEED) for s, e in span), np.uint64)
+        yield np.fromiter((digest(joined[s:e - 1], SEED) for s, e in span), np.uint64)
+
+
+def _fingerprint(blocks) -> int:
+    counts, n = np.zeros(64, np.int64), 0
+    for h in blocks:
         counts += _bit_counts(h)
+        n += len(h)
     on = np.packbits(counts * 2 > n, bitorder="little")
     return int(on.view("<u8")[0])
 
@@ -148,27 +160,33 @@ def links(fps: DataFrame, bits: int = BITS, chunk: int = CHUNK, masks: list[int]
         "band", "bucket", "pair", "gray")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: list[pd.DataFrame] = []
-        for b in batches:
-            if not len(b):
-                continue
-            key = b[["band", "bucket", "pair"]].to_numpy(np.int64)
-            new = np.flatnonzero((key[1:] != key[:-1]).any(1))
-            if held and (held[-1][["band", "bucket", "pair"]].to_numpy(np.int64)[-1] != key[0]).any():
-                yield _bucket_links(pd.concat(held), bits, forest)
-                held = []
-            if len(new):  # all but the last bucket are complete
-                held.append(b.iloc[:new[-1] + 1])
-                yield _bucket_links(pd.concat(held), bits, forest)
-                held = [b.iloc[new[-1] + 1:]]
-            else:
-                held.append(b)
-        if held:
-            yield _bucket_links(pd.concat(held), bits, forest)
+        for rows in _complete(batches, ["band", "bucket", "pair"]):
+            yield _bucket_links(rows, bits, forest)
 
     return placed.mapInPandas(run, "u long, v long")
 
 
+def _complete(batches: Iterator[pd.DataFrame], by: list[str]) -> Iterator[pd.DataFrame]:
+    """The rows of complete buckets; `batches` are sorted by `by`."""
+    held: list[pd.DataFrame] = []
+    for b in batches:
+        if not len(b):
+            continue
+        key = b[by].to_numpy(np.int64)
+        new = np.flatnonzero((key[1:] != key[:-1]).any(1))
+        if held and (held[-1][by].to_numpy(np.int64)[-1] != key[0]).any():
+            yield pd.concat(held)
+            held = []
+        if len(new):  # all but the last bucket are complete
+            held.append(b.iloc[:new[-1] + 1])
+            yield pd.concat(held)
+            held = [b.iloc[new[-1] + 1:]]
+        else:
+            held.append(b)
+    if held:
+        yield pd.concat(held)
+
+
 def _bucket_links(rows: pd.DataFrame, bits: int, forest: bool) -> pd.DataFrame:
     """Links inside complete buckets."""
     codes = rows["fp"].to_numpy().view(np.uint64)
@@ -330,16 +348,134 @@ def similarity(left: str = "a", right: str = "b", words: int = WORDS) -> Column:
     return run(F.col(left), F.col(right))
 
 
+def common_shingles(texts: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes, ascending, of shingles that a sample of texts (rid, text) repeats, and in how many of its texts they occur.
+
+    They only set the order in which prefixes are taken; every order gives the same pairs.
+    """
+    share = min(1.0, SAMPLE / max(1, texts.count()))
+
+    @F.pandas_udf("array<long>")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for t in batches:
+            yield pd.Series([_distinct(_hashes(x, words)).view(np.int64) for x in t])
+
+    drawn = texts.filter(F.pmod(F.xxhash64("rid"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
+    counted = drawn.select(F.explode(run("text")).alias("token")).groupBy("token").agg(F.count("*").alias("n")).filter("n > 2")
+    found = counted.orderBy(F.desc("n"), "token").limit(MOST_COMMON).toPandas()
+    token = found["token"].to_numpy(np.int64).view(np.uint64)
+    place = np.argsort(token)
+    return token[place], found["n"].to_numpy(np.int64)[place]
+
+
+def _distinct(blocks) -> np.ndarray:
+    """Distinct hashes in ascending order; a text without words has one shingle, the empty one."""
+    blocks = list(blocks)
+    return np.unique(np.concatenate(blocks)) if blocks else np.array([xxhash.xxh64_intdigest(b"", SEED)], np.uint64)
+
+
+def needed(size: np.ndarray, least: float) -> np.ndarray:
+    """Least whole number that is `least` times the size or more."""
+    return np.ceil(np.asarray(size) * least - 1e-9).astype(np.int64)
+
+
+def prefix(found: np.ndarray, least: float, common: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """The rarest of a text's distinct shingles, as many as let no set of similarity `least` avoid them all.
+
+    Two such sets share needed(size) shingles of either, so fewer than size - needed(size) + 1 of them
+    can be missing; the rarest shared one is therefore in both prefixes.
+    """
+    token, n = common
+    weight = np.zeros(len(found), np.int64)
+    if len(token):
+        at = np.minimum(np.searchsorted(token, found), len(token) - 1)
+        weight = np.where(token[at] == found, n[at], 0)
+    return found[np.argsort(weight, kind="stable")[:len(found) - int(needed(len(found), least)) + 1]]
+
+
+def traits(text: str, words: int, least: float, common: tuple[np.ndarray, np.ndarray]) -> Column:
+    """(fp, sid, size, prefix) of a text column: fingerprint, hash of the set of shingles, its size, its rarest shingles."""
+
+    @F.pandas_udf("fp long, sid long, size int, prefix array<long>")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in batches:
+            out = []
+            for t in texts:
+                blocks = list(_hashes(t, words))
+                found = _distinct(blocks)
+                codes = np.array([_fingerprint(blocks), xxhash.xxh64_intdigest(found.tobytes(), SEED)], np.uint64).view(np.int64)
+                out.append((codes[0], codes[1], len(found), prefix(found, least, common).view(np.int64)))
+            yield pd.DataFrame(out, columns=["fp", "sid", "size", "prefix"])
+
+    return run(text_of(text))
+
+
+def shared_prefix(tokens: DataFrame, heads: DataFrame, star: DataFrame, least: float, chunk: int = SET_CHUNK) -> DataFrame:
+    """(u, v): all pairs of sets, not linked by `star` yet, that can reach the similarity.
+
+    tokens: (token, sid, pos), the prefixes; heads: (sid, size). Tokens that only one set or one group has
+    go before anything is paired, so a large group that is linked costs its rows and not its pairs. Tokens of more than
+    `chunk` rows are dealt out as pairs of chunks. A pair is emitted where the sizes allow the similarity and
+    so many shingles are left after the token in both orders that enough can be shared; this
+    holds at the first shared token of every pair that reaches it.
+    """
+    several = tokens.groupBy("token").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi")).filter("lo <> hi").select("token")
+    rooted = heads.join(star.withColumnRenamed("node", "sid"), "sid", "left").select(
+        "sid", "size", F.coalesce("root", "sid").alias("root"))
+    met = durable(tokens.join(several, "token").join(rooted, "sid").distinct())
+    apart = met.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("n")).filter(
+        "lo <> hi").select("token", F.ceil(F.col("n") / chunk).cast("int").alias("chunks"))
+    own = F.pmod(F.xxhash64("sid"), F.col("chunks")).cast("int")
+    pairs = F.transform(
+        F.sequence(F.lit(0), F.col("chunks") - 1),
+        lambda o: F.least(o, own) * F.col("chunks") + F.greatest(o, own),
+    )
+    placed = met.join(apart, "token").select("token", F.explode(pairs).alias("pair"), "sid", "pos", "size", "root").repartition(
+        "token", "pair").sortWithinPartitions("token", "pair", "size")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in _complete(batches, ["token", "pair"]):
+            yield from _set_pairs(rows, least)
+
+    return placed.mapInPandas(run, "u long, v long")
+
+
+def _set_pairs(rows: pd.DataFrame, least: float) -> Iterator[pd.DataFrame]:
+    """Pairs inside complete buckets, sorted by size: rows at distance 1, 2, ... until sizes are too far apart."""
+    key = rows[["token", "pair"]].to_numpy(np.int64)
+    group = np.concatenate([[0], np.cumsum((key[1:] != key[:-1]).any(1))])
+    sid, pos, size, root = (rows[c].to_numpy(np.int64) for c in ("sid", "pos", "size", "root"))
+    floor, left = needed(size, least), size - pos
+    us, vs, held = [sid[:0]], [sid[:0]], 0
+    at, k = np.arange(len(rows)), 0
+    while True:
+        k += 1
+        at = at[at + k < len(rows)]
+        at = at[(group[at] == group[at + k]) & (size[at] >= floor[at + k])]  # those that fail here fail at every larger k
+        if not len(at):
+            break
+        to = at + k
+        share = needed(size[at] + size[to], least / (1 + least))
+        keep = (root[at] != root[to]) & (np.minimum(left[at], left[to]) >= share)
+        us.append(np.minimum(sid[at[keep]], sid[to[keep]]))
+        vs.append(np.maximum(sid[at[keep]], sid[to[keep]]))
+        held += len(us[-1])
+        if held > 1_000_000:
+            yield pd.DataFrame({"u": np.concatenate(us), "v": np.concatenate(vs)}).drop_duplicates()
+            us, vs, held = [sid[:0]], [sid[:0]], 0
+    yield pd.DataFrame({"u": np.concatenate(us), "v": np.concatenate(vs)}).drop_duplicates()
+
+
 def verified(candidates: DataFrame, heads: DataFrame, texts: DataFrame, words: int, least: float) -> DataFrame:
-    """The candidate pairs (u, v) whose texts share enough shingles.
+    """The candidate pairs (u, v) of sets whose texts share enough shingles.
 
-    heads: (fp, rid), the row that stands for a fingerprint; texts: (rid, text). Only texts that occur in a pair are kept.
+    heads: (sid, rid), the row that stands for a set; texts: (rid, text). Only texts that occur in a pair are kept.
     """
     pairs = durable(candidates.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
-    ends = pairs.select(F.col("u").alias("fp")).union(pairs.select("v")).distinct()
-    some = durable(texts.join(heads.join(ends, "fp").hint("shuffle_hash"), "rid").select("fp", "text"))
-    met = pairs.join(some.select(F.col("fp").alias("u"), F.col("text").alias("a")), "u").join(
-        some.select(F.col("fp").alias("v"), F.col("text").alias("b")), "v")
+    ends = pairs.select(F.col("u").alias("sid")).union(pairs.select("v")).distinct()
+    some = durable(texts.join(heads.join(ends, "sid").hint("shuffle_hash"), "rid").select("sid", "text"))
+    met = pairs.join(some.select(F.col("sid").alias("u"), F.col("text").alias("a")), "u").join(
+        some.select(F.col("sid").alias("v"), F.col("text").alias("b")), "v")
     return met.filter(similarity("a", "b", words) >= least).select("u", "v")
 
 
@@ -347,21 +483,33 @@ def keep_one(docs: DataFrame, words: int = WORDS, least: float = SIMILAR, bits:
              chunk: int = CHUNK, stored: bool = False) -> DataFrame:
     """The documents that stay: of each group of near copies the one with the smallest id, with all its columns.
 
-    Texts with a similarity of `least` differ in about ten of 64 bits, too many for exact bands. So candidates
-    up to `bits` apart are searched under `tables` sampled masks, and each is verified on the whole texts: its
-    word shingles must reach the similarity. Equal fingerprints count as copies. Rows
-    are known by their file and place (`stored`: `docs` are files as they were read), which also tells apart
-    rows without an id and rows that repeat the smallest id.
+    Only texts with the same set of word shingles (equal 64-bit hashes of it) are copies unseen; one
+    of them, the head, stands for the set. Links are found twice over, each verified on the whole texts.
+    First, fingerprints up to `bits` apart under `tables` sampled masks, and each head with the first one
+    of its fingerprint: this links most of a large group cheaply, but misses some pairs. Then
+    an exact join on the rarest shingles (`shared_prefix`) finds every remaining pair of heads in different groups
+    that can reach the similarity. Rows are known by their file and place (`stored`: `docs` are files as they were
+    read), which also tells apart rows without an id and rows that repeat the smallest id.
     """
     known = identified(docs, stored)
+    texts = known.select("rid", text_of("doc.text").alias("text"))
     rows = durable(known.select(
-        fingerprint_of("doc.text", words).alias("fp"),
-        F.struct(F.col("doc.doc_id").isNull().alias("unnamed"), F.col("doc.doc_id").cast("long").alias("id"), "rid").alias("first")))
-    heads = durable(rows.groupBy("fp").agg(F.min("first").alias("first")))
-    candidates = links(heads.select("fp"), bits, chunk, sampled_masks(tables))
-    star = durable(connected(durable(verified(
-        candidates, heads.select("fp", F.col("first.rid").alias("rid")), known.select("rid", text_of("doc.text").alias("text")), words, least))))
-    # fingerprints that are no root of a group go with their root; the group's first row stays
-    named = heads.join(star, heads["fp"] == star["node"], "left").select("first", F.coalesce("root", "fp").alias("root"))
+        traits("doc.text", words, least, common_shingles(texts, words)).alias("of"),
+        F.struct(F.col("doc.doc_id").isNull().alias("unnamed"), F.col("doc.doc_id").cast("long").alias("id"), "rid").alias("first"),
+    ).select("of.*", "first"))
+    heads = durable(rows.groupBy("sid").agg(F.min("fp").alias("fp"), F.min("size").alias("size"), F.min("first").alias("first")))
+    standing = heads.select("sid", F.col("first.rid").alias("rid"))
+    codes = durable(heads.groupBy("fp").agg(F.min("sid").alias("sid")))
+    coded = links(codes.select("fp"), bits, chunk, sampled_masks(tables)).distinct()
+    near = coded.join(codes.select(F.col("fp").alias("u"), F.col("sid").alias("a")), "u").join(
+        codes.select(F.col("fp").alias("v"), F.col("sid").alias("b")), "v").select(F.col("a").alias("u"), F.col("b").alias("v"))
+    same = heads.join(codes.withColumnRenamed("sid", "b"), "fp").filter("sid <> b").select(F.col("sid").alias("u"), F.col("b").alias("v"))
+    star = durable(connected(durable(verified(near.unionByName(same), standing, texts, words, least))))
+    tokens = rows.select("sid", F.posexplode("prefix").alias("pos", "token"))
+    rest = verified(shared_prefix(tokens, heads.select("sid", "size"), star, least), standing, texts, words, least)
+    found = star.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(rest)
+    star = durable(connected(durable(found)))
+    # sets that are no root of a group go with their root; the group's first row stays
+    named = heads.join(star, heads["sid"] == star["node"], "left").select("first", F.coalesce("root", "sid").alias("root"))
     kept = named.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.rid").alias("rid"))
     return known.join(kept.hint("shuffle_hash"), "rid", "left_semi").select("doc.*")

@@ -92,3 +92,36 @@ def test_near_copies_are_verified(spark, no_docs):
         [(3, " ".join(words)), (2, " ".join(near)), (4, " ".join(far)), (5, None), (6, ""), (2, " ".join(near))], "doc_id long, text string")
     assert sorted(r.doc_id for r in simhash.keep_one(docs).collect()) == [2, 4, 5]
     assert simhash.keep_one(no_docs).count() == 0
+
+
+def kept_by_force(docs, words=5, least=0.8):
+    """Smallest ids of the groups that all pairs of texts make."""
+    docs = sorted(docs)
+    sets = [simhash.shingles(t or "", words) for _, t in docs]
+    near = [(i, j) for i, s in enumerate(sets) for j, t in enumerate(sets[:i]) if len(s & t) / len(s | t) >= least]
+    return [docs[i][0] for i, r in enumerate(slow_roots(len(docs), near)) if i == r]
+
+
+def copies_at_the_edge(n=60, seed=3):
+    """Texts of 40 to 400 words, each with a copy of similarity just above and just below 0.8."""
+    rng = np.random.default_rng(seed)
+    out = []
+    for i in range(n):
+        text = [f"t{i}w{j}" for j in range(rng.integers(40, 400))]
+        size = len(text) - 4
+        for over in (True, False):
+            cut = int(size * 0.2)  # a shorter text: similarity is the share that is left
+            end = len(text) - cut if over else len(text) - cut - max(2, size // 50)
+            out.append((i * 10 + over + 1, " ".join(text[:end])))
+        out.append((i * 10, " ".join(text)))
+        other = list(text)
+        for j in range(0, len(text), 50):  # about a fifth of the shingles of both goes
+            other[j] = f"x{i}{j}"
+        out.append((i * 10 + 3, " ".join(other)))
+    return out
+
+
+def test_near_copies_are_all_found(spark):
+    docs = copies_at_the_edge()
+    got = simhash.keep_one(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert sorted(r.doc_id for r in got.collect()) == kept_by_force(docs)
