@@ -153,7 +153,8 @@ def links(fps: DataFrame, bits: int = BITS, chunk: int = CHUNK, masks: list[int]
 
     Small buckets return all their pairs. For larger ones, exact bands return each linked code with the
     least code it reaches; sampled `masks`, whose pairs are verified one by one, return
-    a spanning forest with the closest pairs first.
+    a spanning forest with the closest pairs first. An edge of it can fail verification and hide a link behind
+    it, so a caller that verifies has to search what stays apart again (`shared_prefix`).
     """
     forest = masks is not None
     placed = bucketed(fps, masks or band_masks(bits), chunk).repartition("band", "bucket", "pair").sortWithinPartitions(

@@ -125,3 +125,15 @@ def test_near_copies_are_all_found(spark):
     docs = copies_at_the_edge()
     got = simhash.keep_one(spark.createDataFrame(docs, "doc_id long, text string"))
     assert sorted(r.doc_id for r in got.collect()) == kept_by_force(docs)
+
+
+@pytest.mark.parametrize("edges", [[], [(0, 1)]])
+def test_failed_or_missing_candidates_lose_no_link(spark, monkeypatch, edges):
+    """A tree whose only edge fails verification, or no tree at all, leaves the true links to the exact join."""
+    base = [f"w{i}" for i in range(200)]
+    texts = [" ".join(base), " ".join(f"v{i}" for i in range(200)), " ".join(base[:100] + ["other"] + base[101:])]
+    codes = [int(np.array([simhash.fingerprint(t)], np.uint64).view(np.int64)[0]) for t in texts]
+    tree = spark.createDataFrame([(codes[i], codes[j]) for i, j in edges], "u long, v long")
+    monkeypatch.setattr(simhash, "links", lambda *a, **b: tree)
+    got = simhash.keep_one(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert sorted(r.doc_id for r in got.collect()) == [0, 1]
