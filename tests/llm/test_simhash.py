@@ -137,3 +137,11 @@ def test_failed_or_missing_candidates_lose_no_link(spark, monkeypatch, edges):
     monkeypatch.setattr(simhash, "links", lambda *a, **b: tree)
     got = simhash.keep_one(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
     assert sorted(r.doc_id for r in got.collect()) == [0, 1]
+
+
+def test_equal_fingerprints_are_verified(spark):
+    texts = ["buy now and save today " * 100 + " ".join(f"{c}{i}" for i in range(60)) for c in "ab"]
+    assert simhash.fingerprint(texts[0]) == simhash.fingerprint(texts[1])
+    docs = [(0, texts[0]), (1, texts[1]), (2, texts[1].upper()), (3, texts[1].rsplit(" ", 2)[0])]
+    got = simhash.keep_one(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert sorted(r.doc_id for r in got.collect()) == kept_by_force(docs) == [0, 1]
