@@ -47,6 +47,8 @@ NO_ARTICLE_NAMES = re.compile(
     r"notices?|alerts?|disclaimers?|newsletters?|subscribe|subscription|signup|login|register|popups?|modals?|overlays?|comments?|commentlist|"
     r"respond|replies|reply|disqus|discussion|related|recommended|recommendations?|more-stories|share|sharing|social|pagination|pager|"
     r"tags|tagcloud|search|skip-link|contentinfo|complementary|hidden|sr-only)(?:$|[\s_-])", re.I)
+#: names that tell how an element is laid out, not what it is
+LAYOUT_NAMES = re.compile(r"(?:^|(?<=\s))(?:has|no|with|without|overflow)[-_]\S+", re.I)
 HEADER_NAMES = re.compile(r"(?:^|[\s_-])headers?(?:$|[\s_-])", re.I)
 ARTICLE_NAMES = re.compile(r"(?:^|[\s_-])(?:article|post|entry|story|main|body)(?:$|[\s_-])", re.I)
 PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？¿¡\"“”«»]")
@@ -66,6 +68,8 @@ class Element:
     path: str
     out: bool  # no part of an article, by itself or an element around it
     named: bool = False  # called an article
+    by_kind: bool = False  # out by itself, whatever its names
+    by_name: bool = False  # out by itself for its names
 
 
 @dataclass
@@ -120,15 +124,15 @@ class Reader:
         found = {m[0].lower(): m[1] or m[2] or m[3] for m in NAMES.findall(rest)} if "=" in rest else {}
         names = " ".join(found.values())
         article = tag in ARTICLE_TAGS or bool(names and ARTICLE_NAMES.search(names))
-        out = around.out or tag in NO_ARTICLE or bool(rest and HIDDEN.search(rest))
+        by_kind, by_name = tag in NO_ARTICLE or bool(rest and HIDDEN.search(rest)), False
         if tag not in ("html", "body", *ARTICLE_TAGS):
-            out = out or bool(names and NO_ARTICLE_NAMES.search(names))
+            by_name = bool(names and NO_ARTICLE_NAMES.search(LAYOUT_NAMES.sub("", names)))
         elif tag == "article" and names and re.search("comment|reply|promo|related|teaser", names, re.I):
-            out = True
+            by_kind = True
         if (tag == "header" or HEADER_NAMES.search(names)) and not article:  # of the site, unless an article is around it
-            out = out or not self._inside_article()
+            by_kind = by_kind or not self._inside_article()
         label = tag + ("." + ".".join(sorted(found["class"].lower().split())) if found.get("class") else "")
-        tags.append(Element(tag, self.stack[-1], f"{around.path}/{label}", out, article))
+        tags.append(Element(tag, self.stack[-1], f"{around.path}/{label}", around.out or by_kind or by_name, article, by_kind, by_name))
         self.stack.append(len(tags) - 1)
 
     def _inside_article(self) -> bool:
@@ -170,9 +174,47 @@ def read_page(html: str) -> Page:
             reader.text(" ")
     reader.text(html[at:])
     reader.flush()
+    _readmit(reader.page)
     return reader.page
 
 
+def _readmit(page: Page) -> None:
+    """Names put nothing out that is around the article.
+
+    Where no article or main element has text left, the names around the one with the most text do not
+    count; on a page without any, where all text is out, those around the best path do not.
+    """
+    tags = page.elements
+    if not any(e.by_name for e in tags):
+        return
+    barred = [False] * len(tags)  # by kind, by itself or around it
+    inside = [0] * len(tags)  # the innermost article or main element around it
+    for i, e in enumerate(tags[1:], 1):
+        barred[i] = barred[e.parent] or e.by_kind
+        inside[i] = i if e.tag in ARTICLE_TAGS else inside[e.parent]
+    if any(inside[b.element] and not tags[b.element].out for b in page.blocks):
+        return
+    able = [b for b in page.blocks if not barred[b.element]]
+    held: dict[int, int] = {}
+    for b in able:
+        if inside[b.element]:
+            held[inside[b.element]] = held.get(inside[b.element], 0) + len(b.text) - b.linked
+    if held:
+        around = [max(held, key=held.get)]
+    elif able and all(tags[b.element].out for b in page.blocks):
+        scores = path_scores(page, able)
+        best = max(scores, key=scores.get)
+        around = [b.element for b in able if tags[b.element].path == best]
+    else:
+        return
+    for e in around:
+        while e > 0:
+            tags[e].by_name = False
+            e = tags[e].parent
+    for e in tags[1:]:
+        e.out = tags[e.parent].out or e.by_kind or e.by_name
+
+
 def path_scores(page: Page, live: list[Block]) -> dict[str, float]:
     """Fused, smoothed ratios of text length and punctuation, per path."""
     paths = [page.elements[b.element].path for b in live]

@@ -44,3 +44,16 @@ def test_rows(spark):
     assert len(got) == 5 and {len(r.text) for r in got} >= {0, len("long, text. ") * 50_000 - 1}
     assert all(r.n_chars == len(r.text) for r in got)
     assert extract(spark.createDataFrame([], schema)).count() == 0
+
+
+@pytest.mark.parametrize("name", ["content has-sidebar", "no-sidebar entry-content", "overflow-hidden article", "search-results", "related", "share"])
+def test_names_on_the_main_wrapper_keep_the_article(name):
+    article = "<h1>Title</h1><p>Some text, here, and more.</p>"
+    foot = '<div class="sidebar"><p>Side, text.</p></div><footer>Foot, note.</footer>'
+    assert main_text(f'<body><div class="{name}"><article>{article}</article></div>{foot}</body>') == "Title Some text, here, and more."
+    assert main_text(f'<body><div class="{name}">{article}</div><footer>Foot, note.</footer></body>') == "Title Some text, here, and more."
+
+
+def test_named_teasers_stay_out_beside_an_article():
+    page = '<article><p>The article, here.</p></article><div class="related"><article><p>A longer teaser, of another text, not here.</p></article></div>'
+    assert main_text(page) == "The article, here."
