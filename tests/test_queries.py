@@ -6,7 +6,7 @@ import oracle
 import pytest
 
 import __spark_entry__ as entry
-from conftest import SMALL
+from oracle import SMALL
 
 HEADLINE = (
     "a6_filtered_scan", "a15_insert_if_absent", "b1_validate", "b14_raw_categories", "c2_latest_interactions", "c5_upsert",
