@@ -6,12 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sparkrec.llm import exact, html_text, language, mixing, packing, quality, simhash, tokens, topk, toxicity
+from sparkrec.llm import exact, html_text, language, merkle, mixing, packing, quality, simhash, tokens, topk, toxicity
 from sparkrec.llm.common import table
 from sparkrec.session import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+#: Table `crc32_step(b, v)`: what each low byte adds to a CRC-32, after eight shifts.
+CRC32_STEP = """
+crc32_shift(k, b, v) AS (
+  SELECT 0, range, range FROM range(256) UNION ALL
+  SELECT k + 1, b, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END FROM crc32_shift WHERE k < 8),
+crc32_step AS MATERIALIZED (SELECT b, v FROM crc32_shift WHERE k = 8)"""
+
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
@@ -94,3 +101,62 @@ def op5_compression_quality(spark: SparkSession, sf: str) -> DataFrame:
 @query("op1_noisy_channel_toxicity")
 def op1_noisy_channel_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return toxicity.label(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@query("op11_octopus_manifest", f"""
+WITH RECURSIVE {CRC32_STEP},
+d AS (
+  SELECT row_number() OVER () AS rid, doc_id, source, CAST(doc_id AS VARCHAR) AS id_text,
+    [CAST(doc_id AS VARCHAR), source, lang, CAST(n_chars AS VARCHAR), text] AS fields, text FROM documents),
+crc(rid, s, i, c) AS (
+  SELECT rid, coalesce(id_text, ''), 1, 4294967295::BIGINT FROM d UNION ALL
+  SELECT rid, s, i + 1, xor(c >> 8, v) FROM crc JOIN crc32_step ON b = xor(c, ascii(substr(s, i, 1))) & 255
+  WHERE i <= length(s)),
+hashed AS (
+  SELECT rid, doc_id, source,
+    sha256(array_to_string([coalesce(strlen(f) || ':' || f, '-') FOR f IN fields], '')) AS leaf,
+    CASE WHEN xor(c, 4294967295) % 5 = 0 THEN sha256(array_to_string([coalesce(strlen(f) || ':' || f, '-')
+      FOR f IN list_append(fields[1:4], translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'))], ''))
+    END AS changed
+  FROM d JOIN crc USING (rid) WHERE i = length(s) + 1),
+leaves AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place,
+    count(*) OVER (PARTITION BY source) AS n FROM hashed),
+low(level, source, place, n, h) AS (
+  SELECT 0, source, place, n, leaf FROM leaves UNION ALL
+  SELECT level + 1, source, place // 16, (n + 15) // 16, sha256(string_agg(h, '' ORDER BY place))
+  FROM low WHERE n > 1 GROUP BY level, source, place // 16, n),
+subroots AS MATERIALIZED (
+  SELECT source, h, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS place, count(*) OVER () AS n FROM low WHERE n = 1),
+high(level, place, n, h) AS (
+  SELECT 0, place, n, h FROM subroots UNION ALL
+  SELECT level + 1, place // 16, (n + 15) // 16, sha256(string_agg(h, '' ORDER BY place)) FROM high WHERE n > 1
+  GROUP BY level, place // 16, n),
+low_steps AS (
+  SELECT a.source, a.level, a.place, coalesce(string_agg(b.h, '' ORDER BY b.place) FILTER (b.place < a.place), '') AS l,
+    coalesce(string_agg(b.h, '' ORDER BY b.place) FILTER (b.place > a.place), '') AS r
+  FROM low a JOIN low b ON a.source IS NOT DISTINCT FROM b.source AND a.level = b.level AND a.place // 16 = b.place // 16
+  WHERE a.n > 1 GROUP BY a.source, a.level, a.place),
+high_steps AS (
+  SELECT a.level, a.place, coalesce(string_agg(b.h, '' ORDER BY b.place) FILTER (b.place < a.place), '') AS l,
+    coalesce(string_agg(b.h, '' ORDER BY b.place) FILTER (b.place > a.place), '') AS r
+  FROM high a JOIN high b ON a.level = b.level AND a.place // 16 = b.place // 16 WHERE a.n > 1 GROUP BY a.level, a.place),
+low_heights AS (SELECT source, max(level) AS top FROM low GROUP BY source),
+steps AS MATERIALIZED (
+  SELECT rid, s.level, l, r FROM leaves a JOIN low_steps s
+    ON a.source IS NOT DISTINCT FROM s.source AND s.place = a.place // CAST(pow(16, s.level) AS BIGINT)
+  UNION ALL
+  SELECT rid, top + s.level, l, r FROM leaves a JOIN subroots u ON a.source IS NOT DISTINCT FROM u.source
+    JOIN low_heights t ON a.source IS NOT DISTINCT FROM t.source
+    JOIN high_steps s ON s.place = u.place // CAST(pow(16, s.level) AS BIGINT)),
+proofs AS (SELECT rid, sha256(string_agg(l || r, '' ORDER BY level)) AS proof, count(*) AS n FROM steps GROUP BY rid),
+fold(rid, level, h) AS (
+  SELECT rid, 0, coalesce(changed, leaf) FROM leaves UNION ALL
+  SELECT rid, level + 1, sha256(l || h || r) FROM fold JOIN steps USING (rid, level)),
+folded AS (SELECT rid, max_by(h, level) AS folded_root FROM fold GROUP BY rid),
+root AS (SELECT h AS root FROM high WHERE n = 1)
+SELECT doc_id, leaf, u.h AS subroot, root, coalesce(proof, sha256('')) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM leaves a JOIN subroots u ON a.source IS NOT DISTINCT FROM u.source JOIN folded USING (rid) LEFT JOIN proofs USING (rid)
+CROSS JOIN root""")
+def op11_octopus_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    return merkle.label(table(spark, sf, "documents"))
