@@ -25,7 +25,7 @@ from collections.abc import Iterable
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from sparkrec.llm.common import id_remainder
+from sparkrec.llm.common import id_remainder, lowered
 from sparkrec.operators.ordering import dense_index, positions
 from sparkrec.session import durable
 
@@ -52,11 +52,6 @@ def leaf_of(text: Column | None = None) -> Column:
     return F.sha2(F.concat(*[_field(f) for f in fields]), 256)
 
 
-def lowered(text: Column) -> Column:
-    """A-Z in lower case, nothing else."""
-    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-
-
 def height(n: int) -> int:
     """Levels above `n` nodes until one remains."""
     up = 0

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sparkrec.llm import exact, html_text, language, merkle, mixing, packing, quality, simhash, tokens, topk, toxicity
+from sparkrec.llm import exact, html_text, language, merkle, mixing, packing, pii, quality, simhash, tokens, topk, toxicity, variants
 from sparkrec.llm.common import table
 from sparkrec.session import ship_package
 
@@ -160,3 +160,46 @@ FROM leaves a JOIN subroots u ON a.source IS NOT DISTINCT FROM u.source JOIN fol
 CROSS JOIN root""")
 def op11_octopus_manifest(spark: SparkSession, sf: str) -> DataFrame:
     return merkle.label(table(spark, sf, "documents"))
+
+
+@query("op12_spelling_variants", f"""
+WITH RECURSIVE {CRC32_STEP},
+runs AS MATERIALIZED (
+  SELECT id, run, count(*) AS times, hex(encode(id || ':' || run)) AS bytes FROM (
+    SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, unnest(regexp_extract_all(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]+')) AS run
+    FROM documents) GROUP BY ALL),
+crc(bytes, i, c) AS (
+  SELECT DISTINCT bytes, 1, 4294967295::BIGINT FROM runs UNION ALL
+  SELECT bytes, i + 2, xor(c >> 8, v) FROM crc JOIN crc32_step
+    ON b = xor(c, CAST('0x' || substr(bytes, i, 2) AS BIGINT)) & 255 WHERE i < length(bytes)),
+hashed AS (SELECT run, times, xor(c, 4294967295) AS h FROM runs JOIN crc USING (bytes) WHERE i = length(bytes) + 1),
+written AS (
+  SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, CAST(h % length(run) AS INTEGER)) || substr(run, CAST(h % length(run) AS INTEGER) + 2)
+    ELSE run END AS word, times FROM hashed),
+words AS MATERIALIZED (
+  SELECT word, CAST(sum(times) AS BIGINT) AS n FROM written WHERE length(word) >= 6 GROUP BY word HAVING sum(times) >= 5),
+short AS MATERIALIZED (
+  SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+near AS (
+  SELECT a.word, a.n, b.word AS other, b.n AS other_n FROM short a JOIN short b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, a.n, b.word, b.n FROM short a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, b.n, a.word, a.n FROM short a JOIN words b ON a.rest = b.word),
+best AS (
+  SELECT word, count(*) AS n_near, first(other ORDER BY other_n DESC, other) AS other, max(other_n) AS other_n FROM near GROUP BY word),
+formed AS MATERIALIZED (
+  SELECT word, CASE WHEN other_n >= 5 * n THEN other END AS form, n, coalesce(n_near, 0) AS n_near,
+    CASE WHEN other_n >= 5 * n THEN other_n END AS form_n FROM words LEFT JOIN best USING (word)),
+walk(word, seen, steps) AS (
+  SELECT word, word, 0 FROM words UNION ALL
+  SELECT walk.word, f.form, steps + 1 FROM walk JOIN formed f ON f.word = walk.seen WHERE f.form IS NOT NULL),
+ends AS (SELECT word, max_by(seen, steps) AS root FROM walk GROUP BY word)
+SELECT word, form, root, n, n_near, form_n FROM formed JOIN ends USING (word)""")
+def op12_spelling_variants(spark: SparkSession, sf: str) -> DataFrame:
+    return variants.group(table(spark, sf, "documents"))
+
+
+@query("op13_weak_supervision_pii")
+def op13_weak_supervision_pii(spark: SparkSession, sf: str) -> DataFrame:
+    return pii.find(table(spark, sf, "documents"))
