@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from sparkrec.operators.ordering import first_per_key
 
@@ -53,22 +53,28 @@ def drop_stale(delta: DataFrame, stored: DataFrame, key: str, ties: str = KEEP_S
     return delta.join(have, key, "left").filter(F.col("__have").isNull() | newer).drop("__have")
 
 
-def merge(stored: DataFrame, delta: DataFrame, key: str, ties: str = KEEP_STORED) -> DataFrame:
+def merge(stored: DataFrame, delta: DataFrame, key: str, ties: str = KEEP_STORED, order: Sequence[str] = ()) -> DataFrame:
     """Stored and delta rows in one full join, each labelled in `change`.
 
     kept, inserted, updated, unchanged (equal in every column, NULLs included) or
-    stale (the delta row is not newer, the stored row stays). `delta` must be
-    unique by key; one shuffle of each side, no second join for the counters.
+    stale (the delta row is not newer, the stored row stays). A key that `delta` holds twice
+    fails the job; its rows are counted in the shuffle that the join needs anyway. `order`
+    names columns that decide which row is newer, one after the other, NULL first; then the result does not
+    depend on the order in which rows arrive.
     """
     columns = stored.columns
     left = stored.select(F.col(key), F.struct(*columns).alias("__old"))
-    right = delta.select(F.col(key), F.struct(*columns).alias("__new"))
+    right = delta.select(F.col(key), F.struct(*columns).alias("__new")).withColumn(
+        "__times", F.count(F.lit(1)).over(W.partitionBy(key)))
     old, new = F.col("__old"), F.col("__new")
     newer = new[UPDATED_AT] > old[UPDATED_AT]
     if ties == NEWEST_INGEST:
         newer = new[UPDATED_AT] >= old[UPDATED_AT]
+    if order:
+        newer = F.struct(*[new[c] for c in order]) > F.struct(*[old[c] for c in order])
     change = (
-        F.when(new.isNull(), "kept")
+        F.when(F.col("__times") > 1, F.raise_error(f"{key} is not unique in the delta").cast("string"))
+        .when(new.isNull(), "kept")
         .when(old.isNull(), "inserted")
         .when(~newer, "stale")
         .when(old.eqNullSafe(new), "unchanged")

@@ -196,8 +196,7 @@ def _(spark, sf):
     return _start(out.select("window_start", F.round("hit_ratio", 6).alias("hit_ratio")))
 
 
-# versions of equal update time are decided by arrival, so only the settled columns are compared
-@query("k8_stream_upsert", with_(I.BRONZE, I.SILVER) + "SELECT interaction_id, user_id, event_time, updated_at FROM silver")
+@query("k8_stream_upsert", with_(I.BRONZE, I.SILVER) + "SELECT * FROM silver")
 def _(spark, sf):
     root = scratch_dir(spark)
     bronze = I.bronze_interactions(spark, sf)
@@ -205,10 +204,11 @@ def _(spark, sf):
     bronze.repartition("_extraction_run_id").write.partitionBy("_extraction_run_id").parquet(f"{root}/loads")
     source = spark.read.parquet(f"{root}/loads")
     stream = spark.readStream.schema(source.schema).option("maxFilesPerTrigger", 4).parquet(f"{root}/loads")
-    target = Table(spark, f"{root}/silver")
-    intake.start_silver_upsert(stream, target, "interaction_id", I.SILVER_COLUMNS, datetime(2026, 1, 2),
-                               f"{root}/counters", f"{root}/checkpoint", I.TIES).awaitTermination()
-    return target.read().select("interaction_id", "user_id", "event_time", "updated_at")
+    target = Table(spark, f"{root}/silver", "interaction_id", buckets=8)
+    intake.start_silver_upsert(
+        stream, target, [*I.SILVER_COLUMNS, "_ingested_at"], datetime(2026, 1, 2), f"{root}/counters", f"{root}/checkpoint",
+        I.TIES, order=("updated_at", "_ingested_at", *I.TIES)).awaitTermination()
+    return target.read().select(*I.SILVER_COLUMNS)
 
 
 @query("k9_enrich", with_(I.BRONZE, I.SILVER, I.USERS, I.EVENTS, R.RECENT) + """

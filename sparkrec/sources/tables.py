@@ -1,21 +1,35 @@
-"""Table directories: one folder per version, and a state row written last.
+"""Table directories: a folder per written version, and a state row written last.
 
-A reader uses the version named by the newest state row, so a run that dies
-before its state row changes nothing and can be repeated.
+A table is cut into buckets by a hash of its key. A merge reads and writes only the buckets
+that its delta touches; the state row names, for every bucket, the version that holds it.
+Folders are never written twice, so a run that dies before its state row changes nothing and
+can be repeated, and earlier versions stay readable.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections import defaultdict
+from collections.abc import Sequence
+from dataclasses import dataclass, replace
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from sparkrec.operators import silver
+from sparkrec.operators.contracts import Contract, validate
+from sparkrec.session import durable
 
 FILE_BYTES = 512 << 20  # of a compacted file
-STATE = "commit int, version int, watermark timestamp, rows long, committed_at timestamp"
+BUCKETS = 64
+BUCKET, VERSION = "__bucket", "v"
+STATE = "commit int, version int, watermark timestamp, rows long, committed_at timestamp, parts array<int>"
+CHANGES = ("inserted", "updated", "unchanged", "stale")
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
 
 
 def append(df: DataFrame, path: str, schema: T.StructType | None = None) -> None:
@@ -27,31 +41,57 @@ def append(df: DataFrame, path: str, schema: T.StructType | None = None) -> None
 
 @dataclass(frozen=True)
 class Table:
+    """`key` cuts the table into `buckets`; choose them so that a bucket is a few files.
+
+    A delta of random keys touches about as many buckets as it has rows, up to all of them.
+    """
+
     spark: SparkSession
     root: str
+    key: str | None = None
+    buckets: int = BUCKETS
 
     def _version_path(self, version: int) -> str:
-        return f"{self.root}/data/v={version}"
+        return f"{self.root}/data/{VERSION}={version}"
+
+    def bucket_of(self) -> Column:
+        return F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int")
 
     def states(self) -> DataFrame:
-        try:
-            return self.spark.read.schema(STATE).parquet(f"{self.root}/state")
-        except AnalysisException as error:
-            if "PATH_NOT_FOUND" not in str(error):
-                raise
+        if not path_exists(self.spark, f"{self.root}/state"):
             return self.spark.createDataFrame([], STATE)
+        return self.spark.read.schema(STATE).parquet(f"{self.root}/state")
 
     def state(self):
         """Newest state row, or None before the first commit."""
         newest = self.states().orderBy(F.desc("commit")).limit(1).collect()
         return newest[0] if newest else None
 
+    def _read_parts(self, parts: Sequence[int | None], wanted: Sequence[int] | None = None) -> DataFrame | None:
+        """Rows of the wanted buckets (all by default); None where none of them has a folder."""
+        held = defaultdict(list)
+        for bucket in range(len(parts)) if wanted is None else wanted:
+            if parts[bucket]:
+                held[parts[bucket]].append(bucket)
+        paths = [f"{self._version_path(v)}/{BUCKET}={b}" for v, buckets in held.items() for b in buckets]
+        if not paths:
+            return None
+        return self.spark.read.option("basePath", f"{self.root}/data").parquet(*paths).drop(VERSION, BUCKET)
+
     def read(self, version: int | None = None) -> DataFrame:
+        """The current rows, or those of an earlier version."""
+        current = self.state()
         if version is None:
-            current = self.state()
             if current is None:
                 raise LookupError(f"{self.root} has no committed version")
             version = current.version
+        elif current is not None and version != current.version:
+            of_version = self.states().filter(F.col("version") == version).orderBy(F.desc("commit")).limit(1).collect()
+            current = of_version[0] if of_version else None
+        if current is not None and current.parts is not None:
+            rows = self._read_parts(current.parts)
+            if rows is not None:
+                return rows
         return self.spark.read.parquet(self._version_path(version))
 
     def read_as_of(self, version: int | None) -> tuple[DataFrame, str, int]:
@@ -65,38 +105,86 @@ class Table:
         current = self.state().version
         return self.read(current), "current", current
 
+    def _write(self, df: DataFrame, version: int, *counts: Column) -> dict:
+        """Write a version; counts and the buckets it holds come from the same write.
+
+        They are observed behind the last shuffle, where a task that runs again is counted once.
+        """
+        seen, path = Observation(), self._version_path(version)
+        rows = F.count(F.lit(1)).alias("rows")
+        if self.key is None:
+            df.observe(seen, rows, *counts).write.mode("overwrite").parquet(path)
+            return {**seen.get, "held": None}
+        plain = [c for c in df.columns if c != "change"]
+        placed = df.withColumn(BUCKET, self.bucket_of()).hint("rebalance", BUCKET).observe(
+            seen, rows, F.collect_set(BUCKET).alias("held"), *counts)
+        placed.select(*plain, BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(path)
+        got = seen.get
+        if not got["rows"]:  # a folder that still tells the columns
+            df.select(*plain).write.mode("overwrite").parquet(path)
+        return got
+
     def overwrite(self, df: DataFrame, committed_at: datetime, watermark: datetime | None = None) -> int:
         """Replace the whole content; without a new watermark the old one stays."""
         before = self.state()
         version = 1 if before is None else before.version + 1
         if watermark is None and before is not None:
             watermark = before.watermark
-        seen = Observation()
-        df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(
-            self._version_path(version)
-        )
-        self._commit(version, watermark, seen.get["rows"], committed_at)
+        got = self._write(df, version)
+        parts = None if got["held"] is None else [version if b in set(got["held"]) else None for b in range(self.buckets)]
+        self._commit(version, watermark, got["rows"], committed_at, parts)
         return version
 
+    def merge(self, delta: DataFrame, committed_at: datetime, watermark: datetime | None = None,
+              ties: str = silver.KEEP_STORED, order: Sequence[str] = ()) -> dict:
+        """Merge rows unique by key into the buckets they touch; counts by kind of change.
+
+        Without an inserted or updated row only the watermark moves.
+        """
+        before = self.state()
+        table = replace(self, buckets=len(before.parts))
+        delta = durable(delta)
+        touched = sorted(r[0] for r in delta.select(table.bucket_of()).distinct().collect())
+        stored = self._read_parts(before.parts, touched)
+        stored = self.spark.createDataFrame([], delta.schema) if stored is None else stored.select(*delta.columns)
+        version = before.version + 1
+        counts = {c: 0 for c in CHANGES}
+        if touched:
+            labels = [F.count_if(F.col("change") == c).alias(c) for c in CHANGES]
+            got = table._write(silver.merge(stored, delta, self.key, ties, order), version, *labels)
+            counts = {c: got[c] for c in CHANGES}
+        mark = before.watermark if watermark is None else watermark
+        if counts["inserted"] + counts["updated"]:
+            parts = [version if b in set(got["held"]) else p for b, p in enumerate(before.parts)]
+            self._commit(version, mark, before.rows + counts["inserted"], committed_at, parts)
+        elif mark != before.watermark:
+            self.move_watermark(mark, committed_at)
+        return counts
+
     def move_watermark(self, watermark: datetime, committed_at: datetime) -> None:
         """Same data, later watermark."""
         before = self.state()
-        self._commit(before.version, watermark, before.rows, committed_at)
+        self._commit(before.version, watermark, before.rows, committed_at, before.parts)
 
     def record(self, watermark: datetime, rows: int, committed_at: datetime) -> None:
         """A state row without data of its own (cursors of extracts)."""
         self._commit(0, watermark, rows, committed_at)
 
-    def _commit(self, version, watermark, rows, committed_at) -> None:
+    def _commit(self, version, watermark, rows, committed_at, parts=None) -> None:
         before = self.state()
         commit = 1 if before is None else before.commit + 1
-        row = self.spark.createDataFrame([(commit, version, watermark, rows, committed_at)], STATE)
+        row = self.spark.createDataFrame([(commit, version, watermark, rows, committed_at, parts)], STATE)
         row.coalesce(1).write.mode("append").parquet(f"{self.root}/state")
 
     def files(self) -> tuple[int, int]:
         """(files, bytes) of the current version, from a listing; contents are not read."""
-        listed = self.spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(
-            self._version_path(self.state().version))
+        state = self.state()
+        paths = [self._version_path(state.version)] if state.parts is None else [
+            f"{self._version_path(v)}/{BUCKET}={b}" for b, v in enumerate(state.parts) if v]
+        if not paths:
+            return 0, 0
+        listed = self.spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option(
+            "recursiveFileLookup", True).load(paths)
         n, size = listed.select("path", "length").agg(F.count("*"), F.coalesce(F.sum("length"), F.lit(0))).first()
         return n, size
 
@@ -122,17 +210,27 @@ def sync_silver(
     full_refresh: bool = False,
     ties: str = silver.KEEP_STORED,
     order_ties: tuple[str, ...] = (),
+    contract: Contract | None = None,
 ) -> dict:
     """Bring a Silver table up to date with Bronze and report what happened.
 
-    Data and counters come from the same write; the state row with the new
-    watermark follows last.
+    The rows of a delta are stored first, so they are read once and what is counted is what
+    is merged. Rows are checked against `contract` between dedup and commit. Data and counters
+    come from the same write; the state row with the new watermark follows last.
     """
+    if table.key is None:
+        table = replace(table, key=key)
     before = table.state()
     mark = None if before is None else before.watermark
-    full = full_refresh or mark is None
-    scanned = bronze if full else bronze.filter(F.col(silver.INGESTED_AT) > F.lit(mark))
-    facts = scanned.agg(F.count("*").alias("n"), F.max(silver.INGESTED_AT).cast("timestamp").alias("w")).first()
+    full = full_refresh or mark is None or before.parts is None
+    if full:
+        # Bronze is not copied: a row that arrives after this look is left for the next run
+        facts = _facts(bronze)
+        scanned = bronze if facts.w is None else bronze.filter(F.col(silver.INGESTED_AT) <= F.lit(facts.newest))
+    else:
+        needed = list(dict.fromkeys([*columns, silver.INGESTED_AT]))
+        scanned = durable(bronze.filter(F.col(silver.INGESTED_AT) > F.lit(mark)).select(*needed))
+        facts = _facts(scanned)
     report = {
         "mode": "full" if full else "incremental", "rows_scanned": facts.n,
         "rows_inserted": 0, "rows_updated": 0, "rows_upserted": 0,
@@ -143,30 +241,24 @@ def sync_silver(
     if not full and facts.n == 0:
         return report
     newest = silver.latest_by_key(scanned, [key], columns, order_ties)
+    if contract is not None:
+        newest = validate(durable(newest), contract)
     if full:
         table.overwrite(newest, committed_at, facts.w)
         rows = table.state().rows
         report |= {"rows_inserted": rows, "rows_upserted": rows, "rows_after_dedup": rows}
     else:
-        merged = silver.merge(table.read().select(*columns), newest, key, ties)
-        counts = Observation()
-        labels = {
-            label: F.count_if(F.col("change") == label).alias(label)
-            for label in ("inserted", "updated", "unchanged", "stale")
-        }
-        version = before.version + 1
-        merged.observe(counts, F.count("*").alias("rows"), *labels.values()).drop("change").write.mode(
-            "overwrite"
-        ).parquet(table._version_path(version))
-        got = counts.get
+        got = table.merge(newest, committed_at, facts.w, ties)
         upserted = got["inserted"] + got["updated"]
         report |= {
             "rows_inserted": got["inserted"], "rows_updated": got["updated"], "rows_upserted": upserted,
             "rows_skipped_stale": got["stale"], "rows_after_dedup": upserted + got["unchanged"],
         }
-        if upserted:
-            table._commit(version, facts.w, got["rows"], committed_at)
-        else:
-            table.move_watermark(facts.w, committed_at)
     report["watermark_after"] = silver.format_watermark(facts.w or mark)
     return report
+
+
+def _facts(rows: DataFrame):
+    """Number of rows and latest ingest time, as stored and as a timestamp."""
+    newest = F.max(silver.INGESTED_AT)
+    return rows.agg(F.count("*").alias("n"), newest.alias("newest"), newest.cast("timestamp").alias("w")).first()

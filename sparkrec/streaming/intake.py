@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sparkrec.operators import silver
-from sparkrec.operators.contracts import EVENT_TYPES
+from sparkrec.operators.contracts import EVENT_TYPES, Contract, validate
+from sparkrec.session import durable
 from sparkrec.sources.tables import Table
 
 
@@ -57,25 +58,29 @@ def start_intake(stream: DataFrame, users: DataFrame, products: DataFrame, bronz
     )
 
 
-def upsert_batch(batch: DataFrame, batch_id: int, table: Table, key: str, columns: list[str],
-                 committed_at: datetime, counters: str, order_ties: tuple[str, ...] = ()) -> None:
-    """One micro-batch into Silver. A repeated batch changes no row: nothing in it is newer."""
-    newest = silver.latest_by_key(batch, [key], columns, order_ties)
+def upsert_batch(batch: DataFrame, batch_id: int, table: Table, columns: list[str], committed_at: datetime, counters: str,
+                 order_ties: tuple[str, ...] = (), order: tuple[str, ...] = (), contract: Contract | None = None) -> None:
+    """One micro-batch into the buckets of Silver that it touches. A repeated batch changes no row: nothing in it is newer.
+
+    With `order` (kept in the table) the rows do not depend on how loads fall into batches.
+    """
+    newest = silver.latest_by_key(batch, [table.key], columns, order_ties)
+    if contract is not None:
+        newest = validate(durable(newest), contract)
     if table.state() is None:
-        merged = newest.withColumn("change", F.lit("inserted"))
+        table.overwrite(newest, committed_at)
+        got = {"inserted": table.state().rows, "updated": 0, "unchanged": 0, "stale": 0}
     else:
-        merged = silver.merge(table.read().select(*columns), newest, key)
-    seen = Observation()
-    labels = [F.count_if(F.col("change") == c).alias(c) for c in ("inserted", "updated", "unchanged", "stale")]
-    table.overwrite(merged.observe(seen, *labels).drop("change"), committed_at)
-    row = {"batch_id": batch_id, **seen.get}
+        got = table.merge(newest, committed_at, order=order)
+    row = {"batch_id": batch_id, **got}
     table.spark.createDataFrame([row]).coalesce(1).write.mode("overwrite").parquet(f"{counters}/batch={batch_id}")
 
 
-def start_silver_upsert(stream: DataFrame, table: Table, key: str, columns: list[str], committed_at: datetime,
-                        counters: str, checkpoint: str, order_ties: tuple[str, ...] = ()) -> StreamingQuery:
+def start_silver_upsert(stream: DataFrame, table: Table, columns: list[str], committed_at: datetime,
+                        counters: str, checkpoint: str, order_ties: tuple[str, ...] = (), order: tuple[str, ...] = (),
+                        contract: Contract | None = None) -> StreamingQuery:
     def write(batch: DataFrame, batch_id: int) -> None:
-        upsert_batch(batch, batch_id, table, key, columns, committed_at, counters, order_ties)
+        upsert_batch(batch, batch_id, table, columns, committed_at, counters, order_ties, order, contract)
 
     return (
         stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)

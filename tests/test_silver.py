@@ -202,3 +202,95 @@ def test_unknown_reference_fails_the_job(spark):
     with pytest.raises(Exception, match="missing from id"):
         contracts.require_references(df, "item", known, "id").collect()
     assert contracts.require_references(df.filter("item = 'a'"), "item", known, "id").count() == 1
+
+
+def bucket_files(table):
+    """{bucket: (version, files)} of the current version."""
+    from pathlib import Path
+
+    parts = table.state().parts
+    return {b: (v, sorted(p.name for p in Path(table.root, "data", f"v={v}", f"__bucket={b}").glob("*.parquet")))
+            for b, v in enumerate(parts) if v}
+
+
+def test_a_small_delta_rewrites_only_its_bucket(spark, pipe):
+    pipe.run((10, [(i, 1, 4.0) for i in range(500)]))
+    table = pipe.table
+    before, first = bucket_files(table), table.read()
+    assert len(before) == 64 and {v for v, _ in before.values()} == {1}
+    pipe.run((20, [(7, 9, 1.0)]))
+    after = bucket_files(table)
+    changed = [b for b in before if before[b] != after[b]]
+    assert len(changed) == 1 and after[changed[0]][0] == 2
+    # the written version holds that bucket alone, with the rows that share it
+    import os
+    assert os.listdir(f"{table.root}/data/v=2").count(f"__bucket={changed[0]}") == 1
+    assert sum(n.startswith("__bucket=") for n in os.listdir(f"{table.root}/data/v=2")) == 1
+    assert pipe.ratings() == {i: 1.0 if i == 7 else 4.0 for i in range(500)} and table.state().rows == 500
+    assert {r.rating for r in first.collect()} == {4.0}  # readers of the version before are not disturbed
+    assert {r.rating for r in table.read(1).collect()} == {4.0}
+
+
+def test_merge_reads_only_touched_buckets(spark, pipe):
+    pipe.run((10, [(i, 1, 4.0) for i in range(500)]))
+    table = pipe.table
+    parts = table.state().parts
+    some = table._read_parts(parts, [3, 5])
+    from dataclasses import replace
+    keyed = replace(table, key="interaction_id")
+    assert {r[0] for r in some.select(keyed.bucket_of()).distinct().collect()} == {3, 5}
+    assert len(some.inputFiles()) == 2 < len(table.read().inputFiles())
+
+
+def test_new_keys_fill_empty_buckets(spark, pipe):
+    pipe.run((10, [(1, 1, 4.0)]))
+    assert len(bucket_files(pipe.table)) == 1
+    pipe.run((20, [(i, 1, 2.0) for i in range(2, 9)]))
+    assert pipe.ratings() == {1: 4.0, **{i: 2.0 for i in range(2, 9)}} and pipe.table.state().rows == 8
+
+
+def test_repeated_keys_in_a_delta_fail_the_merge(spark, pipe):
+    pipe.run((10, [(1, 1, 4.0)]))
+    before = pipe.table.state()
+    twice = load(spark, (20, [(2, 5, 1.0), (2, 6, 2.0)])).select(*COLUMNS)
+    from dataclasses import replace
+    with pytest.raises(Exception, match="not unique"):
+        replace(pipe.table, key="interaction_id").merge(twice, BASE)
+    assert pipe.table.state() == before and pipe.ratings() == {1: 4.0}
+    with pytest.raises(Exception, match="not unique"):
+        silver.merge(pipe.table.read(), twice, "interaction_id").collect()
+
+
+def test_empty_table_takes_rows_later(spark, pipe):
+    report = pipe.run((10, []))
+    assert report["rows_inserted"] == 0 and pipe.table.read().columns == COLUMNS and pipe.ratings() == {}
+    pipe.run((20, [(1, 1, 4.0)]))
+    assert pipe.ratings() == {1: 4.0}
+
+
+def test_order_columns_make_arrival_irrelevant(spark, rows):
+    columns = [*COLUMNS, "_ingested_at"]
+    loads = [load(spark, (at, [(1, 5, r), (2, m, r)])) for at, m, r in ((1, 9, 1.0), (2, 3, None), (3, 9, 4.0))]
+    order = ("updated_at", "_ingested_at", "rating")
+    want = rows(silver.latest_by_key(loads[0].union(loads[1]).union(loads[2]), ["interaction_id"], columns, ("rating",)))
+    import itertools
+    for turn in itertools.permutations(loads):
+        table = Table(spark, scratch_dir(spark), "interaction_id", buckets=4)
+        table.overwrite(turn[0].select(*columns), BASE)
+        for one in turn[1:]:
+            table.merge(one.select(*columns), BASE, order=order)
+        assert rows(table.read(), *columns) == want
+
+
+def test_contract_is_checked_between_dedup_and_commit(spark):
+    contract = contracts.Contract("t", tuple(contracts.SILVER_INTERACTIONS.fields[i] for i in (0, 4, 7)), "interaction_id")
+    table = Table(spark, scratch_dir(spark))
+    good = load(spark, (10, [(1, 1, 4.0), (2, 1, None)]))
+    sync_silver(good, table, "interaction_id", COLUMNS, BASE, contract=contract)
+    before = table.state()
+    bad = good.unionByName(load(spark, (20, [(1, 1, 9.0), (3, 5, 3.0), (2, 7, 8.0)])))  # the newest version of 2 is bad
+    with pytest.raises(contracts.ContractError, match="in_range"):
+        sync_silver(bad, table, "interaction_id", COLUMNS, BASE, contract=contract)
+    assert table.state() == before
+    mended = good.unionByName(load(spark, (20, [(2, 7, 8.0), (3, 5, 3.0)]), (21, [(2, 8, 3.0)])))
+    assert sync_silver(mended, table, "interaction_id", COLUMNS, BASE, contract=contract)["rows_upserted"] == 2

@@ -108,8 +108,8 @@ def test_continuous_upsert_skips_late_versions(spark, tmp_path):
 
     loads = [load(1, (1, 9, 5.0), (2, 1, 1.0)), load(2, (1, 3, 2.0), (3, 1, None)), load(3, (2, 4, 4.0), (3, 1, None))]
     write_batches(str(tmp_path / "in"), *loads)
-    table = Table(spark, str(tmp_path / "silver"))
-    intake.start_silver_upsert(stream(spark, str(tmp_path / "in"), schema), table, "interaction_id", columns, T0,
+    table = Table(spark, str(tmp_path / "silver"), "interaction_id")
+    intake.start_silver_upsert(stream(spark, str(tmp_path / "in"), schema), table, columns, T0,
                                str(tmp_path / "counters"), str(tmp_path / "cp")).awaitTermination()
     everything = loads[0].unionByName(loads[1]).unionByName(loads[2])
     full = silver.latest_by_key(everything, ["interaction_id"], columns)
@@ -117,7 +117,7 @@ def test_continuous_upsert_skips_late_versions(spark, tmp_path):
     counters = spark.read.parquet(str(tmp_path / "counters")).orderBy("batch_id").collect()
     assert [r.stale for r in counters] == [0, 1, 1] and [r.inserted for r in counters] == [2, 1, 0]
     before = silver.digest(table.read()).first()
-    intake.upsert_batch(loads[2], 2, table, "interaction_id", columns, T0, str(tmp_path / "counters"))
+    intake.upsert_batch(loads[2], 2, table, columns, T0, str(tmp_path / "counters"))
     assert silver.digest(table.read()).first() == before
 
 
