@@ -133,7 +133,7 @@ def champion_ranks(translated: DataFrame, states: DataFrame, catalog: DataFrame,
         .select(F.col("sample").alias("query"), F.col("state").alias("vec"),
                 F.col("source_target").cast("long").alias("target_idx"))
     )
-    ranked = rank_targets(queries, filled, dims, **limits).withColumnRenamed("query", "sample")
+    ranked = rank_targets(queries, filled, **limits).withColumnRenamed("query", "sample")
     return translated.select("sample").join(ranked.select("sample", "rank"), "sample", "left").select(
         "sample", F.coalesce(capped("rank", k), F.lit(k + 1)).cast("long").alias("rank")
     )

@@ -1,4 +1,4 @@
-"""Item vectors, user states, dot-product scores and exact blocked top-k."""
+"""Item vectors, user states, dot-product scores and exact top-k."""
 
 from __future__ import annotations
 
@@ -7,17 +7,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from sparkrec.functions.arrays import dot, l2_normalize, ordered_values
 from sparkrec.operators.ordering import first_per_key
+from sparkrec.operators.products import SCORE_DIGITS, multiply
 
-# A catalog matrix up to this size travels to every executor; a larger one is cut into blocks.
-BROADCAST_BYTES = 128 << 20
-BLOCK_ROWS = 20_000
-TILE_CELLS = 8_000_000  # scores held at once by one task
-# Scores are compared at this precision, so the order does not depend on summation order.
-SCORE_DIGITS = 9
+SHARED_BYTES = 128 << 20  # of weights that travel to every executor
 
 
 # ------------------------------------------------------------------ item vectors and user states
@@ -47,7 +43,7 @@ def item_vectors(items: DataFrame, weights: dict[str, np.ndarray], fusion: str =
     that is joined as well, as `category_vec` (mean of an item's categories).
     """
     size = sum(w.nbytes for w in weights.values())
-    if size > BROADCAST_BYTES:
+    if size > SHARED_BYTES:
         raise ValueError(f"weights of {size} bytes are too large to share: join the large table to the items")
     shared = items.sparkSession.sparkContext.broadcast(weights)
     top = items.agg(F.max("train_count")).first()[0] or 0
@@ -128,8 +124,9 @@ def history_vectors(users: DataFrame, items: DataFrame, sequence: str, max_len:
     Unknown items are dropped before the cut; users without any known item are absent.
     """
     flat = users.select(user, F.posexplode(sequence).alias("pos", item))
-    known = flat.join(items.select(item, "vec"), item)
-    newest = first_per_key(known, [user], [F.desc("pos")], max_len)
+    # places are cut before vectors are attached, so no more than max_len vectors per user move
+    known = flat.join(items.select(item), item, "left_semi")
+    newest = first_per_key(known, [user], [F.desc("pos")], max_len).join(items.select(item, "vec"), item)
     return newest.groupBy(user).agg(
         ordered_values(F.collect_list(F.struct("pos", "vec")), "vec").alias("vectors")
     )
@@ -189,151 +186,28 @@ def text_vectors(catalog: DataFrame, embeddings: DataFrame, item: str = "item_id
     return joined.withColumn("text_vec", l2_normalize(present)).drop("embedding")
 
 
-# ------------------------------------------------------------------ blocked products
-def _matrix(column) -> np.ndarray:
-    return np.stack([np.asarray(v, dtype=np.float64) for v in column])
-
-
-def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Per row the k best (rounded score descending, id ascending); `ids` must ascend."""
-    scores = np.round(scores, SCORE_DIGITS)
-    k = min(k, scores.shape[1])
-    if k < scores.shape[1]:
-        # everything at or above the k-th score stays, so ties are decided by id
-        floor = np.partition(scores, scores.shape[1] - k, axis=1)[:, scores.shape[1] - k]
-    else:
-        floor = np.full(len(scores), -np.inf)
-    columns = np.empty((len(scores), k), dtype=np.int64)
-    for i in range(len(scores)):
-        cand = np.flatnonzero(scores[i] >= floor[i])
-        columns[i] = cand[np.argsort(-scores[i, cand], kind="stable")[:k]]
-    return ids[columns], np.take_along_axis(scores, columns, axis=1)
-
-
-def _tiles(queries: pd.DataFrame, items: int) -> Iterator[pd.DataFrame]:
-    step = max(1, TILE_CELLS // items)
-    for start in range(0, len(queries), step):
-        yield queries.iloc[start : start + step]
-
-
-def _tile_top(queries: pd.DataFrame, ids: np.ndarray, matrix: np.ndarray, k: int) -> Iterator[pd.DataFrame]:
-    for tile in _tiles(queries, len(ids)):
-        scores = _matrix(tile["vec"]) @ matrix.T
-        own = np.searchsorted(ids, tile["skip_idx"].to_numpy())
-        own_clipped = np.minimum(own, len(ids) - 1)
-        hit = ids[own_clipped] == tile["skip_idx"].to_numpy()
-        scores[np.flatnonzero(hit), own_clipped[hit]] = -np.inf
-        found, values = _best(scores, ids, k)
-        width = found.shape[1]
-        out = pd.DataFrame({
-            "query": np.repeat(tile["query"].to_numpy(), width),
-            "item_idx": found.ravel(), "score": values.ravel(),
-            "rank": np.tile(np.arange(1, width + 1), len(tile)),
-        })
-        yield out[np.isfinite(out["score"])]
-
-
-def _tile_above(queries: pd.DataFrame, ids: np.ndarray, matrix: np.ndarray, _k: int) -> Iterator[pd.DataFrame]:
-    """How many items beat the target: strictly, and with ties going to the lower index."""
-    for tile in _tiles(queries, len(ids)):
-        scores = np.round(_matrix(tile["vec"]) @ matrix.T, SCORE_DIGITS)
-        bar = np.round(tile["target_score"].to_numpy(dtype=float), SCORE_DIGITS)[:, None]
-        target = tile["target_idx"].to_numpy()[:, None]
-        other = ids[None, :] != target
-        above = (scores > bar) & other
-        tied_before = (scores == bar) & (ids[None, :] < target)
-        yield pd.DataFrame({
-            "query": tile["query"].to_numpy(),
-            "n_above": above.sum(1), "n_tied_before": tied_before.sum(1),
-        })
-
-
-def _blocks(queries: DataFrame, catalog: DataFrame, tile_fn, k: int, schema: str, dims: int,
-            broadcast_bytes: int, block_rows: int) -> tuple[DataFrame, bool]:
-    """Run `tile_fn` on every (query, catalog) combination; True if each query saw the whole catalog.
-
-    The catalog is counted first. Up to `broadcast_bytes` it goes to each executor
-    and the queries are not shuffled. Beyond that both sides are cut into blocks by
-    hash and meet in a grid of cells of at most about block_rows x block_rows.
-    """
-    items = catalog.count()
-    if items * (dims * 8 + 8) <= broadcast_bytes:
-        rows = catalog.select("item_idx", "vec").toPandas().sort_values("item_idx")
-        packed = (rows["item_idx"].to_numpy(dtype=np.int64),
-                  _matrix(rows["vec"]) if len(rows) else np.zeros((0, dims)))
-        shared = queries.sparkSession.sparkContext.broadcast(packed)
-
-        def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            ids, matrix = shared.value
-            for batch in batches:
-                if len(batch) and len(ids):
-                    yield from tile_fn(batch, ids, matrix, k)
-
-        return queries.mapInPandas(whole, schema), True
-
-    def slices(n: int) -> int:
-        return max(1, -(-n // block_rows))
-
-    across, down = slices(items), slices(queries.count())
-
-    def cell_of(own: Column, own_n: int, other_n: int, first: bool) -> Column:
-        mine = F.pmod(F.xxhash64(own), F.lit(own_n))
-        each = F.sequence(F.lit(0), F.lit(other_n - 1))
-        make = (lambda j: mine * across + j) if first else (lambda j: j * across + mine)
-        return F.explode(F.transform(each, make))
-
-    left = queries.withColumn("cell", cell_of(F.col("query"), down, across, True))
-    # own column names: both sides may come from the same frame
-    right = catalog.select(F.col("item_idx").alias("c_idx"), F.col("vec").alias("c_vec")).withColumn(
-        "cell", cell_of(F.col("c_idx"), across, down, False))
-
-    def one_cell(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
-        if not len(q) or not len(c):
-            return pd.DataFrame({n.split()[0]: [] for n in schema.split(", ")})
-        c = c.sort_values("c_idx")
-        tiles = tile_fn(q, c["c_idx"].to_numpy(dtype=np.int64), _matrix(c["c_vec"]), k)
-        return pd.concat(list(tiles), ignore_index=True)
-
-    return left.groupBy("cell").cogroup(right.groupBy("cell")).applyInPandas(one_cell, schema), False
-
-
-def top_k(queries: DataFrame, catalog: DataFrame, k: int, dims: int,
-          broadcast_bytes: int = BROADCAST_BYTES, block_rows: int = BLOCK_ROWS) -> DataFrame:
+# ------------------------------------------------------------------ products with the whole catalog
+def top_k(queries: DataFrame, catalog: DataFrame, k: int, **limits) -> DataFrame:
     """(query, item_idx, score, rank): the exact best `k` items of every query.
 
-    `queries` is (query, vec[, skip_idx]); a skipped index never appears. Products
-    are formed block by block and only k rows per query and block leave a task.
+    `queries` is (query, vec[, skip_idx]); a skipped index never appears.
     """
-    if "skip_idx" not in queries.columns:
-        queries = queries.withColumn("skip_idx", F.lit(-1).cast("long"))
-    kind = queries.schema["query"].dataType.simpleString()
-    schema = f"query {kind}, item_idx long, score double, rank int"
-    parts, whole = _blocks(queries.select("query", "vec", "skip_idx"), catalog, _tile_top, k, schema, dims,
-                           broadcast_bytes, block_rows)
-    if whole:
-        return parts
-    return first_per_key(parts.drop("rank"), ["query"], [F.desc("score"), F.asc("item_idx")], k, "rank")
-
-
-def rank_targets(queries: DataFrame, catalog: DataFrame, dims: int,
-                 broadcast_bytes: int = BROADCAST_BYTES, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    found = multiply(queries, catalog, k, **limits)
+    pairs = F.posexplode(F.arrays_zip(F.col("ids").alias("item_idx"), F.col("scores").alias("score")))
+    return found.select("query", pairs.alias("place", "hit")).select(
+        "query", "hit.item_idx", "hit.score", (F.col("place") + 1).alias("rank"))
+
+
+def rank_targets(queries: DataFrame, catalog: DataFrame, **limits) -> DataFrame:
     """(query, strict_rank, rank) of each target over the whole catalog.
 
     `queries` is (query, vec, target_idx). `strict_rank` counts higher scores only;
-    `rank` also counts equal scores of lower index. Blocks return two counts per
-    query, so no score ever leaves a task. Targets outside the catalog are absent.
+    `rank` also counts equal scores of lower index. No score ever leaves a task.
+    Targets outside the catalog are absent.
     """
-    kind = queries.schema["query"].dataType.simpleString()
     targets = catalog.select(F.col("item_idx").alias("target_idx"), F.col("vec").alias("target_vec"))
     scored = queries.join(targets, "target_idx").select(
-        "query", "vec", "target_idx", dot("vec", "target_vec").alias("target_score")
-    )
-    schema = f"query {kind}, n_above long, n_tied_before long"
-    parts, whole = _blocks(scored, catalog, _tile_above, 0, schema, dims, broadcast_bytes, block_rows)
-    if not whole:
-        parts = parts.groupBy("query").agg(
-            F.sum("n_above").alias("n_above"), F.sum("n_tied_before").alias("n_tied_before"))
-    return parts.select(
-        "query", (F.col("n_above") + 1).alias("strict_rank"),
-        (F.col("n_above") + F.col("n_tied_before") + 1).alias("rank"),
-    )
+        "query", "vec", F.array("target_idx").alias("targets"), F.array(dot("vec", "target_vec")).alias("bars"))
+    counted = multiply(scored, catalog, 0, **limits)
+    above, tied = F.col("above")[0], F.col("tied")[0]
+    return counted.select("query", (above + 1).alias("strict_rank"), (above + tied + 1).alias("rank"))

@@ -99,7 +99,7 @@ def best_items(spark, sf, n: int, states: DataFrame | None = None) -> DataFrame:
     """(user_id, product_id, score, rank) over the whole item table."""
     states = user_states(spark, sf) if states is None else states
     items = I.vectors(spark, sf)
-    found = scoring.top_k(states.select(F.col("user_id").alias("query"), F.col("state").alias("vec")), items, n, DIMS)
+    found = scoring.top_k(states.select(F.col("user_id").alias("query"), F.col("state").alias("vec")), items, n)
     return found.join(items.select("item_idx", "product_id"), "item_idx").select(
         F.col("query").alias("user_id"), "product_id", "score", "rank")
 
@@ -178,7 +178,7 @@ def catalog_ranks(spark, sf) -> DataFrame:
     targets = last.join(items.select("product_id", F.col("item_idx").alias("target_idx")), "product_id")
     queries = targets.join(states, "user_id").select(
         F.col("user_id").alias("query"), F.col("state").alias("vec"), "target_idx")
-    return scoring.rank_targets(queries, items, DIMS)
+    return scoring.rank_targets(queries, items)
 
 
 @query("h1_catalog_ranks", with_(*SAMPLED) + "SELECT * FROM ranked")
@@ -430,7 +430,7 @@ neighbours AS (SELECT product_id, list(similar_id ORDER BY rank) AS near FROM to
 
 def neighbours(spark, sf) -> DataFrame:
     items = I.vectors(spark, sf)
-    found = similar.top_k_similar(items.select("item_idx", "vec"), 10, DIMS)
+    found = similar.top_k_similar(items.select("item_idx", "vec"), 10)
     return similar.neighbour_lists(found, items.select("product_id", "item_idx"))
 
 
@@ -445,7 +445,7 @@ def _(spark, sf):
 SELECT item_idx, similar_idx, round(score, 6) AS score, CAST(rank AS INT) AS rank FROM top_similar""")
 def _(spark, sf):
     items = I.vectors(spark, sf).select("item_idx", "vec")
-    return similar.top_k_similar(items, 10, DIMS).withColumn("score", F.round("score", 6))
+    return similar.top_k_similar(items, 10).withColumn("score", F.round("score", 6))
 
 
 @query("a11_keyed_lookup", with_(I.VECTORS, SIMILAR) + """
