@@ -13,6 +13,7 @@ from sparkrec.plans.inputs import with_
 from sparkrec.plans.registry import query
 from sparkrec.session import durable, scratch_dir
 from sparkrec.sources import incremental, sinks, staging
+from sparkrec.sources.bronze import Bronze
 from sparkrec.sources.tables import Table, append, sync_silver
 
 AT = datetime(2026, 1, 2)
@@ -55,14 +56,23 @@ def _(spark, sf):
         F.count("*").alias("rows"), F.max("o_orderdate").alias("last_value"))
 
 
-@query("a4_read_staging", with_(I.BRONZE) + """
-SELECT event_type, COUNT(*) AS rows, COUNT(rating) AS rated FROM bronze GROUP BY event_type""")
+# a quarter of the files each: no price, whole prices, prices as doubles, as decimals
+PRICED = contracts.Contract("staged products", tuple(
+    f for f in contracts.BRONZE_PRODUCTS.fields if f.name in ("product_id", "title", "category", "price")), "product_id")
+
+
+@query("a4_read_staging", with_(I.PRODUCTS) + """
+SELECT product_id, title, category, CASE CAST(substr(product_id, 2) AS BIGINT) % 4 WHEN 0 THEN NULL
+  WHEN 1 THEN CAST(floor(price) AS DECIMAL(12,2)) ELSE price END AS price FROM products""")
 def _(spark, sf):
-    bronze, path = I.bronze_interactions(spark, sf), scratch_dir(spark)
-    bronze.filter("rating IS NULL").drop("rating").withColumn("_load", F.lit("a")).write.parquet(f"{path}/load=a")
-    bronze.filter("rating IS NOT NULL").write.parquet(f"{path}/load=b")
-    staged = staging.read_staging(spark, path, contracts.BRONZE_INTERACTIONS)
-    return staged.groupBy("event_type").agg(F.count("*").alias("rows"), F.count("rating").alias("rated"))
+    path = scratch_dir(spark)
+    rows = I.products(spark, sf).select("product_id", "title", "category", "price")
+    part = F.substring("product_id", 2, 20).cast("long") % 4
+    for at, price in enumerate((None, F.floor("price").cast("int"), F.col("price").cast("double"), F.col("price"))):
+        load = rows.filter(part == at)
+        load = load.drop("price") if price is None else load.withColumn("price", price)
+        load.withColumn("_load", F.lit(at)).write.parquet(f"{path}/load={at}")
+    return staging.read_staging(spark, path, PRICED)
 
 
 @query("a5_projected_scan", "SELECT l_orderkey, l_partkey FROM lineitem")
@@ -258,6 +268,31 @@ def _(spark, sf):
     return contracts.failures(I.events(spark, sf).drop("ts"), RULED)
 
 
+# two builds of four loads each, and a third that finds nothing new
+@query("b1_bronze_build", with_(I.BRONZE, I.VECTORS) + """
+SELECT * REPLACE (CASE WHEN _extraction_run_id < 'run-4' THEN TIMESTAMP '2026-01-02' ELSE TIMESTAMP '2026-01-03' END AS _ingested_at),
+  product_id IN (SELECT product_id FROM h) AS good FROM bronze""")
+def _(spark, sf):
+    root, known = scratch_dir(spark), I.vectors(spark, sf)
+    loads = I.bronze_interactions(spark, sf).withColumnRenamed("_extraction_run_id", "_load_id").drop("_ingested_at")
+    target = Bronze(spark, f"{root}/bronze", contracts.BRONZE_INTERACTIONS)
+    references = {"product_id": (known, "product_id")}
+    early = F.col("_load_id") < "run-4"
+    unrated = loads.filter(early & F.col("rating").isNull()).drop("rating")  # an all-NULL column is not staged
+    rated = loads.filter(early & F.col("rating").isNotNull()).withColumn("rating", F.col("rating").cast("int"))
+    unrated.write.parquet(f"{root}/staging/a")
+    rated.write.parquet(f"{root}/staging/b")
+    target.build(f"{root}/staging", datetime(2026, 1, 2), references)
+    loads.filter(~early).write.parquet(f"{root}/staging/c")
+    target.build(f"{root}/staging", datetime(2026, 1, 3), references)
+    again = target.build(f"{root}/staging", datetime(2026, 1, 4), references)
+    if again["load_ids_committed"]:
+        raise RuntimeError(f"loads committed twice: {again}")
+    good, bad = target.read().withColumn("good", F.lit(True)), target.rejected().drop("failures").withColumn("good", F.lit(False))
+    out = good.unionByName(bad)
+    return out.select(*[F.col(f.name).cast("timestamp_ntz") if f.dataType == T.TimestampType() else F.col(f.name) for f in out.schema])
+
+
 @query("b2_checks", with_(I.BRONZE) + """
 SELECT 'interaction_id' AS column_name, 'unique' AS check_name, CAST(interaction_id AS VARCHAR) AS row_key, COUNT(*) AS n
 FROM bronze GROUP BY interaction_id HAVING COUNT(*) > 1""")

@@ -2,34 +2,73 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+from collections import defaultdict
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sparkrec.operators.contracts import Contract, ContractError, conform, fill_missing_optional
+from sparkrec.session import path_exists
+
+FILES_PER_TASK = 200
+
+
+def _footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(path, form): names and types of each file's columns; NULL where only Spark can open the path."""
+    from pyarrow import ArrowInvalid, ArrowNotImplementedError, fs, parquet
+
+    for batch in batches:
+        forms = []
+        for path in batch["path"]:
+            try:
+                files, place = fs.FileSystem.from_uri(path.replace("file:/", "file:///") if path.startswith("file:/") and path[6] != "/" else path)
+            except (ArrowInvalid, ArrowNotImplementedError, OSError):
+                forms.append(None)
+                continue
+            forms.append("; ".join(f"{f.name} {f.type}" for f in sorted(parquet.read_schema(place, filesystem=files), key=lambda f: f.name)))
+        yield pd.DataFrame({"path": batch["path"], "form": pd.Series(forms, dtype=object)})
+
+
+def schema_groups(spark: SparkSession, path: str) -> list[list[str]]:
+    """The Parquet files below `path`, grouped by the names and types of their columns.
+
+    Contents are not read: files are listed, and their footers are read by tasks.
+    """
+    if not path_exists(spark, path):
+        return []
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", True).load(path).select("path")
+    tasks = 1 + files.count() // FILES_PER_TASK
+    groups = defaultdict(list)
+    for row in files.repartition(tasks).mapInPandas(_footers, "path string, form string").collect():
+        form = row.form
+        if form is None:
+            form = "; ".join(f"{f.name} {f.dataType.simpleString()}" for f in sorted(spark.read.parquet(row.path).schema, key=lambda f: f.name))
+        groups[form].append(row.path)
+    return [sorted(groups[form]) for form in sorted(groups)]
 
 
 def read_staging(spark: SparkSession, path: str, contract: Contract) -> DataFrame:
-    """All files below `path` in contract form.
+    """All files below `path` in contract form, one cast per distinct schema.
 
-    Spark merges the footers in parallel and matches columns by name: absent
-    optional ones read as NULL, other columns are dropped. A required column that
-    some file lacks is an error. Nothing there gives an empty typed frame.
+    Files may disagree on the type of a column (a price as integer, double, decimal or text) and
+    lack optional ones, which read as NULL; other columns are dropped. A required column that
+    some file lacks is an error, with the number of such files; NULLs in a required column are
+    rows like others here and found by `contracts.validate`. Nothing there gives an empty typed frame.
     """
-    reader = spark.read.option("mergeSchema", "true").option("recursiveFileLookup", "true")
-    try:
-        staged = reader.parquet(path)
-    except AnalysisException as error:
-        if not any(c in str(error) for c in ("UNABLE_TO_INFER_SCHEMA", "PATH_NOT_FOUND")):
-            raise
+    groups = schema_groups(spark, path)
+    if not groups:
         return spark.createDataFrame([], contract.schema)
+    frames = [spark.read.parquet(*paths) for paths in groups]
     required = [f.name for f in contract.fields if not f.nullable]
-    problems = [f"{c}: column missing" for c in required if c not in staged.columns]
-    if not problems:
-        gaps = staged.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in required]).first()
-        problems = [f"{c}: missing in {gaps[c]} rows" for c in required if gaps[c]]
+    lacking = {c: sum(len(g) for g, f in zip(groups, frames) if c not in f.columns) for c in required}
+    problems = [f"{c}: column missing in {n} files" for c, n in lacking.items() if n]
     if problems:
         raise ContractError(contract.name, problems)
-    return conform(fill_missing_optional(staged, contract), contract)
+    first, *rest = [conform(fill_missing_optional(f, contract), contract) for f in frames]
+    for frame in rest:
+        first = first.unionByName(frame)
+    return first
 
 
 def read_batches(spark: SparkSession, *paths: str) -> DataFrame:

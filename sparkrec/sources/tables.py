@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 
 from sparkrec.operators import silver
 from sparkrec.operators.contracts import Contract, validate
-from sparkrec.session import durable
+from sparkrec.session import durable, path_exists
 
 FILE_BYTES = 512 << 20  # of a compacted file
 BUCKETS = 64
@@ -27,11 +27,6 @@ STATE = "commit int, version int, watermark timestamp, rows long, committed_at t
 CHANGES = ("inserted", "updated", "unchanged", "stale")
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
-
-
 def append(df: DataFrame, path: str, schema: T.StructType | None = None) -> None:
     """Add rows, cast to the table schema if one is given."""
     if schema is not None:
