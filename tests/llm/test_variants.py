@@ -98,10 +98,10 @@ def test_buckets_of_any_size_lose_and_repeat_nothing(spark, seed, bucket, block)
 
 def test_hot_buckets_are_split(spark):
     frame = spark.createDataFrame(list(made_words(0).items()), "word string, n long")
-    frames = variants.buckets(frame, 50)
+    frames = variants.buckets(frame, 10)
     assert len(frames) > 1
     for f in frames:
-        large = f.groupBy("key", "ls", "p", "q").count().filter("count > 50")
+        large = f.groupBy("key", "ls", "p", "q").count().filter("count > 10")
         assert large.filter("ls - p - q > 1").count() == 0
 
 
