@@ -33,18 +33,32 @@ def mean_categories(categories: list[np.ndarray], table: np.ndarray) -> np.ndarr
     return (table[idx] * mask).sum(1) / np.maximum(mask.sum(1), 1.0)
 
 
+def with_category_vectors(items: DataFrame, table: DataFrame, width: int) -> DataFrame:
+    """`items` plus `category_vec`: the mean of their rows of `table` (category, vec), zeros without any.
+
+    The join meets on categories; they are averaged per item before anything wide is shuffled on.
+    """
+    each = items.select("item_idx", F.explode("categories").alias("category")).filter("category <> 0").join(table, "category")
+    means = each.groupBy("item_idx").agg(F.array(*[F.avg(F.col("vec")[i]) for i in range(width)]).alias("category_vec"))
+    zero = F.array_repeat(F.lit(0.0), width)
+    return items.join(means, "item_idx", "left").withColumn("category_vec", F.coalesce("category_vec", zero))
+
+
 def item_vectors(items: DataFrame, weights: dict[str, np.ndarray], fusion: str = "gate") -> DataFrame:
     """(item_idx, item_id, vec) from identity and attributes.
 
     `items` carries the per-row tables already joined: id_vec, store_vec (arrays),
     categories (indices), price (index), train_count, and text_vec if text is used.
     `weights` holds only the small shared matrices: category, price, text_w, text_b,
-    feat_w, feat_b, norm_w, norm_b, gate_w, gate_b. A category table too large for
-    that is joined as well, as `category_vec` (mean of an item's categories).
+    feat_w, feat_b, norm_w, norm_b, gate_w, gate_b. A category table can be joined as well, as
+    `category_vec` (see `with_category_vectors`); one above SHARED_BYTES is. The gate takes the
+    popularity signal where `gate_w` has a column for it.
     """
-    size = sum(w.nbytes for w in weights.values())
-    if size > SHARED_BYTES:
-        raise ValueError(f"weights of {size} bytes are too large to share: join the large table to the items")
+    table = weights.get("category")
+    if table is not None and table.nbytes > SHARED_BYTES and "category_vec" not in items.columns:
+        rows = pd.DataFrame({"category": np.arange(len(table)), "vec": list(table.astype(float))})
+        items = with_category_vectors(items, items.sparkSession.createDataFrame(rows, "category int, vec array<double>"), table.shape[1])
+        weights = {k: w for k, w in weights.items() if k != "category"}
     shared = items.sparkSession.sparkContext.broadcast(weights)
     top = items.agg(F.max("train_count")).first()[0] or 0
     scale = float(np.log1p(top)) if top > 0 else 1.0
@@ -76,8 +90,10 @@ def item_vectors(items: DataFrame, weights: dict[str, np.ndarray], fusion: str =
                 if fusion == "sum":
                     h = e + f
                 else:
-                    popularity = (np.log1p(counts) / scale)[:, None] * known
-                    g = _sigmoid(np.concatenate([e, f, popularity], axis=1) @ w["gate_w"].T + w["gate_b"])
+                    signals = [e, f]
+                    if w["gate_w"].shape[1] > 2 * e.shape[1]:
+                        signals.append((np.log1p(counts) / scale)[:, None] * known)
+                    g = _sigmoid(np.concatenate(signals, axis=1) @ w["gate_w"].T + w["gate_b"])
                     h = g * e + (1.0 - g) * f
             yield pd.DataFrame(
                 {"item_idx": batch["item_idx"], "item_id": batch["item_id"], "vec": list(h.astype(np.float32))}

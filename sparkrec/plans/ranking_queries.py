@@ -38,50 +38,107 @@ scores AS (SELECT user_id, product_id, COALESCE(list_dot_product(state, vec), 0.
   FROM pairs LEFT JOIN states USING (user_id) LEFT JOIN h USING (product_id))"""
 
 
-def _weights(rng: np.random.Generator, d: int, parts: int) -> dict[str, np.ndarray]:
-    return {
+WIDTH = 4  # of the seeded weights; their SQL is written out
+
+
+def _weights() -> dict[str, np.ndarray]:
+    rng, d = np.random.default_rng(7), WIDTH
+    drawn = {
         "category": np.vstack([np.zeros(d), rng.normal(size=(63, d))]), "price": rng.normal(size=(12, d)),
-        "feat_w": rng.normal(size=(d, parts * d)) / d, "feat_b": np.zeros(d),
-        "norm_w": np.ones(d), "norm_b": np.zeros(d),
-        "gate_w": rng.normal(size=(d, 2 * d + 1)) / d, "gate_b": np.zeros(d),
+        "feat_w": rng.normal(size=(d, 3 * d)) / d, "feat_b": rng.normal(size=d), "norm_w": 1 + rng.normal(size=d) / 4,
+        "norm_b": rng.normal(size=d) / 4, "gate_w": rng.normal(size=(d, 2 * d + 1)) / d, "gate_b": rng.normal(size=d),
     }
+    return {k: w.round(3) for k, w in drawn.items()}
+
+
+def _gru() -> scoring.GRUBackbone:
+    rng, d = np.random.default_rng(11), WIDTH
+    return scoring.GRUBackbone(*(rng.normal(size=size).round(3) for size in ((3 * d, d), (3 * d, d), (d, d), d)))
+
+
+def _sql_list(values) -> str:
+    return "[" + ", ".join(_sql_list(v) if np.ndim(v) else f"{v}::DOUBLE" for v in values) + "]"
+
 
+def _sql_dense(w: np.ndarray, x: str, b: np.ndarray | None = None) -> str:
+    """A dense layer over the list `x`."""
+    bias = np.zeros(len(w)) if b is None else b
+    return "[" + ", ".join(f"list_dot_product({_sql_list(row)}, {x}) + {c}" for row, c in zip(w, bias)) + "]"
 
-@query("g1_item_vectors")
+
+def _sql_each(formula: str) -> str:
+    """A formula in which `{i}` is the place, for every place."""
+    return "[" + ", ".join(formula.format(i=i) for i in range(1, WIDTH + 1)) + "]"
+
+
+def _item_vector_sql(w: dict[str, np.ndarray]) -> str:
+    return with_(*T.COUNTED, T.VOCAB, I.VECTORS, f"""
+rows AS (SELECT item_idx, product_id AS item_id, train_count,
+    CASE WHEN train_count > 0 THEN coalesce(vec[1:{WIDTH}], {_sql_list(np.zeros(WIDTH))}) ELSE {_sql_list(np.zeros(WIDTH))} END AS e,
+    coalesce(vec[1:{WIDTH}], {_sql_list(np.zeros(WIDTH))}) AS store, {_sql_list(w['category'])} AS c, {_sql_list(w['price'])} AS p,
+    v.item_idx % 64 AS c1, (v.item_idx * 7) % 64 AS c2, coalesce(CAST(floor(price) AS BIGINT) % 12, 0) AS price,
+    ln(1 + train_count) / (SELECT ln(1 + max(train_count)) FROM counts) * CAST(train_count > 0 AS INT) AS popularity
+  FROM vocab v JOIN counts ON counts.item_id = v.product_id LEFT JOIN (SELECT product_id, vec FROM h) USING (product_id)
+  JOIN (SELECT product_id, price FROM products) USING (product_id)),
+parts AS (SELECT *, {_sql_each("(c[c1 + 1][{i}] + c[c2 + 1][{i}]) / greatest(CAST(c1 <> 0 AS INT) + CAST(c2 <> 0 AS INT), 1)")} AS category FROM rows),
+features AS (SELECT *, {_sql_dense(w['feat_w'], 'list_concat(list_concat(category, store), p[price + 1])', w['feat_b'])} AS f0 FROM parts),
+centred AS (SELECT *, {_sql_each("f0[{i}] - list_avg(f0)")} AS f1 FROM features),
+scaled AS (SELECT *, [(f1[i] / sqrt(list_dot_product(f1, f1) / {WIDTH} + 1e-12)) * {_sql_list(w['norm_w'])}[i] + {_sql_list(w['norm_b'])}[i]
+  FOR i IN range(1, {WIDTH + 1})] AS f FROM centred),
+gated AS (SELECT *, {_sql_dense(w['gate_w'], 'list_concat(list_concat(e, f), [popularity])', w['gate_b'])} AS g FROM scaled)""") + f"""
+SELECT item_idx, item_id, {_sql_each("round(CAST(CAST(e[{i}] / (1 + exp(-g[{i}])) + f[{i}] * (1 - 1 / (1 + exp(-g[{i}]))) AS FLOAT) AS DOUBLE), 5)")} AS vec FROM gated"""
+
+
+@query("g1_item_vectors", _item_vector_sql(_weights()))
 def _(spark, sf):
-    ids = I.vectors(spark, sf).select("product_id", F.col("vec").alias("id_vec"))
+    ids = I.vectors(spark, sf).select("product_id", F.slice("vec", 1, WIDTH).alias("id_vec"))
     counts = T.train_counts(spark, sf).select(F.col("item_id").alias("product_id"), "train_count")
-    zero = F.array_repeat(F.lit(0.0).cast("float"), DIMS)
+    zero = F.array_repeat(F.lit(0.0).cast("float"), WIDTH)
     items = (
         T.vocab(spark, sf).join(counts, "product_id").join(ids, "product_id", "left")
         .join(I.products(spark, sf).select("product_id", "price"), "product_id")
         .select(
             "item_idx", F.col("product_id").alias("item_id"), "train_count",
             F.coalesce("id_vec", zero).alias("id_vec"), F.coalesce("id_vec", zero).alias("store_vec"),
-            F.array(F.pmod("item_idx", F.lit(64)).cast("int"), F.lit(0), F.lit(0)).alias("categories"),
-            F.coalesce(F.pmod(F.col("price").cast("int"), F.lit(12)), F.lit(0)).alias("price"),
+            F.array(F.pmod("item_idx", F.lit(64)).cast("int"), F.pmod(F.col("item_idx") * 7, F.lit(64)).cast("int"), F.lit(0)).alias("categories"),
+            F.coalesce(F.pmod(F.floor("price").cast("int"), F.lit(12)), F.lit(0)).alias("price"),
         )
     )
-    vectors = scoring.item_vectors(items, _weights(np.random.default_rng(7), DIMS, 3))
+    vectors = scoring.item_vectors(items, _weights())
     return vectors.select("item_idx", "item_id", F.transform("vec", lambda x: F.round(x.cast("double"), 5)).alias("vec"))
 
 
-@query("g2_user_states")
-def _(spark, sf):
-    rng = np.random.default_rng(11)
-    backbone = scoring.GRUBackbone(
-        rng.normal(size=(3 * DIMS, DIMS)) / 8, rng.normal(size=(3 * DIMS, DIMS)) / 8,
-        rng.normal(size=(DIMS, DIMS)) / 8, np.zeros(DIMS))
-    states = scoring.user_states(user_histories(spark, sf), backbone)
+def _gru_sql(net: scoring.GRUBackbone) -> str:
+    d = WIDTH
+    wi, wh = net.w_input.reshape(3, d, d), net.w_hidden.reshape(3, d, d)
+    return "WITH RECURSIVE " + with_(I.BRONZE, I.SILVER, I.USERS, I.VECTORS, f"""
+placed AS (SELECT user_id, h.vec[1:{d}] AS x, row_number() OVER (PARTITION BY user_id ORDER BY pos) AS t FROM
+  (SELECT user_id, unnest(item_sequence) AS product_id, generate_subscripts(item_sequence, 1) AS pos FROM users) JOIN h USING (product_id)),
+layers AS MATERIALIZED (SELECT user_id, t, {_sql_dense(wi[0], 'x')} AS xr, {_sql_dense(wi[1], 'x')} AS xz, {_sql_dense(wi[2], 'x')} AS xn FROM placed),
+walk(user_id, t, s) AS (
+  SELECT DISTINCT user_id, 0::BIGINT, {_sql_list(np.zeros(d))} FROM placed UNION ALL
+  SELECT user_id, t, [(1 - z[i]) * (1 - 2 / (exp(2 * (xn[i] + r[i] * hn[i])) + 1)) + z[i] * s[i] FOR i IN range(1, {d + 1})] FROM (
+    SELECT *, {_sql_each("1 / (1 + exp(-(xr[{i}] + hr[{i}])))")} AS r,
+      {_sql_each("1 / (1 + exp(-(xz[{i}] + hz[{i}])))")} AS z FROM (
+      SELECT l.*, s, {_sql_dense(wh[0], 's')} AS hr, {_sql_dense(wh[1], 's')} AS hz, {_sql_dense(wh[2], 's')} AS hn
+      FROM walk w JOIN layers l ON l.user_id = w.user_id AND l.t = w.t + 1))),
+final AS (SELECT user_id, arg_max(s, t) AS s FROM walk GROUP BY user_id)""").removeprefix("WITH ") + f"""
+SELECT user_id, [round(v, 5) FOR v IN {_sql_dense(net.dense_w, 's', net.dense_b)}] AS state FROM final"""
+
+
+@query("g2_user_states", _gru_sql(_gru()))
+def _(spark, sf):
+    narrow = I.vectors(spark, sf).withColumn("vec", F.slice("vec", 1, WIDTH))
+    histories = scoring.history_vectors(I.user_sequences(spark, sf), narrow, "item_sequence", MAX_LEN, item="product_id")
+    states = scoring.user_states(histories, _gru())
     return states.select("user_id", F.transform("state", lambda x: F.round(x, 5)).alias("state"))
 
 
 @query("g2_last_item_states", with_(*SCORED) + """
-SELECT user_id, round(state[1], 6) AS first, round(list_sum(state), 6) AS total FROM states""")
+SELECT user_id, [round(x, 6) FOR x IN state] AS state FROM states""")
 def _(spark, sf):
     states = scoring.user_states(user_histories(spark, sf), scoring.last_vector)
-    total = F.aggregate("state", F.lit(0.0), lambda a, x: a + x)
-    return states.select("user_id", F.round(F.get("state", F.lit(0)), 6).alias("first"), F.round(total, 6).alias("total"))
+    return states.select("user_id", F.transform("state", lambda x: F.round(x, 6)).alias("state"))
 
 
 @query("g3_scores", with_(*SCORED, PAIR_SCORES) + "SELECT user_id, product_id, round(score, 6) AS score FROM scores")

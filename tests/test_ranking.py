@@ -163,8 +163,16 @@ def test_item_vectors_of_cold_items(spark):
     joined = items.withColumn("category_vec", F.expr("IF(item_idx = 1, array(2.0D, 4.0D), array(0.0D, 0.0D))"))
     again = {r.item_id: np.array(r.vec) for r in scoring.item_vectors(joined, {k: v for k, v in weights.items() if k != "category"}).collect()}
     assert all(np.allclose(again[i], v) for i, v in run("gate").items())
-    with pytest.raises(ValueError, match="too large"):
-        scoring.item_vectors(items, {"category": np.zeros((scoring.SHARED_BYTES // 8 + 1, 1))})
+    table = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(weights["category"])], "category int, vec array<double>")
+    averaged = scoring.with_category_vectors(items, table, d)
+    assert {r.item_id: r.category_vec for r in averaged.collect()} == {"warm": [2.0, 4.0], "cold": [0.0, 0.0]}
+    whole = run("gate")
+    with pytest.MonkeyPatch.context() as patch:  # a table that is too large to share is joined
+        patch.setattr(scoring, "SHARED_BYTES", 1)
+        assert all(np.allclose(run("gate")[i], v) for i, v in whole.items())
+    weights["gate_w"] = np.array([[0.0, 0, 1, 0], [0, 0, 0, 1]])  # no column for popularity
+    g = 1 / (1 + np.exp(-f))
+    assert np.allclose(run("gate")["warm"], g * 1 + (1 - g) * f, atol=1e-5)
 
 
 def test_text_rows_must_match(spark):
