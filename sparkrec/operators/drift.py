@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from sparkrec.operators.ordering import running_totals
+from sparkrec.session import durable
 
 # Public defaults of the drift tests.
 COLUMN_THRESHOLD = 0.1
 DATASET_SHARE = 0.5
 MIN_SPREAD = 0.001
+FEW_VALUES = 5
 
 
 def flag_cold_items(current: DataFrame, baseline: DataFrame, item: str) -> DataFrame:
@@ -83,6 +85,54 @@ def _verdict(scores: DataFrame, test: str) -> DataFrame:
     )
 
 
+def many_valued(reference: DataFrame, columns: Sequence[str]) -> list[str]:
+    """The numeric columns with more than FEW_VALUES distinct values, from one pass over the reference.
+
+    Distinct values are counted by sketches that merge on the map side; they are exact
+    far beyond the limit that matters here.
+    """
+    numeric = [c for c in columns if isinstance(reference.schema[c].dataType, T.NumericType)]
+    if not numeric:
+        return []
+    distinct = [F.hll_sketch_estimate(F.hll_sketch_agg(F.col(c).cast("string"))).alias(c) for c in numeric]
+    counts = reference.agg(*distinct).first()
+    return [c for c in numeric if (counts[c] or 0) > FEW_VALUES]
+
+
+def column_drift(reference: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(column_name, stattest, drift_score, drift_detected) of every column, each by the test its values call for.
+
+    Many-valued numbers are compared by their distributions, everything else by shares of values.
+    """
+    many = many_valued(reference, columns)
+    few = [c for c in columns if c not in many]
+    parts = ([categorical_drift(reference, current, few)] if few else []) + [numeric_drift(reference, current, c) for c in many]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+REPORT = ("baseline_rows long, current_rows long, current_cold_start_ratio double, share_of_drifted_columns double, "
+          "drifted_columns string, dataset_drift boolean, column_scores array<struct<column_name:string,stattest:string,"
+          "drift_score:double,drift_detected:boolean>>")
+
+
+def drift_report(reference: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row for `sinks.save_report`: row counts of both sides, the dataset verdict and the score of each column.
+
+    `current` carries is_cold_start_item (`flag_cold_items`); at least one column must give a verdict.
+    """
+    scores = durable(column_drift(reference, current, columns))
+    entry = F.struct("column_name", "stattest", "drift_score", "drift_detected")
+    cold = F.avg(F.col("is_cold_start_item").cast("double"))
+    rows = scores.agg(F.array_sort(F.collect_list(entry)).alias("column_scores"))
+    for part in (reference.agg(F.count("*").alias("baseline_rows")), drift_summary(scores),
+                 current.agg(F.count("*").alias("current_rows"), F.round(cold, 4).alias("current_cold_start_ratio"))):
+        rows = rows.unionByName(part, True)  # one row each
+    return rows.agg(*[F.max(c).alias(c) for c in (f.split()[0] for f in REPORT.split(", "))])
+
+
 def drift_summary(scores: DataFrame) -> DataFrame:
     """Share and names of drifted columns and the dataset verdict; no column is an error."""
     share = F.avg(F.col("drift_detected").cast("double"))

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from sparkrec.functions.arrays import ordered_values
 from sparkrec.functions.text import display_description
 from sparkrec.operators.ordering import dense_index, first_per_key
+from sparkrec.session import durable
 
 ITEM_COLUMNS = ("product_id", "title", "category", "category_path", "brand", "price", "image_url")
 COUNTS = {"num_views": "view", "num_cart_adds": "cart", "num_purchases": "purchase", "num_ratings": "rating"}
@@ -85,22 +86,62 @@ def item_metadata(items: DataFrame) -> DataFrame:
     )
 
 
-def search(items: DataFrame, query: str, limit: int) -> DataFrame:
-    """Items whose title or description hold every token of `query`, popular first."""
-    tokens = query.lower().split()
+def _searched() -> Column:
+    """What a search looks into: title and description in lower case."""
     blank = F.lit("")
-    text = F.lower(
+    return F.lower(
         F.concat(
             F.coalesce("title", blank), F.lit(" "),
             F.coalesce(display_description("category", "price"), blank),
         )
     )
+
+
+def search(items: DataFrame, query: str, limit: int) -> DataFrame:
+    """Items whose title or description hold every token of `query`, popular first."""
+    tokens = query.lower().split()
     found = F.lit(bool(tokens))
     for token in tokens:
-        found = found & text.contains(token)
+        found = found & _searched().contains(token)
     return popular_items(items.filter(found), limit)
 
 
+GRAM = 3
+
+
+def _grams(text: Column, width: int = GRAM) -> Column:
+    """Distinct character sequences of `width`; none of a shorter text."""
+    places = F.sequence(F.lit(1), F.greatest(F.length(text) - width + 1, F.lit(1)))
+    all_of = F.array_distinct(F.transform(places, lambda i: F.substring(text, i, F.lit(width))))
+    return F.when(F.length(text) >= width, all_of).otherwise(F.array().cast("array<string>"))
+
+
+def search_batch(items: DataFrame, queries: DataFrame, limit: int) -> DataFrame:
+    """(query_id, position, product_id): `search` for a table of queries (query_id, query) in one plan.
+
+    Items are posted under their sequences of one to three characters. Of all sequences of a query's
+    tokens the one with the fewest items brings the candidates, which are then
+    compared with every token; so a query reads about as many items as its rarest sequence has.
+    A query without tokens finds nothing.
+    """
+    texts = durable(items.select("product_id", "num_purchases", "num_views", _searched().alias("text")))
+    postings = durable(texts.select("product_id", F.explode(F.concat(*[
+        _grams(F.col("text"), n) for n in range(1, GRAM + 1)])).alias("gram")))
+    sizes = postings.groupBy("gram").agg(F.count("*").alias("n"))
+    words = F.array_distinct(F.filter(F.split(F.lower("query"), r"\s+"), lambda t: t != ""))
+    asked = durable(queries.select("query_id", words.alias("tokens")).filter(F.size("tokens") > 0))
+    # a token shorter than three characters is a sequence itself
+    token = F.col("token")
+    own = F.when(F.length(token) < GRAM, F.array(token)).otherwise(_grams(token))
+    grams = asked.select("query_id", F.explode("tokens").alias("token")).select("query_id", F.explode(own).alias("gram")).distinct()
+    # a sequence that no item has counts 0, so such a query meets no posting
+    rarest = grams.join(sizes, "gram", "left").groupBy("query_id").agg(
+        F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram"))["gram"].alias("gram"))
+    met = rarest.join(postings, "gram").join(texts, "product_id").join(asked, "query_id")
+    hits = met.filter(F.forall("tokens", lambda t: F.col("text").contains(t)))
+    return first_per_key(hits, ["query_id"], popularity_order(), limit, "position").select("query_id", "position", "product_id")
+
+
 def top_users(users: DataFrame, n: int) -> DataFrame:
     return users.orderBy(F.desc("sequence_length"), F.asc("user_id")).limit(n)
 

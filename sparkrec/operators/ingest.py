@@ -6,8 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from sparkrec.operators.ordering import positions
-from sparkrec.session import bounded_broadcast
+from sparkrec.session import bounded_broadcast, durable
 
 
 def skip_committed(df: DataFrame, committed: DataFrame, run_id: str = "_extraction_run_id") -> DataFrame:
@@ -20,12 +19,20 @@ def skip_committed(df: DataFrame, committed: DataFrame, run_id: str = "_extracti
     return df.join(done, run_id, "left_anti")
 
 
-def insert_if_absent(existing: DataFrame, new: DataFrame, keys: Sequence[str], order: Sequence[Column] = ()) -> DataFrame:
-    """`new` with `inserted`: true for the first row (by `order`) of a key that is not yet present."""
-    present = existing.select(*keys).distinct().withColumn("__present", F.lit(True))
-    placed = positions(new, keys, list(order), "__place")
-    absent = F.col("__present").isNull() & (F.col("__place") == 1)
-    return placed.join(present, list(keys), "left").withColumn("inserted", absent).drop("__present", "__place")
+def insert_if_absent(existing: DataFrame, new: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """`new` with `inserted`: true for the first row of a key that is not yet present.
+
+    `order` names the columns that decide which row is first, lowest first (NULL before all); of rows
+    equal in them one is taken. The first row of a key is a minimum, combined on the map side, and rows meet
+    it by their number, so a key with most of the rows costs one row per task.
+    """
+    if not order:
+        raise ValueError("insert_if_absent needs an order: without one the inserted row is arbitrary")
+    rows = durable(new.withColumn("__row", F.monotonically_increasing_id()))
+    first = rows.groupBy(*keys).agg(F.min(F.struct(*order, "__row")).alias("__first"))
+    present = existing.select(*keys).distinct()
+    absent = first.join(present, list(keys), "left_anti").select(F.col("__first.__row").alias("__row"), F.lit(True).alias("inserted"))
+    return rows.join(absent, "__row", "left").withColumn("inserted", F.coalesce("inserted", F.lit(False))).drop("__row")
 
 
 def insert_counts(labelled: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from sparkrec.functions.arrays import ordered_values, pad_right
 from sparkrec.functions.text import (
     MISSING, UNK, category_tokens, clean, positive_price, raw_categories, split_category_path,
 )
-from sparkrec.operators.contracts import ContractError, unknown_references
+from sparkrec.operators.contracts import unknown_references
 from sparkrec.operators.ordering import dense_index, running_totals
 from sparkrec.session import durable
 
@@ -162,12 +162,18 @@ def encode_features(features: DataFrame, vocab: DataFrame, width: int = MAX_CATE
 
 
 def assemble_catalog(meta: DataFrame, counts: DataFrame, interactions: DataFrame | None = None) -> DataFrame:
-    """Encoded attributes, train count and item index of the full catalog."""
-    if interactions is not None and not unknown_references(interactions, "item_id", meta, "item_id").isEmpty():
-        raise ContractError("catalog", ["item_id: interacted items missing from the catalog"])
+    """Encoded attributes, train count and item index of the full catalog.
+
+    With `interactions` the job fails where one of them is about an item that is not in the catalog.
+    """
     features = durable(build_features(meta))
     encoded = encode_features(features, fit_vocab(features))
     indexed = dense_index(meta.select("item_id"), [F.asc("item_id")], "item_idx")
+    if interactions is not None:
+        # looked up once while the job runs, up to the first unknown item
+        unknown = unknown_references(interactions, "item_id", meta, "item_id").limit(1)
+        missing = F.raise_error("catalog: item_id: interacted items missing from the catalog").cast("boolean")
+        indexed = indexed.filter(unknown.agg(F.when(F.count("*") > 0, missing).otherwise(True).alias("ok")).scalar())
     return indexed.join(encoded, "item_id").join(counts, "item_id", "left").select(
         "item_idx", "item_id", "categories", "store", "price",
         F.coalesce("train_count", F.lit(0)).cast("long").alias("train_count"),

@@ -109,6 +109,22 @@ def _continued(ranged: DataFrame, keys: Sequence[str], piece: Column, over) -> D
     return ranged.join(few, same, "left").drop("__in", *names.values())
 
 
+def ranged_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], ranges: int | None = None) -> DataFrame:
+    """`df` stored in ranges of keys and order, for several `carried` values and windows `inside` from one sort."""
+    return _by_key(df, keys, order, ranges)
+
+
+def inside(keys: Sequence[str]):
+    """Window over the rows of a key in a range of `ranged_by_key`, up to the current one."""
+    return _inside(keys).rowsBetween(W.unboundedPreceding, 0)
+
+
+def carried(ranged: DataFrame, keys: Sequence[str], piece: Column, over, name: str) -> DataFrame:
+    """`ranged` with `name`: `over` (`F.sum`, `F.max`, …) of a key's pieces in the ranges before; NULL where it starts here."""
+    met = _continued(ranged, keys, piece, lambda c, window: over(c).over(window))
+    return met.withColumnRenamed("__carried", name)
+
+
 def positions(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str, ranges: int | None = None
 ) -> DataFrame:

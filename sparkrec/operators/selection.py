@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from sparkrec.operators.ordering import positions, previous_value, running_max
+from sparkrec.operators.ordering import carried, inside, previous_value, ranged_by_key
 
 
 def default_candidate(candidates: DataFrame) -> str:
@@ -104,14 +104,19 @@ def early_stopping(epochs: DataFrame, patience: int, run: str = "run", metric: s
     An epoch that reaches the best so far (ties count) becomes the best; training
     stops after more than `patience` epochs in a row below it.
     """
-    order, place, good = [F.asc("__place")], F.col("__place"), F.col("__good")
-    placed = positions(epochs, [run], [F.asc("epoch")], "__place", ranges)
-    best = running_max(placed, [run], order, metric, "__best", ranges).withColumn(
-        "__good", F.when(F.col(metric) >= F.col("__best"), place))
-    marked = running_max(best, [run], order, "__good", "__last_good", ranges)
+    keys, place, good = [run], F.col("__place"), F.col("__good")
+    # one stored sort; place, best and last good epoch are carried over its ranges one after the other
+    ranged = carried(ranged_by_key(epochs, keys, [F.asc("epoch")], ranges), keys, F.count("*"), F.sum, "__n")
+    ranged = carried(ranged, keys, F.max(metric), F.max, "__m")
+    upto = inside(keys)
+    placed = ranged.withColumn("__place", F.count("*").over(upto) + F.coalesce("__n", F.lit(0))).withColumn(
+        "__good", F.when(F.col(metric) >= F.greatest(F.max(metric).over(upto), "__m"), place))
+    marked = carried(placed, keys, F.max("__good"), F.max, "__g").withColumn(
+        "__last_good", F.greatest(F.max("__good").over(upto), "__g"))
     stops = marked.groupBy(run).agg(
         F.min(F.when(place - F.col("__last_good") > patience, place)).alias("__stop"))
-    ran = marked.join(stops, run).filter(F.col("__stop").isNull() | (place <= F.col("__stop")))
+    ran = marked.join(stops, marked[run].eqNullSafe(stops[run]), "left").drop(stops[run]).filter(
+        F.col("__stop").isNull() | (place <= F.col("__stop")))
     return ran.groupBy(run).agg(
         F.max(F.when(good.isNotNull(), F.col("epoch"))).alias("best_epoch"), F.count("*").alias("epochs_run")
     )

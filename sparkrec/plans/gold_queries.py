@@ -48,6 +48,19 @@ def _(spark, sf):
     return gold.search(I.item_features(spark, sf), " RED  economy ", 50).select("product_id", "title", "category")
 
 
+@query("d4_search_batch", ITEMS + f""",
+queries AS (SELECT DISTINCT ' ' || upper(p_type) || '  ' || split_part(p_name, ' ', 2) || ' ' || CAST(p_size AS VARCHAR) AS query FROM part),
+texts AS (SELECT *, lower(title || ' ' || CASE WHEN price IS NOT NULL THEN category || ' · $' || CAST(price AS VARCHAR) ELSE category END) AS text FROM items),
+hits AS (SELECT query, product_id, row_number() OVER (PARTITION BY query {POPULAR}) AS position FROM queries, texts
+  WHERE len([t FOR t IN string_split(lower(query), ' ') IF NOT contains(text, t)]) = 0)
+SELECT query AS query_id, position, product_id FROM hits WHERE position <= 20""")
+def _(spark, sf):
+    part = I.table(spark, sf, "part")
+    words = F.concat(F.lit(" "), F.upper("p_type"), F.lit("  "), F.element_at(F.split("p_name", " "), 2), F.lit(" "), F.col("p_size").cast("string"))
+    queries = part.select(words.alias("query")).distinct().select(F.col("query").alias("query_id"), "query")
+    return gold.search_batch(I.item_features(spark, sf), queries, 20)
+
+
 @query("d5_top_users", USERS + """
 SELECT user_id, sequence_length FROM users ORDER BY sequence_length DESC, user_id LIMIT 25""")
 def _(spark, sf):

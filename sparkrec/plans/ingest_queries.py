@@ -179,7 +179,7 @@ def _(spark, sf):
     cut = I.ntz("1999-01-01 00:00:00")
     return ingest.insert_counts(ingest.insert_if_absent(
         bronze.filter(F.col("updated_at") <= cut), bronze.filter(F.col("updated_at") > cut), ["user_id", "product_id"],
-        [F.asc("updated_at"), F.asc("interaction_id")]))
+        ["updated_at", "interaction_id"]))
 
 
 @query("a16_batch_stats", with_(I.BRONZE) + """

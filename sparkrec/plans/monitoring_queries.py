@@ -10,7 +10,8 @@ from sparkrec.operators import decisions, drift
 from sparkrec.plans import inputs as I
 from sparkrec.plans.inputs import with_
 from sparkrec.plans.registry import query
-from sparkrec.session import scratch_dir
+from sparkrec.session import durable, scratch_dir
+from sparkrec.sources import sinks
 from sparkrec.sources.sinks import read_baseline
 from sparkrec.sources.tables import Table
 
@@ -122,21 +123,62 @@ def _(spark, sf):
                       F.array_join("reasons", ",").alias("reasons"), "retrain")
 
 
-@query("j8_collect_signals", """
-WITH r AS (SELECT arg_max((o_orderstatus = 'F', o_custkey, o_orderkey), (o_orderdate, o_orderkey)) AS r FROM orders),
+# day of the year: a number of many values
+DATED = (I.BRONZE, I.SILVER, f"""
+dated AS (SELECT *, dayofyear(event_time) AS day FROM silver),
+baseline AS (SELECT * FROM dated WHERE event_time < TIMESTAMP '{CUT}'),
+flagged AS (SELECT *, product_id NOT IN (SELECT product_id FROM baseline) AS cold FROM dated)""", JS, """
+days AS (SELECT day, SUM(r) AS r, SUM(c) AS c FROM (SELECT day, 1 AS r, 0 AS c FROM baseline UNION ALL SELECT day, 0, 1 FROM flagged) GROUP BY day),
+steps AS (SELECT day, SUM(r) OVER (ORDER BY day) / (SELECT SUM(r) FROM days) AS f, SUM(c) OVER (ORDER BY day) / (SELECT SUM(c) FROM days) AS g,
+  lead(day) OVER (ORDER BY day) AS next_day FROM days),
+scores AS (SELECT column_name, 'jensenshannon' AS stattest, drift_score FROM js UNION ALL
+  SELECT 'day', 'wasserstein_norm', (SELECT SUM(abs(f - g) * (next_day - day)) FROM steps) / (SELECT greatest(stddev_pop(day), 0.001) FROM baseline)),
+report AS (SELECT (SELECT COUNT(*) FROM baseline) AS baseline_rows, (SELECT COUNT(*) FROM flagged) AS current_rows,
+  (SELECT round(AVG(CAST(cold AS INT)), 4) FROM flagged) AS current_cold_start_ratio,
+  AVG(CAST(drift_score >= 0.1 AS INT)) AS share_of_drifted_columns,
+  COALESCE(string_agg(CASE WHEN drift_score >= 0.1 THEN column_name END, ',' ORDER BY column_name), '') AS drifted_columns,
+  AVG(CAST(drift_score >= 0.1 AS INT)) >= 0.5 AS dataset_drift FROM scores)""")
+
+
+def saved_report(spark, sf) -> DataFrame:
+    """The report of the drift job, written and read again; an older one lies beside it."""
+    root = scratch_dir(spark)
+    dated = durable(I.silver_table(spark, sf).withColumn("day", F.dayofyear("event_time")))
+    baseline = dated.filter(F.col("event_time") < I.ntz(CUT))
+    current = drift.flag_cold_items(dated, baseline, "product_id")
+    calm = baseline.withColumn("is_cold_start_item", F.lit(False))
+    sinks.save_report(drift.drift_report(calm, calm, (*COLUMNS, "day")), root, "data_drift", datetime(2026, 1, 1))
+    sinks.save_report(drift.drift_report(calm, current, (*COLUMNS, "day")), root, "data_drift", datetime(2026, 1, 2))
+    return sinks.latest_report(spark, root, "data_drift", drift.REPORT)
+
+
+@query("j4_drift_report", with_(*DATED) + """
+SELECT report.*, column_name, stattest, round(drift_score, 6) AS drift_score, drift_score >= 0.1 AS drift_detected FROM report CROSS JOIN scores""")
+def _(spark, sf):
+    out = saved_report(spark, sf).withColumn("s", F.explode("column_scores")).drop("column_scores")
+    return out.select("*", "s.column_name", "s.stattest", F.round("s.drift_score", 6).alias("drift_score"), "s.drift_detected").drop("s")
+
+
+# the chain from report to decision: orders play the trained versions
+@query("j8_collect_signals", with_(*DATED, """
 v AS (SELECT arg_max((o_orderdate, CASE WHEN o_orderstatus <> 'P' THEN o_custkey END), o_orderkey) AS latest,
-  MAX(CASE WHEN o_orderpriority = '1-URGENT' THEN o_orderdate END) AS production_at FROM orders)
-SELECT r[1] AS dataset_drift, r[3] AS current_rows, COALESCE(latest[2], r[2]) AS reference_rows,
+  MAX(CASE WHEN o_orderpriority = '1-URGENT' THEN o_orderdate END) AS production_at FROM orders),
+signals AS (SELECT dataset_drift, current_rows, COALESCE(latest[2], baseline_rows) AS reference_rows,
   CASE WHEN latest[2] IS NULL THEN 'drift_baseline' ELSE 'latest_version' END AS reference_source,
   date_diff('second', latest[1], TIMESTAMP '2001-09-01') / 3600 AS hours_since_last_train,
-  date_diff('second', production_at, TIMESTAMP '2001-09-01') / 86400 AS production_age_days FROM r, v""")
+  date_diff('second', production_at, TIMESTAMP '2001-09-01') / 86400 AS production_age_days FROM report, v),
+n AS (SELECT *, greatest(0, current_rows - reference_rows) AS new_rows FROM signals)""") + """
+SELECT *, CASE WHEN hours_since_last_train < 24 THEN '' ELSE concat_ws(',',
+  CASE WHEN production_age_days IS NULL THEN 'no_production_model' WHEN production_age_days >= 14 THEN 'model_age' END,
+  CASE WHEN dataset_drift AND new_rows >= 200 THEN 'dataset_drift' END,
+  CASE WHEN new_rows > 0 AND reference_rows = 0 THEN 'new_rows_without_reference'
+       WHEN new_rows > 0 AND new_rows / reference_rows >= 0.2 THEN 'new_rows_ratio' END) END AS reasons FROM n""")
 def _(spark, sf):
-    orders = I.table(spark, sf, "orders")
-    reports = orders.select(
-        F.struct("o_orderdate", "o_orderkey").alias("ts"), (F.col("o_orderstatus") == "F").alias("dataset_drift"),
-        F.col("o_custkey").alias("baseline_rows"), F.col("o_orderkey").alias("current_rows"))
-    versions = orders.select(
+    reports = saved_report(spark, sf).withColumn("ts", F.lit(1))
+    versions = I.table(spark, sf, "orders").select(
         F.col("o_orderkey").cast("string").alias("version"), F.col("o_orderdate").alias("created_at"),
         F.when(F.col("o_orderstatus") != "P", F.col("o_custkey")).alias("silver_rows"),
         (F.col("o_orderpriority") == "1-URGENT").alias("is_production"))
-    return decisions.collect_signals(reports, versions, datetime(2001, 9, 1))
+    signals = decisions.collect_signals(reports, versions, datetime(2001, 9, 1))
+    out = decisions.retrain_decision(signals)
+    return out.select(*signals.columns, "new_rows", F.array_join("reasons", ",").alias("reasons"))

@@ -110,3 +110,18 @@ def test_sequence_skew(spark, rows):
     a = spark.createDataFrame([("u", ["x"]), ("v", ["x", "y"]), ("w", None)], "user_id string, seq array<string>")
     b = spark.createDataFrame([("u", ["x"]), ("v", ["y", "x"]), ("w", None)], "user_id string, seq array<string>")
     assert rows(feature_store.sequence_skew(a, b, "user_id", "seq"), "user_id") == [("v",)]
+
+
+def test_batch_search_equals_single_searches(spark):
+    titles = ["Red Widget", "red ring", "Blue ring", None, "a", "Redder Widgets", "RING red 10", "über Ring"]
+    items = spark.createDataFrame(
+        [(f"p{i}", t, "Tools" if i % 2 else "Toys", float(i) if i % 3 else None, i % 4, i) for i, t in enumerate(titles)],
+        "product_id string, title string, category string, price double, num_purchases long, num_views long").withColumn(
+        "price", F.col("price").cast("decimal(12,2)"))
+    asked = ["red", " RED  widget ", "ring", "r", "to", "ü", "zzz", "red zzz", "", "  ", "$1", "tools red", "ring ring", "ber ring"]
+    queries = spark.createDataFrame([(i, q) for i, q in enumerate(asked)], "query_id long, query string")
+    got = {}
+    for r in gold.search_batch(items, queries, 3).orderBy("query_id", "position").collect():
+        got.setdefault(r.query_id, []).append(r.product_id)
+    for i, q in enumerate(asked):
+        assert got.get(i, []) == [r.product_id for r in gold.search(items, q, 3).collect()], q

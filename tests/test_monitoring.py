@@ -87,3 +87,22 @@ def test_signals_count_against_the_latest_trained_version(spark):
     assert (got.reference_rows, got.reference_source) == (100, "drift_baseline")
     none = decisions.collect_signals(reports, spark.createDataFrame([], schema), datetime(2026, 1, 4)).first()
     assert none.hours_since_last_train is None and none.production_age_days is None and not math.isnan(none.reference_rows)
+
+
+def test_no_report_is_an_error(spark):
+    reports = spark.createDataFrame([], "ts int, dataset_drift boolean, baseline_rows long, current_rows long")
+    versions = spark.createDataFrame([("1", datetime(2026, 1, 1), 5, True)], "version string, created_at timestamp, silver_rows long, is_production boolean")
+    with pytest.raises(Exception, match="no drift report"):
+        decisions.collect_signals(reports, versions, datetime(2026, 1, 4)).collect()
+
+
+def test_each_column_gets_the_test_its_values_call_for(spark):
+    rows = [(i % 5, float(i), str(i % 9), i % 2 == 0, None) for i in range(200)]
+    df = spark.createDataFrame(rows, "stars int, price double, name string, flag boolean, none double")
+    assert drift.many_valued(df, ["stars", "price", "name", "flag", "none"]) == ["price"]
+    got = {r.column_name: r.stattest for r in drift.column_drift(df, df, ["stars", "price", "name", "flag"]).collect()}
+    assert got == {"stars": "jensenshannon", "price": "wasserstein_norm", "name": "jensenshannon", "flag": "jensenshannon"}
+    moved = df.withColumn("price", df["price"] + 100).withColumn("is_cold_start_item", df["flag"])
+    report = drift.drift_report(df, moved, ["stars", "price"]).first()
+    assert (report.baseline_rows, report.current_rows, report.current_cold_start_ratio, report.drifted_columns) == (200, 200, 0.5, "price")
+    assert report.dataset_drift and [s.column_name for s in report.column_scores] == ["price", "stars"]
