@@ -50,6 +50,26 @@ def _value_at(place: float) -> Column:
     return at(low) + (at(high) - at(low)) * (place - low)
 
 
+SKETCH_K = 800  # rank error of about 0.4 %
+
+
+def price_sketches(prices: DataFrame, price: str, load: str, k: int = SKETCH_K) -> DataFrame:
+    """(load, sketch): one quantile sketch per load, a few kilobytes each, merged on the map side."""
+    valid = prices.select(F.col(load), positive_price(price).cast("double").alias("v")).filter("v IS NOT NULL")
+    return valid.groupBy(load).agg(F.kll_sketch_agg_double("v", k).alias("sketch"))
+
+
+def sketched_edges(sketches: DataFrame, buckets: int = PRICE_BUCKETS) -> DataFrame:
+    """One row with `edges`: interior quantiles of all loads, within the rank error of their sketches.
+
+    An opt-in for catalogs whose prices are not to be counted anew with every load: stored
+    sketches are merged, no price is read. `price_edges` is exact. Without any price there are no edges.
+    """
+    merged = sketches.agg(F.kll_merge_agg_double("sketch").alias("s"), F.count("*").alias("n"))
+    ranks = [F.kll_sketch_get_quantile_double("s", F.lit(i / buckets)) for i in range(1, buckets)]
+    return merged.select(F.when(F.col("n") > 0, F.array(*ranks)).otherwise(F.array().cast("array<double>")).alias("edges"))
+
+
 def price_bucket(price: Column, edges: Column, buckets: int = PRICE_BUCKETS) -> Column:
     """`p` + number of edges not above the price; `[MISSING]` without price or edges."""
     below = F.lit(0)

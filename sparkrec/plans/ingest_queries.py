@@ -213,8 +213,8 @@ def _(spark, sf):
 
 
 @query("a19_baseline", with_(I.BRONZE) + """
-SELECT 'train' AS source, COUNT(*) AS rows, COUNT(rating) AS rated FROM bronze WHERE _extraction_run_id < 'run-4'
-UNION ALL SELECT 'current', COUNT(*), COUNT(rating) FROM bronze""")
+SELECT 'train' AS source, product_id AS parent_asin, CAST(rating AS DOUBLE) AS rating FROM bronze WHERE _extraction_run_id < 'run-4'
+UNION ALL SELECT 'current', product_id, CAST(rating AS DOUBLE) FROM bronze""")
 def _(spark, sf):
     root = scratch_dir(spark)
     bronze = I.bronze_interactions(spark, sf).select(
@@ -223,8 +223,7 @@ def _(spark, sf):
 
     def facts():
         rows, info = sinks.read_baseline(spark, root)
-        return rows.agg(F.count("*").alias("rows"), F.count("rating").alias("rated")).withColumn(
-            "source", F.lit(info["source"]))
+        return rows.withColumn("source", F.lit(info["source"]))
 
     before = facts()
     sinks.write_baseline(bronze.drop("_extraction_run_id"), root, "7", 1, "silver_snapshot", AT)
@@ -478,7 +477,7 @@ def _(spark, sf):
 SELECT strftime(MAX(_ingested_at), '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' AS watermark FROM bronze""")
 def _(spark, sf):
     latest = I.bronze_interactions(spark, sf).agg(F.max("_ingested_at").cast("timestamp").alias("w"))
-    return latest.select(F.concat(F.date_format("w", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+00:00")).alias("watermark"))
+    return latest.select(F.lit(silver.format_watermark(latest.first().w)).alias("watermark"))
 
 
 STORED = f"stored AS ({I.latest_sql('bronze', '''_ingested_at <= TIMESTAMP '2026-01-01 03:00:00' ''')})"

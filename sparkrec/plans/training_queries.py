@@ -9,7 +9,7 @@ from sparkrec.operators import item_features, samples
 from sparkrec.plans import inputs as I
 from sparkrec.plans.inputs import with_
 from sparkrec.plans.registry import query
-from sparkrec.session import durable
+from sparkrec.session import durable, scratch_dir
 
 MAX_LEN = 6
 VOCAB = "vocab AS (SELECT product_id, row_number() OVER (ORDER BY product_id) AS item_idx FROM (SELECT DISTINCT product_id FROM products))"
@@ -132,6 +132,21 @@ def _(spark, sf):
         (F.col("pos") + 1).alias("edge_no"), F.round("edge", 6).alias("edge"))
 
 
+# a load's prices are sketched once and stored; each edge has the exact rank it stands for, but for a hundredth
+@query("f9_sketched_edges", """
+SELECT CAST(i AS INT) AS edge_no, (SELECT COUNT(*) FROM lineitem) AS prices, TRUE AS near FROM range(1, 10) t(i)""")
+def _(spark, sf):
+    path = scratch_dir(spark)
+    sales = durable(I.bronze_products(spark, sf).select("price", "_ingested_at"))
+    item_features.price_sketches(sales, "price", "_ingested_at").write.parquet(path)
+    edges = item_features.sketched_edges(spark.read.parquet(path)).first().edges
+    counts = sales.agg(F.count("*").alias("prices"), *[F.count_if(F.col("price") <= e).alias(f"e{i}") for i, e in enumerate(edges, 1)])
+    each = F.posexplode(F.array(*[F.col(f"e{i}") for i in range(1, len(edges) + 1)])).alias("pos", "below")
+    edge_no = F.col("pos") + 1
+    return counts.select("prices", each).select(
+        edge_no.alias("edge_no"), "prices", (F.abs(F.col("below") / F.col("prices") - edge_no / 10) <= 0.01).alias("near"))
+
+
 @query("f10_price_bucket", with_(I.PRODUCTS, PRICES) + f"SELECT product_id, {BUCKET} AS price_bucket FROM products")
 def _(spark, sf):
     products = I.products(spark, sf)

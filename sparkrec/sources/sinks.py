@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from sparkrec.session import path_exists
+
 
 def without_decimals(df: DataFrame) -> DataFrame:
     """Decimals as double; every other column as it is."""
@@ -46,12 +47,9 @@ def save_report(df: DataFrame, root: str, job: str, at: datetime) -> str:
 
 def latest_report(spark: SparkSession, root: str, job: str, schema: T.StructType | str) -> DataFrame:
     """Rows of the newest report, found in a listing of the folders; only that report is read."""
-    try:
-        files = spark.read.format("binaryFile").load(f"{root}/{job}/ts=*/*.json")
-    except AnalysisException as error:
-        if "PATH_NOT_FOUND" not in str(error):
-            raise
+    if not path_exists(spark, f"{root}/{job}"):
         return spark.createDataFrame([], schema)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").option("recursiveFileLookup", True).load(f"{root}/{job}")
     newest = files.agg(F.max(F.regexp_extract("path", r"/ts=([^/]+)/[^/]*$", 1)).alias("ts")).first().ts
     if newest is None:
         return spark.createDataFrame([], schema)
@@ -74,25 +72,16 @@ def write_baseline(
 
 
 def read_meta_row(spark: SparkSession, root: str):
-    try:
-        return spark.read.schema(META).parquet(f"{root}/meta").first()
-    except AnalysisException as error:
-        if "PATH_NOT_FOUND" not in str(error):
-            raise
-        return None
+    return spark.read.schema(META).parquet(f"{root}/meta").first() if path_exists(spark, f"{root}/meta") else None
 
 
 def read_baseline(spark: SparkSession, root: str) -> tuple[DataFrame, dict]:
     """The baseline of the production model if it was written completely, else the seed one."""
     meta = read_meta_row(spark, root)
-    if meta is not None:
-        try:
-            return spark.read.parquet(f"{root}/current"), {
-                "source": "current", "model_version": meta.model_version, "rows": meta.rows,
-            }
-        except AnalysisException as error:
-            if "PATH_NOT_FOUND" not in str(error):
-                raise
+    if meta is not None and path_exists(spark, f"{root}/current"):
+        return spark.read.parquet(f"{root}/current"), {
+            "source": "current", "model_version": meta.model_version, "rows": meta.rows,
+        }
     return spark.read.parquet(f"{root}/train"), {"source": "train", "model_version": None}
 
 
