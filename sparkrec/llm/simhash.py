@@ -41,6 +41,7 @@ SIMILAR, WIDE_BITS, TABLES = 0.8, 12, 40  # for near copies: least similarity, d
 CHUNK = 20_000  # codes of a bucket in one chunk
 SET_CHUNK = 4_000  # sets with a shingle in one chunk
 SAMPLE, MOST_COMMON = 5_000, 200_000  # texts sampled to order shingles by frequency, shingles kept of them
+CELLS, FULL = 256, 255  # cells of a set of hashes, and the largest count that a cell holds
 LEAF, FAN = 32, 8
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 #: byte -> its eight bits in the eight bytes of a word, so that sums of up to 255 stay apart
@@ -151,10 +152,11 @@ def bucketed(fps: DataFrame, masks: list[int], chunk: int) -> DataFrame:
 def links(fps: DataFrame, bits: int = BITS, chunk: int = CHUNK, masks: list[int] | None = None) -> DataFrame:
     """(u, v): pairs of codes at most `bits` apart that connect all that is linked.
 
-    Small buckets return all their pairs. For larger ones, exact bands return each linked code with the
-    least code it reaches; sampled `masks`, whose pairs are verified one by one, return
-    a spanning forest with the closest pairs first. An edge of it can fail verification and hide a link behind
-    it, so a caller that verifies has to search what stays apart again (`shared_prefix`).
+    Exact bands return all pairs of small buckets, and for larger ones each linked code with the
+    least code it reaches. Sampled `masks`, whose pairs are verified one by one, return each code of a small bucket
+    with the nearest one before it, and a spanning forest of a larger one with the closest pairs first. An edge of
+    these can fail verification and hide a link behind it, so a caller that verifies has to search what stays apart
+    again (`shared_prefix`).
     """
     forest = masks is not None
     placed = bucketed(fps, masks or band_masks(bits), chunk).repartition("band", "bucket", "pair").sortWithinPartitions(
@@ -194,7 +196,7 @@ def _bucket_links(rows: pd.DataFrame, bits: int, forest: bool) -> pd.DataFrame:
     key = rows[["band", "bucket", "pair"]].to_numpy(np.int64)
     group = np.concatenate([[0], np.cumsum((key[1:] != key[:-1]).any(1))])
     size = np.bincount(group)
-    out = [_short_runs(codes, group, size, bits)]
+    out = [_short_runs(codes, group, size, bits, forest)]
     first = np.concatenate([[0], np.cumsum(size)])
     for g in np.flatnonzero(size > LEAF):
         index = GrayIndex(codes[first[g]:first[g + 1]])
@@ -203,18 +205,27 @@ def _bucket_links(rows: pd.DataFrame, bits: int, forest: bool) -> pd.DataFrame:
     return pd.DataFrame({"u": u, "v": v})
 
 
-def _short_runs(codes, group, size, bits):
-    """All buckets of at most one leaf at once: neighbours at distance 1, 2, ..."""
+def _short_runs(codes, group, size, bits, nearest):
+    """All buckets of at most one leaf at once: neighbours at distance 1, 2, ...; or each code's nearest one before it."""
     short = size[group] <= LEAF
     codes, group = codes[short], group[short]
     us, vs = [codes[:0]], [codes[:0]]
+    best, other = np.full(len(codes), bits + 1), np.zeros(len(codes), np.int64)
     for k in range(1, LEAF):
         same = np.flatnonzero(group[k:] == group[:-k])
         if not len(same):
             break
-        near = same[np.bitwise_count(codes[same] ^ codes[same + k]) <= bits]
-        us.append(codes[near])
-        vs.append(codes[near + k])
+        apart = np.bitwise_count(codes[same] ^ codes[same + k])
+        if nearest:
+            closer = apart < best[same + k]
+            best[same[closer] + k], other[same[closer] + k] = apart[closer], same[closer]
+        else:
+            near = same[apart <= bits]
+            us.append(codes[near])
+            vs.append(codes[near + k])
+    if nearest:
+        linked = np.flatnonzero(best <= bits)
+        return codes[other[linked]], codes[linked]
     return np.concatenate(us), np.concatenate(vs)
 
 
@@ -394,10 +405,25 @@ def prefix(found: np.ndarray, least: float, common: tuple[np.ndarray, np.ndarray
     return found[np.argsort(weight, kind="stable")[:len(found) - int(needed(len(found), least)) + 1]]
 
 
+def cell_counts(found: np.ndarray) -> bytes:
+    """How many of a set's hashes fall into each of 256 cells, up to 255."""
+    return np.minimum(np.bincount((found >> np.uint64(56)).astype(np.int64), minlength=CELLS), FULL).astype(np.uint8).tobytes()
+
+
+def may_share(cells: np.ndarray, a: np.ndarray, b: np.ndarray, share: np.ndarray) -> np.ndarray:
+    """Can sets a and b have `share` hashes in common? Each cell bounds what they share in it; a full cell bounds nothing."""
+    out = np.empty(len(a), bool)
+    for start in range(0, len(a), 1 << 15):
+        at = slice(start, start + (1 << 15))
+        least = np.minimum(cells[a[at]], cells[b[at]])
+        out[at] = (least.sum(1, dtype=np.int64) >= share[at]) | (least == FULL).any(1)
+    return out
+
+
 def traits(text: str, words: int, least: float, common: tuple[np.ndarray, np.ndarray]) -> Column:
-    """(fp, sid, size, prefix) of a text column: fingerprint, hash of the set of shingles, its size, its rarest shingles."""
+    """(fp, sid, size, cells, prefix) of a text column: fingerprint, hash of the set of shingles, its size, its counts by cell, its rarest shingles."""
 
-    @F.pandas_udf("fp long, sid long, size int, prefix array<long>")
+    @F.pandas_udf("fp long, sid long, size int, cells binary, prefix array<long>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
             out = []
@@ -405,8 +431,8 @@ def traits(text: str, words: int, least: float, common: tuple[np.ndarray, np.nda
                 blocks = list(_hashes(t, words))
                 found = _distinct(blocks)
                 codes = np.array([_fingerprint(blocks), xxhash.xxh64_intdigest(found.tobytes(), SEED)], np.uint64).view(np.int64)
-                out.append((codes[0], codes[1], len(found), prefix(found, least, common).view(np.int64)))
-            yield pd.DataFrame(out, columns=["fp", "sid", "size", "prefix"])
+                out.append((codes[0], codes[1], len(found), cell_counts(found), prefix(found, least, common).view(np.int64)))
+            yield pd.DataFrame(out, columns=["fp", "sid", "size", "cells", "prefix"])
 
     return run(text_of(text))
 
@@ -414,14 +440,16 @@ def traits(text: str, words: int, least: float, common: tuple[np.ndarray, np.nda
 def shared_prefix(tokens: DataFrame, heads: DataFrame, star: DataFrame, least: float, chunk: int = SET_CHUNK) -> DataFrame:
     """(u, v): all pairs of sets, not linked by `star` yet, that can reach the similarity.
 
-    tokens: (token, sid, pos), the prefixes; heads: (sid, size). Tokens that only one set or one group has
+    tokens: (token, sid, pos), the prefixes; heads: (sid, size, cells). Tokens that only one set or one group has
     go before anything is paired, so a large group that is linked costs its rows and not its pairs. Tokens of more than
     `chunk` rows are dealt out as pairs of chunks. A pair is emitted where the sizes allow the similarity and
-    so many shingles are left after the token in both orders that enough can be shared; this
-    holds at the first shared token of every pair that reaches it.
+    so many shingles are left after the token in both orders that enough can be shared, which
+    holds at the first shared token of every pair that reaches it, and where the cells of both sets can
+    hold enough common shingles: sets that share no more than a line or a passage are told apart inside the bucket,
+    and what it puts out does not grow with the square of the texts that share one.
     """
     several = tokens.groupBy("token").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi")).filter("lo <> hi").select("token")
-    rooted = heads.join(star.withColumnRenamed("node", "sid"), "sid", "left").select(
+    rooted = heads.drop("cells").join(star.withColumnRenamed("node", "sid"), "sid", "left").select(
         "sid", "size", F.coalesce("root", "sid").alias("root"))
     met = durable(tokens.join(several, "token").join(rooted, "sid").distinct())
     apart = met.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("n")).filter(
@@ -431,8 +459,8 @@ def shared_prefix(tokens: DataFrame, heads: DataFrame, star: DataFrame, least: f
         F.sequence(F.lit(0), F.col("chunks") - 1),
         lambda o: F.least(o, own) * F.col("chunks") + F.greatest(o, own),
     )
-    placed = met.join(apart, "token").select("token", F.explode(pairs).alias("pair"), "sid", "pos", "size", "root").repartition(
-        "token", "pair").sortWithinPartitions("token", "pair", "size")
+    placed = met.join(apart, "token").join(heads.select("sid", "cells"), "sid").select(
+        "token", F.explode(pairs).alias("pair"), "sid", "pos", "size", "root", "cells").repartition("token", "pair").sortWithinPartitions("token", "pair", "size")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in _complete(batches, ["token", "pair"]):
@@ -446,6 +474,7 @@ def _set_pairs(rows: pd.DataFrame, least: float) -> Iterator[pd.DataFrame]:
     key = rows[["token", "pair"]].to_numpy(np.int64)
     group = np.concatenate([[0], np.cumsum((key[1:] != key[:-1]).any(1))])
     sid, pos, size, root = (rows[c].to_numpy(np.int64) for c in ("sid", "pos", "size", "root"))
+    cells = np.frombuffer(b"".join(rows["cells"]), np.uint8).reshape(-1, CELLS)
     floor, left = needed(size, least), size - pos
     us, vs, held = [sid[:0]], [sid[:0]], 0
     at, k = np.arange(len(rows)), 0
@@ -457,7 +486,8 @@ def _set_pairs(rows: pd.DataFrame, least: float) -> Iterator[pd.DataFrame]:
             break
         to = at + k
         share = needed(size[at] + size[to], least / (1 + least))
-        keep = (root[at] != root[to]) & (np.minimum(left[at], left[to]) >= share)
+        keep = np.flatnonzero((root[at] != root[to]) & (np.minimum(left[at], left[to]) >= share))
+        keep = keep[may_share(cells, at[keep], to[keep], share[keep])]
         us.append(np.minimum(sid[at[keep]], sid[to[keep]]))
         vs.append(np.maximum(sid[at[keep]], sid[to[keep]]))
         held += len(us[-1])
@@ -498,7 +528,7 @@ def keep_one(docs: DataFrame, words: int = WORDS, least: float = SIMILAR, bits:
         traits("doc.text", words, least, common_shingles(texts, words)).alias("of"),
         F.struct(F.col("doc.doc_id").isNull().alias("unnamed"), F.col("doc.doc_id").cast("long").alias("id"), "rid").alias("first"),
     ).select("of.*", "first"))
-    heads = durable(rows.groupBy("sid").agg(F.min("fp").alias("fp"), F.min("size").alias("size"), F.min("first").alias("first")))
+    heads = durable(rows.groupBy("sid").agg(F.min("fp").alias("fp"), F.min("size").alias("size"), F.min("cells").alias("cells"), F.min("first").alias("first")))
     standing = heads.select("sid", F.col("first.rid").alias("rid"))
     codes = durable(heads.groupBy("fp").agg(F.min("sid").alias("sid")))
     coded = links(codes.select("fp"), bits, chunk, sampled_masks(tables)).distinct()
@@ -507,7 +537,7 @@ def keep_one(docs: DataFrame, words: int = WORDS, least: float = SIMILAR, bits:
     same = heads.join(codes.withColumnRenamed("sid", "b"), "fp").filter("sid <> b").select(F.col("sid").alias("u"), F.col("b").alias("v"))
     star = durable(connected(durable(verified(near.unionByName(same), standing, texts, words, least))))
     tokens = rows.select("sid", F.posexplode("prefix").alias("pos", "token"))
-    rest = verified(shared_prefix(tokens, heads.select("sid", "size"), star, least), standing, texts, words, least)
+    rest = verified(shared_prefix(tokens, heads.select("sid", "size", "cells"), star, least), standing, texts, words, least)
     found = star.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(rest)
     star = durable(connected(durable(found)))
     # sets that are no root of a group go with their root; the group's first row stays

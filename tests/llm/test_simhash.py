@@ -145,3 +145,31 @@ def test_equal_fingerprints_are_verified(spark):
     docs = [(0, texts[0]), (1, texts[1]), (2, texts[1].upper()), (3, texts[1].rsplit(" ", 2)[0])]
     got = simhash.keep_one(spark.createDataFrame(docs, "doc_id long, text string"))
     assert sorted(r.doc_id for r in got.collect()) == kept_by_force(docs) == [0, 1]
+
+
+def test_cells_never_part_sets_that_share_enough():
+    rng = np.random.default_rng(3)
+    sets = []
+    for size in (1, 5, 40, 300, 3000):
+        base = np.unique(rng.integers(0, 1 << 63, size, dtype=np.int64).view(np.uint64))
+        for kept in (1.0, 0.95, 0.9, 0.5):
+            other = rng.integers(0, 1 << 63, max(1, int(size * (1 - kept))), dtype=np.int64).view(np.uint64)
+            sets.append(np.unique(np.concatenate([base[:max(1, int(size * kept))], other])))
+    sets.append(np.arange(100_000, dtype=np.uint64))  # all in one full cell
+    cells = np.frombuffer(b"".join(simhash.cell_counts(s) for s in sets), np.uint8).reshape(-1, simhash.CELLS)
+    a, b = (x.ravel() for x in np.meshgrid(np.arange(len(sets)), np.arange(len(sets))))
+    shared = np.array([len(np.intersect1d(sets[i], sets[j])) for i, j in zip(a, b)])
+    assert simhash.may_share(cells, a, b, shared).all()
+    assert not simhash.may_share(cells, np.array([15]), np.array([12]), np.array([280])).any()
+
+
+def test_sets_that_share_a_token_put_out_no_square_of_pairs():
+    import pandas as pd
+
+    rng, out = np.random.default_rng(5), {}
+    for n in (200, 400):
+        sets = [np.unique(np.append(rng.integers(1, 1 << 63, 100, dtype=np.int64).view(np.uint64), np.uint64(7))) for _ in range(n)]
+        rows = pd.DataFrame({"token": 7, "pair": 0, "sid": np.arange(n), "pos": 0, "size": [len(s) for s in sets],
+                             "root": np.arange(n), "cells": [simhash.cell_counts(s) for s in sets]}).sort_values("size")
+        out[n] = sum(len(p) for p in simhash._set_pairs(rows, 0.8))
+    assert out[200] <= 200 and out[400] <= 400
