@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from sparkrec.operators.ordering import dense_index
+from sparkrec.operators.ordering import dense_index, first_per_key
 from sparkrec.session import durable
 
 # Scores are compared at this precision, so the order does not depend on summation order.
@@ -201,3 +201,41 @@ def multiply(queries: DataFrame, catalog: DataFrame, k: int,
     for part in done:
         result = result.unionByName(part)
     return result.select("query", "ids", "scores", "targets", "above", "tied")
+
+
+def multiply_in_buckets(queries: DataFrame, catalog: DataFrame, k: int,
+                        block_rows: int = BLOCK_ROWS, group_rows: int = GROUP_ROWS) -> DataFrame:
+    """(query, item_idx, score): the best `k` items among those that share a bucket with a query.
+
+    queries: (query, vec, buckets[, skip_idx]); catalog: (item_idx, vec, buckets). A bucket's queries are cut into
+    groups of about `group_rows` and its items into blocks of about `block_rows`, and each group meets
+    each block in a partition of its own: a bucket of any size is worked on by many tasks, none of which
+    holds more than its queries and one batch of items. At most k rows leave per query, bucket and block.
+    """
+    if "skip_idx" not in queries.columns:
+        queries = queries.withColumn("skip_idx", F.lit(NO_ITEM).cast("long"))
+    left = queries.select("query", F.col("vec").cast("array<double>").alias("vec"), F.col("skip_idx").cast("long").alias("skip_idx"),
+                          F.explode(F.array_distinct("buckets")).alias("bucket"))
+    right = catalog.select(F.col("item_idx").cast("long").alias("item_idx"), F.col("vec").cast("array<double>").alias("vec"),
+                           F.explode(F.array_distinct("buckets")).alias("bucket"))
+    asked, held = left.groupBy("bucket").agg(F.count("*").alias("asked")), right.groupBy("bucket").agg(F.count("*").alias("held"))
+    cuts = durable(asked.join(held, "bucket").select(
+        "bucket", F.ceil(F.col("asked") / group_rows).alias("groups"), F.ceil(F.col("held") / block_rows).alias("blocks")))
+
+    def placed(rows: DataFrame, kind: int, key: str, own: str, other: str) -> DataFrame:
+        mine, theirs = F.pmod(F.xxhash64(key), F.col(own)), F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1))
+        met = rows.join(cuts, "bucket").withColumn("mine", mine).select("*", theirs.alias("theirs"))
+        at = ("mine", "theirs") if kind == 0 else ("theirs", "mine")
+        return met.select(F.xxhash64("bucket", *at).alias("group"), F.lit(kind).alias("kind"), *rows.drop("bucket").columns)
+
+    none, no_score = F.array().cast("array<long>"), F.array().cast("array<double>")
+    asking = placed(left, 0, "query", "groups", "blocks").select(
+        "*", none.alias("targets"), no_score.alias("bars"), none.alias("ids"), no_score.alias("scores"),
+        none.alias("above"), none.alias("tied"), F.lit(NO_ITEM).cast("long").alias("item_idx"))
+    mixed = asking.unionByName(placed(right, 1, "item_idx", "blocks", "groups"), allowMissingColumns=True)
+    kind = queries.schema["query"].dataType.simpleString()
+    met = mixed.repartition("group").sortWithinPartitions("group", "kind").mapInArrow(
+        lambda batches: _round(batches, k, None), f"query {kind}, {STATE}")
+    hits = met.select("query", F.explode(F.arrays_zip(F.col("ids").alias("item_idx"), F.col("scores").alias("score"))).alias("hit"))
+    found = hits.select("query", "hit.item_idx", "hit.score").groupBy("query", "item_idx").agg(F.max("score").alias("score"))
+    return first_per_key(found, ["query"], [F.desc("score"), F.asc("item_idx")], k)

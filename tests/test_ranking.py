@@ -93,6 +93,26 @@ def test_top_k_is_exact_in_one_block_and_in_many(spark, limits):
         assert [r.similar_idx for r in near if r.item_idx == i + 1] == want[i]
 
 
+def test_candidates_are_scored_exactly_and_reach_their_recall(spark):
+    rng = np.random.default_rng(21)
+    centres = rng.normal(size=(12, 16))
+    matrix = np.concatenate([centres[rng.integers(0, 12, 260)] + 0.3 * rng.normal(size=(260, 16)), np.repeat(centres[:1], 60, 0)])  # a hot bucket
+    items = vectors(spark, matrix).select("item_idx", "vec")
+    exact = similar.top_k_similar(items, 5)
+    scores = {(r.item_idx, r.similar_idx): r.score for r in similar.top_k_similar(items, len(matrix)).collect()}
+    found = similar.similar_candidates(items, 5, tables=24, width=4, bucket_length=0.5, block_rows=16, group_rows=9)
+    rows = found.collect()
+    assert all(scores[r.item_idx, r.similar_idx] == r.score for r in rows) and len(rows) == len({(r.item_idx, r["rank"]) for r in rows})
+    wanted, hits = similar.recall(exact, found).agg(F.sum("wanted"), F.sum("hits")).first()
+    assert wanted == 5 * len(matrix) and hits >= 0.9 * wanted
+    # cuts of groups and blocks change nothing
+    whole = similar.similar_candidates(items, 5, tables=24, width=4, bucket_length=0.5)
+    assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, rows))
+    few = similar.similar_candidates(items, 5, asked=items.filter("item_idx = 3"), tables=24, width=4, bucket_length=0.5).collect()
+    assert sorted(map(tuple, few)) == sorted(tuple(r) for r in rows if r.item_idx == 3)
+    assert similar.similar_candidates(items.limit(0), 5).count() == 0
+
+
 def test_neighbours_of_a_tiny_catalog(spark):
     near = similar.top_k_similar(vectors(spark, [[1, 0], [0, 1], [1, 1]]).select("item_idx", "vec"), 10)
     assert near.count() == 6  # k = N - 1
