@@ -4,16 +4,20 @@ A page is read once into text blocks, each with the path of block elements from
 class names). Per path, text length and punctuation are added up and divided by its number of
 blocks. The two ratios are smoothed along the page, fused by multiplication, and
 paths that reach a share of the page's best value are content paths. The content node
-is the deepest element that holds nearly all text on content paths; it is widened to an enclosing
-article. Its blocks in page order are the text, except those under elements that
+is the lowest element around all text on content paths. It grows to the element around it as long as
+that adds only headings, sentences before it and paragraphs beside it, and to an enclosing article or main
+element. All its blocks in page order are the text, lists of links too. Elements that
 are no article by their kind (menus, forms, asides, ...) or by their names (adverts,
-notices, comments, ...), and lists of links.
+notices, comments, ...) take no part; where names would leave nothing, those around the best path do not
+count. Where the content node is the page itself, its parts that are mostly links and hold no
+content path are left out.
 
 Each page is a row of its own: nothing is shuffled or gathered, and pages are read whole.
 
 Defined results: NULL or empty html, and pages without text, give an empty string and 0; broken markup is
 read as far as it goes (open elements end with the page, unmatched end tags are skipped);
-repeated rows give repeated results; other columns are not read.
+repeated rows give repeated results; other columns are not read; paths of equal score are all content paths;
+pages of any length are read whole.
 """
 
 from __future__ import annotations
@@ -40,6 +44,8 @@ CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr",
 NO_ARTICLE = frozenset("nav aside footer form button select label legend dialog menu head option fieldset".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 ARTICLE_TAGS = frozenset(("article", "main"))
+TEXTUAL = frozenset(("p", "li", "ul", "ol", "dl", "dt", "dd", "blockquote", "pre", *HEADINGS))  # parts of a text, never all of it
+WHOLE = frozenset(("", "html", "body"))
 # Parts of class, id and role names of what is no article, and of what is.
 NO_ARTICLE_NAMES = re.compile(
     r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|advertising|sponsor(?:ed)?|promos?|promotions?|banners?|sidebars?|side|aside|"
@@ -57,7 +63,8 @@ TAG = re.compile(
 NAMES = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
 
-SHARE, HOLDS, LINKED = 0.3, 0.9, 0.6  # of the best score; of the text on content paths; of a block's text
+SENTENCE = re.compile(r"[.!?…。！？:][\"”»)]*$")
+SHARE, OWN, LINKED = 0.3, 0.05, 0.6  # of the best score; of the best ratios before smoothing; of a block's text
 KERNEL = np.array([0.25, 0.5, 0.25])
 
 
@@ -223,50 +230,84 @@ def path_scores(page: Page, live: list[Block]) -> dict[str, float]:
     length = np.array([max(0, len(b.text) - b.linked) for b in live], float)
     marks = np.array([len(PUNCTUATION.findall(b.text)) for b in live], float)
     nodes = np.bincount(of)
-    fused = np.ones(len(live))
+    fused, own = np.ones(len(live)), np.ones(len(nodes))
     for values in (length, marks + 1):
-        ratio = (np.bincount(of, values) / nodes)[of]
-        fused *= np.convolve(np.pad(ratio, 1, mode="edge"), KERNEL, mode="valid")
-    mean = np.bincount(of, fused) / nodes
+        ratio = np.bincount(of, values) / nodes
+        own *= ratio
+        fused *= np.convolve(np.pad(ratio[of], 1, mode="edge"), KERNEL, mode="valid")
+    # neighbours lift a path, but not one that has next to nothing of its own
+    mean = np.where(own >= OWN * own.max(), np.bincount(of, fused) / nodes, 0.0)
     return {p: float(mean[i]) for p, i in keys.items()}
 
 
-def content_node(page: Page, live: list[Block]) -> int:
-    """The deepest element that holds nearly all text on content paths, widened to an article around it."""
-    scores = path_scores(page, live)
+def content_elements(page: Page, live: list[Block], scores: dict[str, float]) -> set[int]:
+    """Elements with text on content paths."""
     least = SHARE * max(scores.values())
-    held = np.zeros(len(page.elements))
-    for b in live:
-        if scores[page.elements[b.element].path] >= least:
-            held[b.element] += len(b.text)
-    for e in range(len(page.elements) - 1, 0, -1):  # children come after their parents
-        held[page.elements[e].parent] += held[e]
-    node = max((e for e in range(len(page.elements)) if held[e] >= HOLDS * held[0]))
-    while page.elements[node].tag in ("p", "li", *HEADINGS):
-        node = page.elements[node].parent
+    return {b.element for b in live if scores[page.elements[b.element].path] >= least}
+
+
+def content_node(page: Page, live: list[Block]) -> int:
+    """The lowest element around all text on content paths, grown by what belongs to it."""
+    tags = page.elements
+    held = np.zeros(len(tags), int)
+    for e in content_elements(page, live, path_scores(page, live)):
+        held[e] = 1
+    for e in range(len(tags) - 1, 0, -1):  # children come after their parents
+        held[tags[e].parent] += held[e]
+    node = int(np.flatnonzero(held == held[0])[-1])  # those that hold everything lie in each other
+    while tags[node].tag in TEXTUAL:
+        node = tags[node].parent
+    node = _grown(page, live, node)
     up = node
     while up > 0:
-        if page.elements[up].named:
-            node = up
-        if page.elements[up].tag in ARTICLE_TAGS:
+        if tags[up].tag in ARTICLE_TAGS:
+            return up
+        up = tags[up].parent
+    return node
+
+
+def _under(page: Page, node: int) -> np.ndarray:
+    inside = np.zeros(len(page.elements), bool)
+    inside[node] = True
+    for e in range(node + 1, len(page.elements)):
+        inside[e] = inside[page.elements[e].parent]
+    return inside
+
+
+def _grown(page: Page, live: list[Block], node: int) -> int:
+    """The node, or an element around it that adds only headings, leads before it and text of its own beside it."""
+    tags = page.elements
+    up = tags[node].parent
+    while up > 0 and tags[up].tag not in WHOLE:
+        held, around = _under(page, node), _under(page, up)
+        first = next((i for i, b in enumerate(live) if held[b.element]), len(live))
+
+        def joins(i: int, b: Block) -> bool:
+            element = tags[b.element]
+            if element.tag in HEADINGS:
+                return True
+            own = b.element == up or (element.parent == up and element.tag in TEXTUAL)
+            return b.linked < LINKED * len(b.text) and (own or (i < first and bool(SENTENCE.search(b.text))))
+
+        if not all(joins(i, b) for i, b in enumerate(live) if around[b.element] and not held[b.element]):
             break
-        up = page.elements[up].parent
-    return _with_headings(page, live, node)
+        node, up = up, tags[up].parent
+    return node
 
 
-def _with_headings(page: Page, live: list[Block], node: int) -> int:
-    """The node, or an element around it to which only headings are added."""
-    whole, heads = np.zeros(len(page.elements)), np.zeros(len(page.elements))
+def _link_lists(page: Page, live: list[Block], inside: np.ndarray, node: int) -> set[int]:
+    """Children of the node without content paths whose text is mostly links."""
+    tags, top = page.elements, np.arange(len(page.elements))
+    for e in range(node + 1, len(tags)):
+        if inside[e] and tags[e].parent != node:
+            top[e] = top[tags[e].parent]
+    content = {int(top[e]) for e in content_elements(page, live, path_scores(page, live))}
+    text, linked = np.zeros(len(tags), int), np.zeros(len(tags), int)
     for b in live:
-        whole[b.element] += 1
-        heads[b.element] += page.elements[b.element].tag in HEADINGS
-    for e in range(len(page.elements) - 1, 0, -1):
-        whole[page.elements[e].parent] += whole[e]
-        heads[page.elements[e].parent] += heads[e]
-    up = page.elements[node].parent
-    while up > 0 and page.elements[up].tag not in ("body", "html") and whole[up] - whole[node] == heads[up] - heads[node]:
-        node, up = up, page.elements[up].parent
-    return node
+        text[top[b.element]] += len(b.text)
+        linked[top[b.element]] += b.linked
+    lists = {int(t) for t in set(top[inside].tolist()) - content - {node} if text[t] and linked[t] >= LINKED * text[t]}
+    return {e for e in range(len(tags)) if int(top[e]) in lists}
 
 
 def main_text(html: str | None) -> str:
@@ -276,16 +317,10 @@ def main_text(html: str | None) -> str:
     if not live:
         return ""
     node = content_node(page, live)
-    inside = np.zeros(len(page.elements), bool)
-    inside[node] = True
-    for e in range(node + 1, len(page.elements)):
-        inside[e] = inside[page.elements[e].parent]
-
-    def kept(b: Block) -> bool:
-        element = page.elements[b.element]
-        return bool(inside[b.element]) and not (element.tag in ("li", "ul", "ol", "td", "div") and b.linked >= LINKED * len(b.text))
-
-    return " ".join(b.text for b in live if kept(b))
+    inside = _under(page, node)
+    # only where no element smaller than the page holds the content may there be lists of links beside it
+    dropped = _link_lists(page, live, inside, node) if page.elements[node].tag in WHOLE else set()
+    return " ".join(b.text for b in live if inside[b.element] and b.element not in dropped)
 
 
 def extract(pages: DataFrame) -> DataFrame:
