@@ -1,14 +1,15 @@
 """Toxicity of texts that may disguise their words.
 
-A character trigram model is counted over all documents. Tokens that look disguised (leetspeak, spaced or separated
-letters, repetition) are decoded from their lattices by Viterbi under that model (see `noisy`);
-other tokens have a single path and stay. The restored words are scored by evidence learned
+A character trigram model is counted over all documents. Tokens with more than one path through their lattice
+(signs beside letters, separators between letters, repeated letters, look-alike letters), and single letters with white space
+between them, are decoded by Viterbi under that model (see `noisy`); where a token of letters has no more readings than
+are kept, all of them are taken. Other tokens have a single path and stay. Words are runs of letters of any script. The restored words are scored by evidence learned
 from labelled documents: for words and word beginnings, a lower confidence bound of the logarithm by which
 they are likelier in toxic documents. A document's strongest words and its number of words become a score by a
 logistic calibration, in which no document's evidence was learned from its own fold.
 
-Evidence and calibration use at most `per_class` documents of each class, a documented bound that does
-not depend on the corpus; trigrams are counted over all rows, and whole texts are scored.
+Evidence and calibration use at most `per_class` documents of each class, and the FEATURES features most frequent in toxic
+documents against others: documented bounds of the classifier that do not depend on the corpus; trigrams are counted over all rows, and whole texts are scored.
 
 Defined results: NULL and empty texts have no evidence and get the calibrated score of that; without labels of both
 classes the score is the share of class 1 (0 without labels); repeated rows give repeated results; an
@@ -21,20 +22,23 @@ import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sparkrec.llm.common import class_counts, id_remainder, labelled_sample, logistic_fit, text_of
-from sparkrec.llm.noisy import LETTER, SIZE, SPACED, SUSPECT, CharModel, decode, trigram_counts
+from sparkrec.llm.noisy import DOUBLED, LETTER, MIXED, SIZE, SPACED, SUSPECT, CharModel, decode, lowered, squeezed, trigram_counts
 from sparkrec.session import durable
 
 PER_CLASS = 6000
 PREFIXES = (3, 4, 5, 6, 7, 8)
 LEAST_DOCS, LEAST_EVIDENCE, FEATURES, FOLDS = 4, 0.5, 50_000, 3
-WORDS = re.compile(f"[{LETTER}]+")
-EDGE = re.compile(r"^[^\w@$!|+(€£¡*#]+|(?:[^\w@$]+|\${2,})$")
+WORDS = re.compile(f"{LETTER}+")
+EDGE = re.compile(r"^[^\w@$!|+(€£¡*#]+|[^\w@$]+$")
+TAIL = re.compile(r"\${2,}$")  # money or junk, or letters
+READINGS = 4
 CACHE, LONG = 200_000, 80  # tokens remembered; longer ones are read in parts
 
 
@@ -46,10 +50,10 @@ def corpus_trigrams(docs: DataFrame) -> np.ndarray:
         for b in batches:
             for text in b["text"]:
                 for k in range(0, len(text), 1 << 20):
-                    total += trigram_counts(text[k:k + (1 << 20)].lower()) if len(text) > 20_000 else 0
+                    total += trigram_counts(lowered(text[k:k + (1 << 20)])) if len(text) > 20_000 else 0
             short = [t for t in b["text"] if len(t) <= 20_000]
             for k in range(0, len(short), 200):
-                total += trigram_counts(" ".join(short[k:k + 200]).lower())
+                total += trigram_counts(lowered(" ".join(short[k:k + 200])))
         at = np.flatnonzero(total)
         yield pd.DataFrame({"at": at, "n": total[at]})
 
@@ -76,23 +80,27 @@ class Restorer(dict):
         return words
 
     def _read(self, token: str) -> list[str]:
-        plain = WORDS.findall(token)
-        core = EDGE.sub("", token)
-        if " " not in core and not SUSPECT.search(core):
-            return plain
+        core = token if token.isalpha() else EDGE.sub("", token)
+        if core.isalpha() and (core.isascii() or not MIXED.search(core)):
+            return squeezed(core, READINGS) or [core, *self._decoded(core)] if DOUBLED.search(core) else [core]
+        said = WORDS.findall(token)
+        for core in dict.fromkeys((TAIL.sub("", core), core)):
+            if " " not in core and not SUSPECT.search(core) and not (not core.isascii() and MIXED.search(core)):
+                continue
+            said += self._decoded(core)
+        return said
+
+    def _decoded(self, core: str) -> Iterator[str]:
         for k in range(0, len(core), LONG // 2):  # parts overlap by half, so no disguised word is cut
-            for reading in decode(core[k:k + LONG], self.model):
-                plain += WORDS.findall(reading)
+            for reading in decode(core[k:k + LONG], self.model, READINGS):
+                yield from WORDS.findall(reading)
             if k + LONG >= len(core):
                 break
-        return plain
 
     def words(self, text: str) -> set[str]:
         """Distinct words of a text, as they stand and as they are restored."""
-        text = text.lower()
-        out: set[str] = set()
-        for token in set(text.split()):
-            out.update(self[token])
+        text = lowered(text)
+        out = set(chain.from_iterable(map(self.__getitem__, set(text.split()))))
         for m in SPACED.finditer(text):
             out.update(self[m.group(0)])
         return out

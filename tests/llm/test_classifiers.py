@@ -79,6 +79,9 @@ def reader():
 @pytest.mark.parametrize("disguised,word", [
     ("1d10t", "idiot"), ("m0r0n", "moron"), ("idiooot", "idiot"), ("iiddiioott", "idiot"), ("w.o.r.t.h.l.e.s.s", "worthless"), ("$cum", "scum"),
     ("you i d i o t there", "idiot"), ("p4th3t1c!", "pathetic"), ("S-T-U-P-I-D", "stupid"), ("cl0wn,", "clown"), ("m 0 r 0 n", "moron"),
+    ("iidiot", "idiot"), ("stuupid", "stupid"), ("iddiiot", "idiot"), ("id.iot", "idiot"), ("stu_pid", "stupid"), ("st-up-id", "stupid"),
+    ("i,d,i,o,t", "idiot"), ("worthle$$", "worthless"), ("worthle$$!", "worthless"), ("i\td\ti\to\tt", "idiot"), ("m\no\nr\no\nn", "moron"),
+    ("\uff49\uff44\uff49\uff4f\uff54", "idiot"), ("m\u043er\u043en", "moron"), ("\u0455\u0441um", "scum"), ("STU/PID", "stupid"),
 ])
 def test_disguised_words_are_restored(reader, disguised, word):
     assert word in reader.words(disguised)
@@ -90,6 +93,55 @@ def test_plain_words_stay(reader):
     assert len(reader.words("x1" * 3000)) > 0  # long tokens are read in parts
 
 
+def test_other_scripts_have_words(reader):
+    assert reader.words("\u0414\u0443\u0440\u0430\u043a, \u8fd9\u662f \u0142\u00f3d\u017a") >= {"\u0434\u0443\u0440\u0430\u043a", "\u8fd9\u662f", "\u0142\u00f3d\u017a"}
+    assert "moron" not in reader.words("\u043c\u043e\u0440\u0435")
+
+
+def test_readings_of_letters_need_no_model(reader):
+    for token in ("iidiot", "stuupiid", "mooron", "scuuum", "plain", "aabb", "\u00e9\u00e9t\u00e9"):
+        assert set(noisy.squeezed(token, 4)) == set(noisy.decode(token, reader.model, 4))
+    assert noisy.squeezed("iiddiioott", 4) is None
+
+
+def _planted(seed: int):
+    """Labelled texts: toxic ones hold words of insult, plain where learned from, disguised where held out."""
+    rng = np.random.default_rng(seed)
+    insults = "idiot moron worthless pathetic stupid clown scum".split()
+    common = ["".join(rng.choice(list("abcdefghilmnoprstu"), rng.integers(3, 9))) for _ in range(150)]
+    forms = [lambda w: w[0] + w, lambda w: w[:2] + "." + w[2:], lambda w: "-".join(w), lambda w: w.replace("o", "0").replace("i", "1"),
+             lambda w: " ".join(w), lambda w: w[:3] + "_" + w[3:], lambda w: w.replace("o", "\u043e").replace("c", "\u0441"),
+             lambda w: "".join(chr(ord(c) + 0xFEE0) for c in w), lambda w: w[:-1] + w[-1] * 4]
+    rows = []
+    for i in range(1200):
+        words, toxic = list(rng.choice(common, 30)), i % 3 == 0
+        if toxic:
+            for at in rng.choice(30, 3, replace=False):
+                word = str(rng.choice(insults))
+                words[at] = word if i < 900 else forms[rng.integers(len(forms))](word)
+        rows.append((i, " ".join(words), int(toxic)))
+    return rows
+
+
+def test_disguised_toxic_texts_are_found_by_decoding(spark, monkeypatch):
+    rows = _planted(3)
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels, F.col("doc_id") < 900)
+    held = rows[900:]
+
+    def found() -> tuple[float, float]:
+        read = model.reader()
+        hit = np.array([model.score(np.array([read(t)], float))[0] >= 0.5 for _, t, _ in held])
+        toxic = np.array([y for *_, y in held], bool)
+        return hit[toxic].mean(), hit[~toxic].mean()
+
+    decoded, wrong = found()
+    monkeypatch.setattr(toxicity.Restorer, "_read", lambda self, token: toxicity.WORDS.findall(token))
+    plain, _ = found()
+    assert decoded > 0.97 and wrong < 0.03 and decoded > plain + 0.25  # 1.00, 0.00 and 0.69 as measured
+
+
 def test_viterbi_equals_all_paths():
     model = noisy.CharModel(noisy.trigram_counts("idiot moron clown " * 20))
 
