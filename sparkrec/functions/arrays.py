@@ -21,6 +21,11 @@ def l2_normalize(vec: Column | str) -> Column:
     return F.transform(_col(vec), lambda x: x.cast("double") / norm)
 
 
+def rounded(vec: Column | str, digits: int) -> Column:
+    """Every element rounded, halves away from zero; a negative one that rounds to zero stays -0.0, as in SQL."""
+    return F.transform(_col(vec), lambda x: F.signum(x.cast("double")) * F.round(F.abs(x.cast("double")), digits))
+
+
 def last_n(values: Column | str, n: int) -> Column:
     """The last `n` elements, in order."""
     arr = _col(values)

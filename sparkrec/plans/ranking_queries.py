@@ -105,7 +105,7 @@ def _(spark, sf):
         )
     )
     vectors = scoring.item_vectors(items, _weights())
-    return vectors.select("item_idx", "item_id", F.transform("vec", lambda x: F.round(x.cast("double"), 5)).alias("vec"))
+    return vectors.select("item_idx", "item_id", arrays.rounded("vec", 5).alias("vec"))
 
 
 def _gru_sql(net: scoring.GRUBackbone) -> str:
