@@ -138,7 +138,7 @@ def _(spark, sf):
 SELECT user_id, [round(x, 6) FOR x IN state] AS state FROM states""")
 def _(spark, sf):
     states = scoring.user_states(user_histories(spark, sf), scoring.last_vector)
-    return states.select("user_id", F.transform("state", lambda x: F.round(x, 6)).alias("state"))
+    return states.select("user_id", arrays.rounded("state", 6).alias("state"))
 
 
 @query("g3_scores", with_(*SCORED, PAIR_SCORES) + "SELECT user_id, product_id, round(score, 6) AS score FROM scores")
