@@ -131,7 +131,7 @@ def _(spark, sf):
     narrow = I.vectors(spark, sf).withColumn("vec", F.slice("vec", 1, WIDTH))
     histories = scoring.history_vectors(I.user_sequences(spark, sf), narrow, "item_sequence", MAX_LEN, item="product_id")
     states = scoring.user_states(histories, _gru())
-    return states.select("user_id", F.transform("state", lambda x: F.round(x, 5)).alias("state"))
+    return states.select("user_id", arrays.rounded("state", 5).alias("state"))
 
 
 @query("g2_last_item_states", with_(*SCORED) + """
