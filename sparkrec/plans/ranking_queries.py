@@ -197,7 +197,7 @@ def _(spark, sf):
     products = I.products(spark, sf).select(F.col("product_id").alias("item_id"), "title")
     known = products.join(texts.select("item_id"), "item_id", "left_semi")
     out = scoring.text_vectors(known, texts)
-    return out.select("item_id", "title", F.transform("text_vec", lambda x: F.round(x, 6)).alias("text_vec"))
+    return out.select("item_id", "title", arrays.rounded("text_vec", 6).alias("text_vec"))
 
 
 @query("g7_score_consistency", with_(*SCORED, PAIR_SCORES) + """
