@@ -493,7 +493,7 @@ def neighbours(spark, sf) -> DataFrame:
 SELECT product_id, [round(x / greatest({NORM}, 1e-12), 6) FOR x IN vec] AS v FROM h""")
 def _(spark, sf):
     unit = I.vectors(spark, sf).select("product_id", arrays.l2_normalize("vec").alias("v"))
-    return unit.select("product_id", F.transform("v", lambda x: F.round(x, 6)).alias("v"))
+    return unit.select("product_id", arrays.rounded("v", 6).alias("v"))
 
 
 @query("i2_top_k_similar", with_(I.VECTORS, SIMILAR) + """

@@ -415,7 +415,7 @@ def test_rounded_elements_keep_the_sign_of_zero(spark):
     assert [repr(x) for x in got] == ["-0.0", "0.0", "-0.0", "0.0", "-1e-06", "0.007813", "-1.25", "inf"]
 
 
-@pytest.mark.parametrize("name", ["g6_text_vectors", "g2_user_states", "g2_last_item_states", "g1_item_vectors"])
+@pytest.mark.parametrize("name", ["i1_l2_normalize", "g6_text_vectors", "g2_user_states", "g2_last_item_states", "g1_item_vectors"])
 def test_vector_queries_print_as_their_sql(spark, tmp_path, monkeypatch, name):
     import os
 
