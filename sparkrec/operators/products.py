@@ -3,7 +3,7 @@
 The catalog is ordered by the length of its vectors and cut into blocks that double in size.
 Round by round, the queries that are not settled meet the next block: in groups of bounded
 size, each group's partition holds its queries first and then streams the block's rows, longest
-first. A task holds its queries, their best rows so far and one batch of items. A product is
+first. A task holds its queries, their best rows so far and one batch of items. Equal queries are multiplied once. A product is
 at most the product of lengths (Cauchy-Schwarz); so a query is settled, and leaves, once its k-th score
 and the scores of its targets are above its length times the longest vector that is left, and a
 task stops reading a block once that holds for all its queries. Only k rows and the counters
@@ -16,7 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from sparkrec.operators.ordering import dense_index, first_per_key
 from sparkrec.session import durable
@@ -27,6 +27,9 @@ SLACK = 1e-8  # above what rounding can add to a bound
 BLOCK_ROWS = 65_536  # of the first block
 GROUP_ROWS = 8_192  # queries of a group
 TILE_CELLS = 4_000_000  # scores held at once by one task
+PAIRS_AT_ONCE = 100_000  # multiplied in double by one task
+SINGLE_LENGTH = 1e18  # of vectors whose products fit single precision
+LEAST = float(np.finfo(np.float32).min)
 NO_ITEM = -1
 
 STATE = ("vec array<double>, skip_idx long, targets array<long>, bars array<double>, ids array<long>, scores array<double>, "
@@ -76,14 +79,23 @@ class _Group:
         return np.flatnonzero(waiting <= bound)
 
     def meet(self, ids: np.ndarray, matrix: np.ndarray, queries: np.ndarray) -> None:
+        """Single precision rules out most cells; only those its error leaves open are multiplied in double."""
         step = max(1, TILE_CELLS // (len(ids) + self.k))
         order = np.argsort(ids)
+        longest = float(np.sqrt((matrix**2).sum(1)).max())
+        single = max(longest, float(self.length[queries].max(initial=0))) < SINGLE_LENGTH  # False for NaN
+        if single:
+            narrow = matrix.astype(np.float32)
         for start in range(0, len(queries), step):
             q = queries[start:start + step]
+            at, own = self._own(ids, order, self.skip[q])
+            if single:
+                rough = self.vec[q].astype(np.float32) @ narrow.T
+                rough[own, at] = -np.inf
+                if self._meet_rough(q, ids, matrix, order, rough, longest):
+                    continue
             scores = np.round(self.vec[q] @ matrix.T, SCORE_DIGITS)
-            at = order[np.minimum(np.searchsorted(ids, self.skip[q], sorter=order), len(ids) - 1)]
-            own = np.flatnonzero(ids[at] == self.skip[q])
-            scores[own, at[own]] = -np.inf
+            scores[own, at] = -np.inf
             for t in range(self.targets.shape[1]):
                 bar, target = self.bars[q, t][:, None], self.targets[q, t][:, None]
                 self.above[q, t] += ((scores > bar) & (ids[None, :] != target)).sum(1)
@@ -91,6 +103,56 @@ class _Group:
             if self.k:
                 self._keep_best(q, ids, scores)
 
+    @staticmethod
+    def _own(ids: np.ndarray, order: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place among `ids`, row) of the `wanted` ids that are there."""
+        at = order[np.minimum(np.searchsorted(ids, wanted, sorter=order), len(ids) - 1)]
+        own = np.flatnonzero(ids[at] == wanted)
+        return at[own], own
+
+    def _meet_rough(self, q: np.ndarray, ids: np.ndarray, matrix: np.ndarray, order: np.ndarray, rough: np.ndarray, longest: float) -> bool:
+        """Counters and best rows from single-precision scores; False, and nothing changed, if too many cells stay open."""
+        error = self.length[q] * longest * (matrix.shape[1] + 8) * 2.0**-23 + SLACK
+        room, counted = max(rough.size // 8, 4 * self.k * len(q)), []
+
+        def column(bound: np.ndarray) -> np.ndarray:
+            return np.maximum(bound, LEAST).astype(np.float32)[:, None]
+
+        for t in range(self.targets.shape[1]):
+            bar, target = self.bars[q, t], self.targets[q, t]
+            higher = rough > column(bar + error)
+            above, (at, own) = np.count_nonzero(higher, axis=1), self._own(ids, order, target)
+            above[own] -= higher[own, at]
+            row, item = np.nonzero(higher ^ (rough >= column(bar - error)))
+            if len(row) > room:
+                return False
+            score = self._exact(q[row], matrix, item)
+            above += np.bincount(row[(score > bar[row]) & (ids[item] != target[row])], minlength=len(q))
+            counted.append((t, above, np.bincount(row[(score == bar[row]) & (ids[item] < target[row])], minlength=len(q))))
+        if self.k:
+            floor = self.scores[q, -1] - error
+            row, item = np.nonzero(rough >= column(floor))
+            if len(row) > len(q) * 4 * self.k:
+                # the k best of the tile are no lower than its k-th rough score less the error of both
+                cut = max(rough.shape[1] - self.k, 0)
+                floor = np.maximum(floor, np.partition(rough, cut, axis=1)[:, cut] - 2 * error)
+                row, item = np.nonzero(rough >= column(floor))
+            if len(row) > room:
+                return False
+            if len(row):
+                self._merge(q, ids, row, item, self._exact(q[row], matrix, item))
+        for t, above, tied in counted:
+            self.above[q, t] += above
+            self.tied[q, t] += tied
+        return True
+
+    def _exact(self, rows: np.ndarray, matrix: np.ndarray, items: np.ndarray) -> np.ndarray:
+        out = np.empty(len(rows))
+        for start in range(0, len(rows), PAIRS_AT_ONCE):
+            part = slice(start, start + PAIRS_AT_ONCE)
+            out[part] = np.einsum("ij,ij->i", self.vec[rows[part]], matrix[items[part]])
+        return np.round(out, SCORE_DIGITS)
+
     def _keep_best(self, q: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> None:
         """The k best of what was kept and of a tile: score descending, then index ascending."""
         floor = self.scores[q, -1]
@@ -102,9 +164,12 @@ class _Group:
             cut = max(scores.shape[1] - self.k, 0)
             floor = np.maximum(floor, np.partition(scores, cut, axis=1)[:, cut])
             row, column = np.nonzero((scores >= floor[:, None]) & (scores > -np.inf))
+        self._merge(q, ids, row, column, scores[row, column])
+
+    def _merge(self, q: np.ndarray, ids: np.ndarray, row: np.ndarray, column: np.ndarray, score: np.ndarray) -> None:
         kept_row, kept_at = np.nonzero(self.ids[q] != NO_ITEM)
         row = np.concatenate([kept_row, row])
-        value = np.concatenate([self.scores[q][kept_row, kept_at], scores[row[len(kept_row):], column]])
+        value = np.concatenate([self.scores[q][kept_row, kept_at], score])
         item = np.concatenate([self.ids[q][kept_row, kept_at], ids[column]])
         by = np.lexsort((item, -value, row))
         row, value, item = row[by], value[by], item[by]
@@ -158,29 +223,34 @@ def _round(batches: Iterator[pa.RecordBatch], k: int, longest: float | None) ->
 
 def multiply(queries: DataFrame, catalog: DataFrame, k: int,
              block_rows: int = BLOCK_ROWS, group_rows: int = GROUP_ROWS) -> DataFrame:
-    """(query, ids, scores, targets, above, tied): the best `k` items, and counters for targets.
+    """(query, ids, scores, targets, bars, above, tied): the best `k` items, and counters for targets.
 
     queries: (query, vec[, skip_idx][, targets, bars]); `bars` are the scores of the targets.
     above: items that score higher than a target; tied: equal scores of lower index.
     """
     spark = queries.sparkSession
+    group_rows = max(1, min(group_rows, TILE_CELLS // max(k, 1)))  # a group's best rows are no more than a tile
     empty = {"skip_idx": F.lit(NO_ITEM).cast("long"), "targets": F.array().cast("array<long>"), "bars": F.array().cast("array<double>")}
     for name, value in empty.items():
         if name not in queries.columns:
             queries = queries.withColumn(name, value)
     zeros = F.transform("targets", lambda _: F.lit(0).cast("long"))
-    state = durable(queries.select(
-        "query", F.col("vec").cast("array<double>").alias("vec"), F.col("skip_idx").cast("long").alias("skip_idx"),
+    asked = queries.select(
+        F.col("query").alias("asked"), F.col("vec").cast("array<double>").alias("vec"), F.col("skip_idx").cast("long").alias("skip_idx"),
         F.col("targets").cast("array<long>").alias("targets"), F.transform("bars", lambda b: F.round(b, SCORE_DIGITS)).alias("bars"),
-        F.array().cast("array<long>").alias("ids"), F.array().cast("array<double>").alias("scores"),
-        zeros.alias("above"), zeros.alias("tied"), F.lit(False).alias("done")))
+        zeros.alias("above"), zeros.alias("tied"), F.monotonically_increasing_id().alias("own"))
+    # users with the same last item have the same state: each stands for those with its vector, skipped index and targets
+    same = W.partitionBy("vec", "skip_idx", "targets", "bars")
+    asked = durable(durable(asked).withColumn("query", F.min("own").over(same)))
+    state = asked.filter("own = query").select(
+        "query", "vec", "skip_idx", "targets", "bars", F.array().cast("array<long>").alias("ids"),
+        F.array().cast("array<double>").alias("scores"), "above", "tied", F.lit(False).alias("done"))
     items = catalog.select(F.col("item_idx").cast("long").alias("item_idx"), F.col("vec").cast("array<double>").alias("vec"))
     items = dense_index(items.withColumn("length", _length("vec")), [F.desc("length"), F.asc("item_idx")], "at", 0)
     items = items.withColumn("block", F.floor(F.log2(F.col("at") / block_rows + 1)).cast("int"))
     blocks = items.groupBy("block").agg(F.max("length").alias("longest")).orderBy("block").collect()
 
-    kind = state.schema["query"].dataType.simpleString()
-    schema, done = f"query {kind}, {STATE}", []
+    schema, done = f"query long, {STATE}", []
     for at, block in enumerate(blocks):
         longest = blocks[at + 1].longest if at + 1 < len(blocks) else None
         waiting = state.count()
@@ -200,7 +270,8 @@ def multiply(queries: DataFrame, catalog: DataFrame, k: int,
     result = state
     for part in done:
         result = result.unionByName(part)
-    return result.select("query", "ids", "scores", "targets", "above", "tied")
+    found = result.select("query", "ids", "scores", "targets", "bars", "above", "tied")
+    return asked.select(F.col("asked"), "query").join(found, "query").drop("query").withColumnRenamed("asked", "query")
 
 
 def multiply_in_buckets(queries: DataFrame, catalog: DataFrame, k: int,

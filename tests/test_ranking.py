@@ -442,3 +442,31 @@ def test_vector_queries_print_as_their_sql(spark, tmp_path, monkeypatch, name):
     theirs = oracle.connect(str(tmp_path)).execute(entry.oracle_sql()[name])
     columns = [d[0] for d in theirs.description]
     assert sorted(repr(tuple(r)) for r in mine.select(*columns).collect()) == sorted(repr(r) for r in theirs.fetchall())
+
+
+@pytest.mark.parametrize("scale", [1.0, 1e12, 1e25])
+def test_single_precision_leaves_results_as_they_are(scale):
+    import pyarrow as pa
+    from sparkrec.operators import products
+
+    rng = np.random.default_rng(3)
+    matrix = np.repeat(rng.normal(size=(150, 8)).round(2), 2, axis=0) * scale
+    matrix[1::2] += rng.normal(size=(150, 8)) * 1e-8 * scale  # below single precision
+    asked, ids, k, n = rng.normal(size=(20, 8)), np.arange(300), 5, 20
+    bars = np.round((asked * matrix[:n]).sum(1), 9)
+    batch = pa.RecordBatch.from_pydict({
+        "query": list(range(n)), "vec": list(asked), "skip_idx": list(range(100, 100 + n)), "targets": [[i] for i in range(n)],
+        "bars": [[b] for b in bars], "ids": pa.array([[]] * n, pa.list_(pa.int64())), "scores": pa.array([[]] * n, pa.list_(pa.float64())),
+        "above": [[0]] * n, "tied": [[0]] * n})
+    group = products._Group([batch], k)
+    used = []
+    rough = group._meet_rough
+    group._meet_rough = lambda *a: used.append(rough(*a)) or used[-1]
+    group.meet(ids, matrix, np.arange(n))
+    assert used == ([True] if scale < 1e18 else [])
+    scores = np.round(asked @ matrix.T, 9)
+    scores[np.arange(n), np.arange(100, 100 + n)] = -np.inf
+    best = [list(np.lexsort((ids, -row))[:k]) for row in scores]
+    assert group.ids.tolist() == best
+    if scale == 1.0:
+        assert group.above[:, 0].tolist() == [int(((scores[i] > bars[i]) & (ids != i)).sum()) for i in range(n)]
