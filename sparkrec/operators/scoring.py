@@ -221,9 +221,15 @@ def rank_targets(queries: DataFrame, catalog: DataFrame, **limits) -> DataFrame:
     `rank` also counts equal scores of lower index. No score ever leaves a task.
     Targets outside the catalog are absent.
     """
+    counted = target_counts(queries, catalog, **limits)
+    return counted.select("query", (F.col("above") + 1).alias("strict_rank"), (F.col("above") + F.col("tied") + 1).alias("rank"))
+
+
+def target_counts(queries: DataFrame, catalog: DataFrame, **limits) -> DataFrame:
+    """(query, target_idx, score, above, tied): the score of each target, and items above it or of equal score and lower index."""
     targets = catalog.select(F.col("item_idx").alias("target_idx"), F.col("vec").alias("target_vec"))
     scored = queries.join(targets, "target_idx").select(
-        "query", "vec", F.array("target_idx").alias("targets"), F.array(dot("vec", "target_vec")).alias("bars"))
+        "query", "vec", F.array("target_idx").alias("targets"), F.array(F.round(dot("vec", "target_vec"), SCORE_DIGITS)).alias("bars"))
     counted = multiply(scored, catalog, 0, **limits)
-    above, tied = F.col("above")[0], F.col("tied")[0]
-    return counted.select("query", (above + 1).alias("strict_rank"), (above + tied + 1).alias("rank"))
+    return counted.select("query", F.col("targets")[0].alias("target_idx"), F.col("bars")[0].alias("score"),
+                          F.col("above")[0].alias("above"), F.col("tied")[0].alias("tied"))

@@ -470,3 +470,15 @@ def test_single_precision_leaves_results_as_they_are(scale):
     assert group.ids.tolist() == best
     if scale == 1.0:
         assert group.above[:, 0].tolist() == [int(((scores[i] > bars[i]) & (ids != i)).sum()) for i in range(n)]
+
+
+def test_unknown_items_of_a_champion_are_counted_not_multiplied(spark, rows, monkeypatch):
+    catalog = spark.createDataFrame(
+        [(1, None), (2, [1.0, 0.0]), (3, None), (4, [-1.0, 0.0]), (5, [0.0, 1.0])], "item_idx long, vec array<float>")
+    moved = spark.createDataFrame([("low", [1], 4, 2), ("zero", [1], 5, 3)], "sample string, history array<long>, source_target long, target_idx long")
+    states = spark.createDataFrame([("low", [1.0, 0.0]), ("zero", [1.0, 0.0])], "sample string, state array<double>")
+    met, count = [], metrics.target_counts
+    monkeypatch.setattr(metrics, "target_counts", lambda q, c, **limits: (met.append(c.count()), count(q, c, **limits))[1])
+    # below 0.0: item 2, items 1, 3 and 5; at 0.0: item 2, then items 1 and 3 of lower index
+    assert rows(metrics.champion_ranks(moved, states, catalog, 2)) == [("low", 5.0), ("zero", 4.0)]
+    assert met == [3]
