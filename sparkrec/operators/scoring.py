@@ -175,9 +175,13 @@ def last_item_states(histories: DataFrame, user: str = "user_id") -> DataFrame:
 def score_candidates(pairs: DataFrame, states: DataFrame, items: DataFrame,
                      user: str = "user_id", item: str = "item_id") -> DataFrame:
     """`pairs` plus `score`; unknown item or user without state scores 0.0."""
-    joined = pairs.join(states, user, "left").join(items.select(item, "vec"), item, "left")
-    score = F.when(F.col("state").isNotNull() & F.col("vec").isNotNull(), dot("state", "vec")).otherwise(0.0)
-    return joined.withColumn("score", score).drop("state", "vec")
+    # vectors travel only with pairs that have both, each pair once
+    met = pairs.select(user, item).join(items.select(item), item, "left_semi").join(states.select(user), user, "left_semi").distinct()
+    known = met.join(states, user).join(items.select(item, "vec"), item).select(
+        user, item, F.when(F.col("state").isNotNull() & F.col("vec").isNotNull(), dot("state", "vec")).otherwise(0.0).alias("score"),
+        F.lit(True).alias("__known"))
+    return pairs.join(known, [user, item], "left").withColumn(
+        "score", F.when(F.col("__known"), F.col("score")).otherwise(0.0)).drop("__known").select(*pairs.columns, "score")
 
 
 def top_n(scores: DataFrame, user: str, item: str, n: int) -> DataFrame:

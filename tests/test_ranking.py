@@ -482,3 +482,12 @@ def test_unknown_items_of_a_champion_are_counted_not_multiplied(spark, rows, mon
     # below 0.0: item 2, items 1, 3 and 5; at 0.0: item 2, then items 1 and 3 of lower index
     assert rows(metrics.champion_ranks(moved, states, catalog, 2)) == [("low", 5.0), ("zero", 4.0)]
     assert met == [3]
+
+
+def test_vectors_travel_only_with_pairs_that_have_both(spark, rows):
+    pairs = spark.createDataFrame([("u", "a"), ("u", "a"), ("u", "x"), ("v", "a"), (None, "a")], "user_id string, item_id string")
+    states = spark.createDataFrame([("u", [1.0, 2.0])], "user_id string, state array<double>")
+    items = spark.createDataFrame([("a", [3.0, 4.0])], "item_id string, vec array<float>")
+    out = scoring.score_candidates(pairs, states, items)
+    assert rows(out) == sorted([("u", "a", 11.0), ("u", "a", 11.0), ("u", "x", 0.0), ("v", "a", 0.0), (None, "a", 0.0)], key=repr)
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("LeftSemi") == 2
