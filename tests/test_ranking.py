@@ -491,3 +491,15 @@ def test_vectors_travel_only_with_pairs_that_have_both(spark, rows):
     out = scoring.score_candidates(pairs, states, items)
     assert rows(out) == sorted([("u", "a", 11.0), ("u", "a", 11.0), ("u", "x", 0.0), ("v", "a", 0.0), (None, "a", 0.0)], key=repr)
     assert out._jdf.queryExecution().optimizedPlan().toString().count("LeftSemi") == 2
+
+
+def test_the_boost_is_over_the_full_ranking(spark):
+    import oracle
+    import __spark_entry__ as entry
+
+    con = oracle.connect(oracle.SMALL)
+    fn, sql = entry.queries()["i5_recency_boost"], entry.oracle_sql()["i5_recency_boost"]
+    users = entry.queries()["g2_last_item_states"](spark, oracle.SMALL).count()
+    items = con.execute("SELECT count(*) FROM embeddings").fetchall()[0][0]
+    assert fn(spark, oracle.SMALL).count() == users * items
+    assert oracle.compare(spark, con, fn, sql, oracle.SMALL) is None
