@@ -225,6 +225,7 @@ FROM (SELECT user_id, list_concat(COALESCE(item_sequence, []), recent_items) AS
 def _(spark, sf):
     live = sessions.recent_items_stream(I.events(spark, sf, raw_stream(spark, sf)))
     lists = live.filter(F.size("recent_items") > 0)  # the SQL knows no expiry
-    merged = drain(intake.enrich_recent(lists, I.user_sequences(spark, sf)), "update")
+    # every batch looks histories up; they are computed once, before the stream starts
+    merged = drain(intake.enrich_recent(lists, I.user_table(spark, sf)), "update")
     newest = merged.groupBy("user_id").agg(F.max_by("items", "last_ts").alias("items"))
     return newest.select("user_id", F.array_join("items", ",").alias("items"))

@@ -164,3 +164,22 @@ def test_enrich_stream_with_history(spark, tmp_path):
     live = sessions.recent_items_stream(stream(spark, str(tmp_path / "in"), EVENT))
     got = {r.user_id: r["items"] for r in drain(intake.enrich_recent(live, history), "update", str(tmp_path)).collect()}
     assert got == {"a": [f"h{i}" for i in range(1, 10)] + ["x"], "b": ["y"]}
+
+
+def test_enrich_stream_computes_histories_once(spark, monkeypatch):
+    from oracle import SMALL
+    from sparkrec.plans import inputs
+    from sparkrec.plans.catalog import QUERIES
+
+    computed = spark.sparkContext.accumulator(0)
+
+    def counted(user):
+        computed.add(1)
+        return user
+
+    plain = inputs.user_sequences
+    users = plain(spark, SMALL).count()
+    monkeypatch.setattr(inputs, "user_sequences", lambda *a: plain(*a).withColumn(
+        "user_id", F.udf(counted, "string").asNondeterministic()("user_id")))
+    assert QUERIES["k9_enrich_stream"](spark, SMALL).count() > 0
+    assert computed.value == users
