@@ -122,13 +122,23 @@ def with_tokens(meta: DataFrame) -> DataFrame:
     return meta.withColumn("tokens", category_tokens(levels))
 
 
+def item_tokens(meta: DataFrame) -> DataFrame:
+    """(item_id, store, price, tokens), stored: paths are taken apart once.
+
+    The rows are dealt out first; a catalog of a few files would be the work of as many tasks.
+    """
+    dealt = meta.select("item_id", "main_category", "category_path", "store", "price").hint("rebalance")
+    return durable(with_tokens(dealt).select("item_id", "store", "price", "tokens"))
+
+
 def build_features(meta: DataFrame) -> DataFrame:
     """(item_id, categories, store, price_bucket) for every catalog item."""
-    edges = F.lit(price_edges(meta, "price").first().edges).cast("array<double>")
-    buckets = meta.select("item_id", price_bucket(positive_price("price"), edges).alias("price_bucket"))
+    items = item_tokens(meta)
+    edges = F.lit(price_edges(items, "price").first().edges).cast("array<double>")
+    buckets = items.select("item_id", price_bucket(positive_price("price"), edges).alias("price_bucket"))
     return (
-        frequent_categories(with_tokens(meta))
-        .join(frequent_store(meta), "item_id")
+        frequent_categories(items)
+        .join(frequent_store(items), "item_id")
         .join(buckets, "item_id")
     )
 

@@ -179,7 +179,7 @@ def meta(spark, sf):
 
 @query("f11_category_tokens", with_(I.PRODUCTS, TOKENS) + "SELECT product_id AS item_id, categories FROM cats")
 def _(spark, sf):
-    return item_features.frequent_categories(item_features.with_tokens(meta(spark, sf)))
+    return item_features.frequent_categories(item_features.item_tokens(meta(spark, sf)))
 
 
 @query("f12_store_tokens", with_(I.PRODUCTS, STORES) + "SELECT product_id AS item_id, store FROM stores")

@@ -132,6 +132,24 @@ def test_item_attributes(spark):
     assert tuple(item_features.encode_features(new, vocab).first()) == ("n", [1, 4, 0], 2, 0)
 
 
+def test_catalog_is_read_once_and_by_many_tasks(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(path):
+        read.add(1)
+        return path
+
+    path = F.udf(counted, "string").asNondeterministic()("category_path")
+    meta = samples.catalog_meta(catalog(spark)).withColumn("category_path", path)
+    assert item_features.build_features(meta).count() == 7
+    assert read.value == 7
+    wide = spark.range(300_000, numPartitions=1).select(
+        F.col("id").alias("item_id"), F.lit("Cat").alias("main_category"),
+        F.concat_ws(" > ", F.lit("A"), F.sha2(F.col("id").cast("string"), 256)).alias("category_path"),
+        F.lit("acme").alias("store"), F.lit(1.0).alias("price"))
+    assert len(item_features.item_tokens(wide).inputFiles()) > 1
+
+
 def test_price_edges_interpolate_and_tolerate_no_price(spark):
     import numpy as np
 
