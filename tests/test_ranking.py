@@ -113,6 +113,17 @@ def test_candidates_are_scored_exactly_and_reach_their_recall(spark):
     assert similar.similar_candidates(items.limit(0), 5).count() == 0
 
 
+def test_candidates_of_one_partition_are_hashed_by_many_tasks(spark):
+    items = spark.range(60_000, numPartitions=1).select(
+        F.col("id").alias("item_idx"), F.array(*[F.rand(i) - 0.5 for i in range(8)]).alias("vec"))
+    found = similar.similar_candidates(items, 3, asked=items.filter("item_idx = 7"), tables=2, width=6)
+    folders = {}
+    for file in found.inputFiles():
+        folders.setdefault(file.rsplit("/", 1)[0], set()).add(file)
+    hashed = [files for folder, files in folders.items() if "buckets" in spark.read.parquet(folder).columns]
+    assert hashed and all(len(files) > 1 for files in hashed)
+
+
 def test_neighbours_of_a_tiny_catalog(spark):
     near = similar.top_k_similar(vectors(spark, [[1, 0], [0, 1], [1, 1]]).select("item_idx", "vec"), 10)
     assert near.count() == 6  # k = N - 1
