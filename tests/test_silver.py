@@ -294,3 +294,23 @@ def test_contract_is_checked_between_dedup_and_commit(spark):
     assert table.state() == before
     mended = good.unionByName(load(spark, (20, [(2, 7, 8.0), (3, 5, 3.0)]), (21, [(2, 8, 3.0)])))
     assert sync_silver(mended, table, "interaction_id", COLUMNS, BASE, contract=contract)["rows_upserted"] == 2
+
+
+@pytest.mark.parametrize("name", ["c6_full_refresh", "c7_sync_counters", "c8_incremental_equals_full"])
+def test_bronze_is_computed_once(spark, monkeypatch, name):
+    from oracle import SMALL
+    from sparkrec.plans import inputs
+    from sparkrec.plans.catalog import QUERIES
+
+    computed = spark.sparkContext.accumulator(0)
+
+    def counted(product):
+        computed.add(1)
+        return product
+
+    plain = inputs.bronze_interactions
+    versions = plain(spark, SMALL).count()
+    monkeypatch.setattr(inputs, "bronze_interactions", lambda *a: plain(*a).withColumn(
+        "product_id", F.udf(counted, "string").asNondeterministic()("product_id")))
+    assert QUERIES[name](spark, SMALL).count() > 0
+    assert computed.value == versions
