@@ -18,15 +18,24 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 
 from sparkrec.operators import silver
 from sparkrec.operators.contracts import Contract, validate
-from sparkrec.session import durable, path_exists
+from sparkrec.session import durable, path_exists, scratch_dir
 
 FILE_BYTES = 512 << 20  # of a compacted file
+RANGE_BYTES = 64 << 20  # sorted by one task of a compaction
+DENSE = "zstd"  # of compacted files
 BUCKETS = 64
 BUCKET, VERSION = "__bucket", "v"
 STATE = "commit int, version int, watermark timestamp, rows long, committed_at timestamp, parts array<int>"
 CHANGES = ("inserted", "updated", "unchanged", "stale")
 
 
+def _listed(spark: SparkSession, *paths: str) -> tuple[int, int]:
+    """(files, bytes) below the paths, from a listing."""
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", True).load(list(paths))
+    n, size = listed.select("path", "length").agg(F.count("*"), F.coalesce(F.sum("length"), F.lit(0))).first()
+    return n, size
+
+
 def append(df: DataFrame, path: str, schema: T.StructType | None = None) -> None:
     """Add rows, cast to the table schema if one is given."""
     if schema is not None:
@@ -100,7 +109,7 @@ class Table:
         current = self.state().version
         return self.read(current), "current", current
 
-    def _write(self, df: DataFrame, version: int, *counts: Column) -> dict:
+    def _write(self, df: DataFrame, version: int, *counts: Column, codec: str | None = None) -> dict:
         """Write a version; counts and the buckets it holds come from the same write.
 
         They are observed behind the last shuffle, where a task that runs again is counted once.
@@ -108,7 +117,7 @@ class Table:
         seen, path = Observation(), self._version_path(version)
         rows = F.count(F.lit(1)).alias("rows")
         if self.key is None:
-            df.observe(seen, rows, *counts).write.mode("overwrite").parquet(path)
+            df.observe(seen, rows, *counts).write.mode("overwrite").parquet(path, compression=codec)
             return {**seen.get, "held": None}
         plain = [c for c in df.columns if c != "change"]
         placed = df.withColumn(BUCKET, self.bucket_of()).hint("rebalance", BUCKET).observe(
@@ -119,13 +128,13 @@ class Table:
             df.select(*plain).write.mode("overwrite").parquet(path)
         return got
 
-    def overwrite(self, df: DataFrame, committed_at: datetime, watermark: datetime | None = None) -> int:
+    def overwrite(self, df: DataFrame, committed_at: datetime, watermark: datetime | None = None, codec: str | None = None) -> int:
         """Replace the whole content; without a new watermark the old one stays."""
         before = self.state()
         version = 1 if before is None else before.version + 1
         if watermark is None and before is not None:
             watermark = before.watermark
-        got = self._write(df, version)
+        got = self._write(df, version, codec=codec)
         parts = None if got["held"] is None else [version if b in set(got["held"]) else None for b in range(self.buckets)]
         self._commit(version, watermark, got["rows"], committed_at, parts)
         return version
@@ -176,25 +185,38 @@ class Table:
         state = self.state()
         paths = [self._version_path(state.version)] if state.parts is None else [
             f"{self._version_path(v)}/{BUCKET}={b}" for b, v in enumerate(state.parts) if v]
-        if not paths:
-            return 0, 0
-        listed = self.spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option(
-            "recursiveFileLookup", True).load(paths)
-        n, size = listed.select("path", "length").agg(F.count("*"), F.coalesce(F.sum("length"), F.lit(0))).first()
-        return n, size
+        return _listed(self.spark, *paths) if paths else (0, 0)
 
     def file_count(self) -> int:
         return self.files()[0]
 
     def compact(self, committed_at: datetime, file_bytes: int = FILE_BYTES) -> bool:
-        """Rewrite into files of about `file_bytes`; a table that has no more of them is left alone."""
+        """Rewrite into files of about `file_bytes`; a table that has no more of them is left alone.
+
+        Rows of a table without a key are sorted by range and compressed first, and what they take
+        then decides on the number of files: in order they take less than in the order they came.
+        """
         n, size = self.files()
         wanted = max(1, -(-size // file_bytes))
         if n <= wanted:
             return False
-        self.overwrite(self.read().repartition(wanted), committed_at)
+        if self.key is not None:
+            self.overwrite(self.read().repartition(wanted), committed_at)
+        else:
+            self.overwrite(self._dense(self.read(), max(wanted, size // RANGE_BYTES), file_bytes), committed_at, codec=DENSE)
         return True
 
+    def _dense(self, rows: DataFrame, ranges: int, file_bytes: int) -> DataFrame:
+        """Sorted rows in as many partitions as files of `file_bytes` hold them; a partition is read by one task."""
+        order = [f.name for f in rows.schema if isinstance(f.dataType, T.AtomicType)]
+        placed = rows.repartitionByRange(ranges, *order).sortWithinPartitions(*order) if order else rows.repartition(ranges)
+        path = scratch_dir(self.spark)
+        placed.write.mode("overwrite").parquet(path, compression=DENSE)
+        stored = self.spark.read.schema(rows.schema).parquet(path)
+        files = max(1, -(-_listed(self.spark, path)[1] // file_bytes))
+        # without a shuffle, unless files are smaller than the pieces that are read
+        return stored.coalesce(files) if stored.rdd.getNumPartitions() >= files else stored.repartition(files)
+
 
 def sync_silver(
     bronze: DataFrame,

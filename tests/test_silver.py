@@ -166,6 +166,16 @@ def test_compaction_keeps_rows_and_watermark(spark, pipe):
     assert table.compact(BASE, file_bytes=table.files()[1] // 3) and 1 < table.file_count() < 6
 
 
+def test_compaction_counts_files_by_what_sorted_rows_take(spark, tmp_path):
+    table = Table(spark, str(tmp_path / "t"))
+    key = F.pmod(F.xxhash64("id"), F.lit(20_000))
+    table.overwrite(spark.range(80_000).select(key.alias("key"), F.concat(F.lit("u"), key.cast("string")).alias("user")).repartition(4), BASE)
+    before, (files, size) = silver.digest(table.read()).first(), table.files()
+    assert files == 4 and table.compact(BASE, file_bytes=size // 2)
+    assert table.file_count() == 1 and silver.digest(table.read()).first() == before
+    assert not table.compact(BASE, file_bytes=size // 2)
+
+
 def test_expired_files_are_those_of_expired_snapshots_only(spark, rows):
     snapshots = spark.createDataFrame(
         [(1, BASE, False), (2, BASE + timedelta(days=1), True), (3, BASE + timedelta(days=9), False),
