@@ -140,15 +140,17 @@ class Table:
         return version
 
     def merge(self, delta: DataFrame, committed_at: datetime, watermark: datetime | None = None,
-              ties: str = silver.KEEP_STORED, order: Sequence[str] = ()) -> dict:
+              ties: str = silver.KEEP_STORED, order: Sequence[str] = (), keys: DataFrame | None = None) -> dict:
         """Merge rows unique by key into the buckets they touch; counts by kind of change.
 
-        Without an inserted or updated row only the watermark moves.
+        Without an inserted or updated row only the watermark moves. `keys` is a frame with the keys of `delta`, as often as
+        it likes, that tells the touched buckets; then `delta` is read once, so it is not stored and stays placed by key.
         """
         before = self.state()
         table = replace(self, buckets=len(before.parts))
-        delta = durable(delta)
-        touched = sorted(r[0] for r in delta.select(table.bucket_of()).distinct().collect())
+        if keys is None:
+            keys = delta = durable(delta)
+        touched = sorted(r[0] for r in keys.select(table.bucket_of()).distinct().collect())
         stored = self._read_parts(before.parts, touched)
         stored = self.spark.createDataFrame([], delta.schema) if stored is None else stored.select(*delta.columns)
         version = before.version + 1

@@ -64,14 +64,14 @@ def upsert_batch(batch: DataFrame, batch_id: int, table: Table, columns: list[st
 
     With `order` (kept in the table) the rows do not depend on how loads fall into batches.
     """
-    newest = silver.latest_by_key(batch, [table.key], columns, order_ties)
+    newest, keys = silver.latest_by_key(batch, [table.key], columns, order_ties), batch
     if contract is not None:
-        newest = validate(durable(newest), contract)
+        newest, keys = validate(durable(newest), contract), None
     if table.state() is None:
         table.overwrite(newest, committed_at)
         got = {"inserted": table.state().rows, "updated": 0, "unchanged": 0, "stale": 0}
     else:
-        got = table.merge(newest, committed_at, order=order)
+        got = table.merge(newest, committed_at, order=order, keys=keys)
     row = {"batch_id": batch_id, **got}
     table.spark.createDataFrame([row]).coalesce(1).write.mode("overwrite").parquet(f"{counters}/batch={batch_id}")
 

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sparkrec.operators import silver
+from sparkrec.sources import tables
 from sparkrec.sources.tables import Table
 from sparkrec.streaming import intake, request_metrics as rm, sessions
 
@@ -121,6 +122,19 @@ def test_continuous_upsert_skips_late_versions(spark, tmp_path):
     assert silver.digest(table.read()).first() == before
 
 
+def test_upsert_reads_a_batch_once_and_does_not_store_it(spark, tmp_path, monkeypatch):
+    schema = "interaction_id long, rating double, updated_at timestamp, _ingested_at timestamp"
+    table = Table(spark, str(tmp_path / "silver"), "interaction_id", buckets=4)
+    batches = [spark.createDataFrame([(i, float(n), T0 + timedelta(minutes=(i * n) % 5), T0) for i in range(30)], schema) for n in (1, 2, 3)]
+    stored = []
+    monkeypatch.setattr(tables, "durable", stored.append)
+    for n, batch in enumerate(batches):
+        intake.upsert_batch(batch, n, table, batch.columns, T0, str(tmp_path / "counters"), order=("updated_at", "rating"))
+    everything = batches[0].unionByName(batches[1]).unionByName(batches[2])
+    full = silver.latest_by_key(everything, ["interaction_id"], batches[0].columns, ("rating",))
+    assert not stored and tuple(silver.difference_counts(table.read(), full).first()) == (0, 0)
+
+
 def log(spark, *data):
     """(seconds, path, status, latency, cache)"""
     return spark.createDataFrame([(T0 + timedelta(seconds=s), *r) for s, *r in data], "ts timestamp, path string, status int, latency double, cache string")
