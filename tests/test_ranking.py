@@ -2,7 +2,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sparkrec.operators import metrics, rerank, scoring, selection, similar
+from sparkrec.functions import arrays
+from sparkrec.operators import metrics, products, rerank, scoring, selection, similar
 
 
 def vectors(spark, matrix):
@@ -514,3 +515,26 @@ def test_the_boost_is_over_the_full_ranking(spark):
     items = con.execute("SELECT count(*) FROM embeddings").fetchall()[0][0]
     assert fn(spark, oracle.SMALL).count() == users * items
     assert oracle.compare(spark, con, fn, sql, oracle.SMALL) is None
+
+
+def test_norm_is_computed_once_per_vector(spark):
+    vectors = spark.createDataFrame([([3.0, 4.0, None],), ([0.0, 0.0, 0.0],), (None,), ([],), ([1e-3, -2.0, 7.0],)], "vec array<float>")
+    unit = vectors.select(arrays.l2_normalize("vec").alias("v"))
+    inside = F.transform("vec", lambda x: x.cast("double") / F.greatest(F.sqrt(arrays.dot("vec", "vec")), F.lit(1e-12)))
+    assert [r.v for r in unit.collect()] == [r.v for r in vectors.select(inside.alias("v")).collect()]
+    # the sum over the vector stands beside the elements, not in the function that is called for each
+    plan = unit._jdf.queryExecution().analyzed().toString()
+    assert plan.index("aggregate(") < plan.index("lambdafunction((cast(lambda x")
+
+
+def test_groups_of_queries_have_a_task_each(spark, monkeypatch):
+    stored, durable = [], products.durable
+    monkeypatch.setattr(products, "durable", lambda df: stored.append(df.rdd.getNumPartitions() if "done" in df.columns else 0) or durable(df))
+    rng = np.random.default_rng(4)
+    vectors = rng.normal(size=(300, 5)).tolist()
+    items = spark.createDataFrame(list(enumerate(vectors)), "item_idx long, vec array<double>")
+    queries = items.withColumnRenamed("item_idx", "query")
+    got = {r.query: list(r.ids) for r in products.multiply(queries, items, 4, group_rows=10).select("query", "ids").collect()}
+    scores = np.round(np.array(vectors) @ np.array(vectors).T, 9)
+    assert got == {q: np.lexsort((np.arange(300), -scores[q]))[:4].tolist() for q in range(300)}
+    assert max(stored) == 30
