@@ -506,12 +506,9 @@ def _(spark, sf):
 @query("i2_candidate_recall", None)
 def _(spark, sf):
     items = I.vectors(spark, sf).select("item_idx", "vec")
-    asked = durable(items.filter((F.col("item_idx") - 1) % 100 == 0))  # the stated query set, against all rows
-    unit = items.select("item_idx", arrays.l2_normalize("vec").alias("vec"))
-    queries = unit.join(asked.select("item_idx"), "item_idx", "left_semi").select(
-        F.col("item_idx").alias("query"), "vec", F.col("item_idx").cast("long").alias("skip_idx"))
-    exact = scoring.top_k(queries, unit, 10).select(F.col("query").alias("item_idx"), F.col("item_idx").alias("similar_idx"))
-    return similar.recall(exact, similar.similar_candidates(items, 10, asked))
+    # every item is asked: the exact neighbours of all, and the candidates of all
+    exact = similar.top_k_similar(items, 10).select("item_idx", "similar_idx")
+    return similar.recall(exact, similar.similar_candidates(items, 10))
 
 
 @query("a11_keyed_lookup", with_(I.VECTORS, SIMILAR) + """

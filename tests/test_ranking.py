@@ -544,3 +544,15 @@ def test_groups_of_queries_have_a_task_each(spark, monkeypatch):
     scores = np.round(np.array(vectors) @ np.array(vectors).T, 9)
     assert got == {q: np.lexsort((np.arange(300), -scores[q]))[:4].tolist() for q in range(300)}
     assert tasks == [30]
+
+
+def test_recall_is_measured_for_every_item(spark, tmp_path):
+    import __spark_entry__ as entry
+
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(2, 8))
+    rows = [(i, [float(x) for x in centres[i % 2] + 0.1 * rng.normal(size=8)]) for i in range(1, 40)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    out = entry.queries()["i2_candidate_recall"](spark, str(tmp_path)).collect()
+    assert sorted(r.item_idx for r in out) == list(range(2, 41))  # none of the ids is a multiple of 100
+    assert {r.wanted for r in out} == {10} and sum(r.hits for r in out) > 300
