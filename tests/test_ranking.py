@@ -556,3 +556,36 @@ def test_recall_is_measured_for_every_item(spark, tmp_path):
     out = entry.queries()["i2_candidate_recall"](spark, str(tmp_path)).collect()
     assert sorted(r.item_idx for r in out) == list(range(2, 41))  # none of the ids is a multiple of 100
     assert {r.wanted for r in out} == {10} and sum(r.hits for r in out) > 300
+
+
+@pytest.mark.parametrize("twice", [False, True])
+def test_boosted_ranking_is_the_boost_over_all_ranked_rows(spark, rows, monkeypatch, twice):
+    from sparkrec.operators import products
+
+    monkeypatch.setattr(products, "TILE_CELLS", 90)  # a list of 25 goes to a place per three users
+    rng = np.random.default_rng(12)
+    matrix = rng.normal(size=(24, 4))
+    items = vectors(spark, np.concatenate([matrix, matrix[3:4]]))  # equal vectors, then equal scores
+    if twice:
+        items = items.unionByName(items.filter("item_idx IN (5, 6)"))
+    users = [None if u == 7 else f"u{u:02}" for u in range(40)]
+    # most users share a state; one has zeros only
+    state = [matrix[0] if u % 4 else np.zeros(4) if u == 8 else rng.normal(size=4) for u in range(40)]
+    states = spark.createDataFrame([(u, [float(x) for x in s]) for u, s in zip(users, state)], "user_id string, state array<double>")
+    raised = [(u, f"i{i}", (int(a), int(p))) for u in ["u00", "u01", "u02", "u08", "gone"]
+              for a, (i, p) in enumerate(zip(rng.permutation(30)[:9] + 1, rng.integers(0, 9, 9)))]
+    boosts = spark.createDataFrame(raised + [(None, "i2", (0, 0))], "user_id string, product_id string, boost struct<age int, place int>")
+    queries = states.select(F.col("user_id").alias("query"), F.col("state").alias("vec"))
+    ranked = scoring.top_k(queries, items, items.count()).join(items.select("item_idx", "product_id"), "item_idx")
+    want = rerank.recency_boost(ranked.withColumnRenamed("query", "user_id"), boosts)
+    columns = ["user_id", "product_id", "score", "rank", "position"]
+    assert rows(rerank.boosted_ranking(states, items, boosts), *columns) == rows(want, *columns)
+
+
+def test_ranked_rows_are_not_shuffled(spark):
+    import oracle
+    import __spark_entry__ as entry
+
+    plan = entry.queries()["i5_recency_boost"](spark, oracle.SMALL)._jdf.queryExecution().executedPlan().toString()
+    # all that stands above the node that makes a row per user and item
+    assert "Exchange hashpartitioning" not in plan[:plan.index("Generate")]
