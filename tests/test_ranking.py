@@ -589,3 +589,15 @@ def test_ranked_rows_are_not_shuffled(spark):
     plan = entry.queries()["i5_recency_boost"](spark, oracle.SMALL)._jdf.queryExecution().executedPlan().toString()
     # all that stands above the node that makes a row per user and item
     assert "Exchange hashpartitioning" not in plan[:plan.index("Generate")]
+
+
+def test_home_page_stores_only_what_it_reads(spark, monkeypatch):
+    import oracle
+    from sparkrec.plans import ranking_queries
+
+    stored, durable = [], ranking_queries.durable
+    monkeypatch.setattr(ranking_queries, "durable", lambda df: (stored.append(set(df.columns)), durable(df))[1])
+    ranking_queries.homepage(spark, oracle.SMALL)
+    silver, items = [c for c in stored if "interaction_id" in c], [c for c in stored if "num_purchases" in c]
+    assert len(silver) == len(items) == 1
+    assert not silver[0] & {"created_at", "updated_at"} and not items[0] & {"distinct_users", "avg_rating", "brand"}
