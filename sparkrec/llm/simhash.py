@@ -154,7 +154,7 @@ def links(fps: DataFrame, bits: int = BITS, chunk: int = CHUNK, masks: list[int]
 
     Exact bands return all pairs of small buckets, and for larger ones each linked code with the
     least code it reaches. Sampled `masks`, whose pairs are verified one by one, return each code of a small bucket
-    with the nearest one before it, and a spanning forest of a larger one with the closest pairs first. An edge of
+    with the nearest one before it and what connects the rest, and a spanning forest of a larger one with the closest pairs first. An edge of
     these can fail verification and hide a link behind it, so a caller that verifies has to search what stays apart
     again (`shared_prefix`).
     """
@@ -206,7 +206,8 @@ def _bucket_links(rows: pd.DataFrame, bits: int, forest: bool) -> pd.DataFrame:
 
 
 def _short_runs(codes, group, size, bits, nearest):
-    """All buckets of at most one leaf at once: neighbours at distance 1, 2, ...; or each code's nearest one before it."""
+    """All buckets of at most one leaf at once: neighbours at distance 1, 2, ...; or each code's nearest one before it, and a link
+    for any two trees of these that still have neighbours in each other."""
     short = size[group] <= LEAF
     codes, group = codes[short], group[short]
     us, vs = [codes[:0]], [codes[:0]]
@@ -225,7 +226,19 @@ def _short_runs(codes, group, size, bits, nearest):
             vs.append(codes[near + k])
     if nearest:
         linked = np.flatnonzero(best <= bits)
-        return codes[other[linked]], codes[linked]
+        root = np.arange(len(codes))
+        root[linked] = other[linked]
+        while (root[root] != root).any():
+            root = root[root]
+        trees, ends = [np.empty((0, 2), np.int64)], [np.empty((0, 2), np.int64)]
+        for k in range(1, LEAF):
+            apart = np.flatnonzero((group[k:] == group[:-k]) & (root[k:] != root[:-k]))
+            pair = apart[np.bitwise_count(codes[apart] ^ codes[apart + k]) <= bits]
+            trees.append(np.sort(np.stack([root[pair], root[pair + k]], 1), axis=1))
+            ends.append(np.stack([pair, pair + k], 1))
+        first = np.unique(np.concatenate(trees), axis=0, return_index=True)[1]
+        ends = np.concatenate([np.stack([other[linked], linked], 1), np.concatenate(ends)[first]])
+        return codes[ends[:, 0]], codes[ends[:, 1]]
     return np.concatenate(us), np.concatenate(vs)
 
 
