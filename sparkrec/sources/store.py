@@ -8,7 +8,8 @@ one step. Readers of the store see the published run, so a failed task or job le
     df.write.format("keyed_store").mode("append").options(store="package.module.Class", location=…, run=…).save()
 
 A store class is made with its location and offers `stage(run, part, rows)`, `publish(run,
-parts)` and `drop(run)`; all three may be repeated. Rows are (key, value, expires_at).
+parts)` and `drop(run)`; all three may be repeated. Where it has `begin(run)`, that is called before a
+run's tasks start. Rows are (key, value, expires_at).
 """
 
 from __future__ import annotations
@@ -36,29 +37,42 @@ class FileStore:
     def __init__(self, location: str) -> None:
         self.root = Path(location)
 
-    def _replace(self, path: Path, lines: Iterable[str]) -> int:
-        """Write a file that appears whole or not at all."""
+    def _dropped(self, run: str) -> Path:
+        return self.root / "runs" / run / ".dropped"
+
+    def begin(self, run: str) -> None:
+        self._dropped(run).unlink(missing_ok=True)
+
+    def _replace(self, path: Path, lines: Iterable[str], gone: Path | None = None) -> int:
+        """Write a file that appears whole or not at all; not at all once there is a file `gone`."""
         path.parent.mkdir(parents=True, exist_ok=True)
         handle, name = tempfile.mkstemp(dir=path.parent, prefix=".part-")
         n = 0
         with os.fdopen(handle, "w", encoding="utf-8") as out:
             for n, line in enumerate(lines, 1):
                 out.write(line + "\n")
+        if gone and gone.exists():
+            os.unlink(name)
+            return n
         os.replace(name, path)
+        if gone and gone.exists():
+            path.unlink(missing_ok=True)
         return n
 
     def stage(self, run: str, part: int, rows: Iterator[tuple]) -> int:
         return self._replace(self.root / "runs" / run / f"{part}.jsonl", (
-            json.dumps([key, value, None if expires is None else expires.isoformat()]) for key, value, expires in rows))
+            json.dumps([key, value, None if expires is None else expires.isoformat()]) for key, value, expires in rows), self._dropped(run))
 
     def publish(self, run: str, parts: list[int]) -> None:
         self._replace(self.root / "published.json", [json.dumps({"run": run, "parts": sorted(parts)})])
 
     def drop(self, run: str) -> None:
-        """Forget a run that was not published."""
+        """Forget a run that was not published, also what tasks that still run would stage of it."""
         if self._published().get("run") != run:
+            self._dropped(run).parent.mkdir(parents=True, exist_ok=True)
+            self._dropped(run).touch()
             for file in (self.root / "runs" / run).glob("*.jsonl"):
-                file.unlink()
+                file.unlink(missing_ok=True)
 
     def _published(self) -> dict:
         pointer = self.root / "published.json"
@@ -92,6 +106,9 @@ class KeyedWriter(DataSourceWriter):
         if missing or not set(COLUMNS) <= set(schema.names):
             raise ValueError(f"options {missing} or columns {sorted(set(COLUMNS) - set(schema.names))} are missing")
         self.name, self.location, self.run = options["store"], options["location"], options["run"]
+        begin = getattr(open_store(self.name, self.location), "begin", None)
+        if begin:
+            begin(self.run)
 
     def write(self, iterator) -> Staged:
         part = TaskContext.get().partitionId()

@@ -57,3 +57,13 @@ def test_failed_tasks_leave_no_half_rows(spark, place):
 def test_missing_options_are_refused(spark, place):
     with pytest.raises(Exception, match="missing"):
         push_lookup(lookup(spark, 1, "a"), FILES, place, "")
+
+
+def test_late_tasks_of_a_dropped_run_leave_nothing(spark, place):
+    store = FileStore(place)
+    store.stage("r3", 0, iter([("x", "1", None)]))
+    store.drop("r3")
+    store.stage("r3", 1, iter([("y", "2", None)]))  # a task that the abort did not wait for
+    assert not list(store.root.glob("runs/r3/*.jsonl"))
+    push_lookup(lookup(spark, 3, "a"), FILES, place, "r3")  # the run is repeated
+    assert set(store.read(AT)) == {"k0", "k1", "k2"}
